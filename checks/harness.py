@@ -2,32 +2,47 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.views import BASE_TABLES, VIEWS, needed
+from martkit.sources.tables import stage
+
+
+# Stored source tables by application, folder and name.
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class CheckTables(Mapping[str, DataFrame]):
-    """Base tables and derived views of one test folder, by name."""
+    """Base tables and derived views of one test folder, by name.
+
+    With ``stored=True`` a derived view is written once per application and read back: the business jobs
+    expect source tables they can scan with pushed filters, not a derivation inside every plan.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, stored: bool = False):
+        self._spark, self._folder, self._stored = spark, folder.rstrip("/"), stored
         self._open: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
             if name in VIEWS:
-                inputs = {w: self[w] for w in _inputs(VIEWS[name])}
-                self._open[name] = self._run(VIEWS[name], inputs)
+                self._open[name] = self._store(name) if self._stored else self.sql(VIEWS[name])
             elif name in BASE_TABLES:
                 self._open[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
             else:
                 raise KeyError(name)
         return self._open[name]
 
+    def _store(self, name: str) -> DataFrame:
+        key = (self._spark.sparkContext.applicationId, self._folder, name)
+        if key not in _STORED:
+            _STORED[key] = stage(self.sql(VIEWS[name]), name)
+        return _STORED[key]
+
     def _run(self, sql: str, inputs: Mapping[str, DataFrame]) -> DataFrame:
         for name, frame in inputs.items():
             frame.createOrReplaceTempView(name)
@@ -44,8 +59,6 @@ class CheckTables(Mapping[str, DataFrame]):
 
 
 def _inputs(sql: str) -> list[str]:
-    import re
-
     words = set(re.findall(r"\w+", sql))
     return [n for n in [*BASE_TABLES, *VIEWS] if n in words]
 
@@ -60,9 +73,10 @@ class Check:
     columns: tuple[tuple[str, str], ...]
     build: Callable[[CheckTables], DataFrame]
     sql: str | None
+    stored: bool = False
 
     def spark(self, spark: SparkSession, folder: str) -> DataFrame:
-        frame = self.build(CheckTables(spark, folder))
+        frame = self.build(CheckTables(spark, folder, self.stored))
         out = []
         for name, kind in self.columns:
             cast = SPARK_CAST[kind]
@@ -72,7 +86,7 @@ class Check:
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        parts = [f"{v} AS ({VIEWS[v].strip()})" for v in needed(self.sql)]
+        parts = [f"{name} AS ({text.strip()})" for name, text in needed(self.sql).items()]
         parts.append(f"answer AS ({self.sql.strip()})")
         out = []
         for name, kind in self.columns:
@@ -84,7 +98,7 @@ class Check:
 CHECKS: dict[str, Check] = {}
 
 
-def check(name: str, columns: str, sql: str | None) -> Callable:
+def check(name: str, columns: str, sql: str | None, stored: bool = False) -> Callable:
     """Register a query.  ``columns`` lists outputs as ``name`` or ``name:kind``."""
     parsed = tuple(
         (c.split(":")[0], c.split(":")[1] if ":" in c else "") for c in columns.replace(",", " ").split()
@@ -93,7 +107,7 @@ def check(name: str, columns: str, sql: str | None) -> Callable:
     def register(build: Callable[[CheckTables], DataFrame]) -> Callable[[CheckTables], DataFrame]:
         if name in CHECKS:
             raise ValueError(f"check {name} exists")
-        CHECKS[name] = Check(parsed, build, sql)
+        CHECKS[name] = Check(parsed, build, sql, stored)
         return build
 
     return register

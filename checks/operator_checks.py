@@ -477,15 +477,15 @@ def _(t):
     return t["all_daily_add_churn"].select("svc_no", code.alias("code"), mid_token(code).alias("plan_cd"))
 
 
-@check("position_substring", "code at:i tail", """
-SELECT basic_accs_rate_plan_cd AS code, POSITION('_' IN basic_accs_rate_plan_cd) AS at,
+@check("position_substring", "code pos:i tail", """
+SELECT basic_accs_rate_plan_cd AS code, POSITION('_' IN basic_accs_rate_plan_cd) AS pos,
        SUBSTRING(basic_accs_rate_plan_cd FROM POSITION('_' IN basic_accs_rate_plan_cd) + 1) AS tail
 FROM all_daily_add_churn""")
 def _(t):
     code = F.col("basic_accs_rate_plan_cd")
     at = F.instr(code, "_")
     return t["all_daily_add_churn"].select(
-        code.alias("code"), at.alias("at"), F.substr(code, at + 1).alias("tail")
+        code.alias("code"), at.alias("pos"), F.substr(code, at + 1).alias("tail")
     )
 
 

@@ -328,13 +328,18 @@ FROM (SELECT o_custkey AS acct_id, CAST(o_orderdate AS DATE) AS open_dt, MIN(o_o
       FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)) d"""
 
 
-def needed(sql: str) -> list[str]:
-    """Views a statement uses, directly or through other views, in defining order."""
+# Intermediate answers of the SQL side only; the Spark side never reads them.
+ANSWERS: dict[str, str] = {}
+
+
+def needed(sql: str) -> dict[str, str]:
+    """Views and answers a statement uses, directly or through others, in defining order."""
+    known = VIEWS | ANSWERS
     found: set[str] = set()
     todo = [sql]
     while todo:
         words = set(re.findall(r"\w+", todo.pop()))
-        fresh = [v for v in VIEWS if v in words and v not in found]
+        fresh = [v for v in known if v in words and v not in found]
         found.update(fresh)
-        todo.extend(VIEWS[v] for v in fresh)
-    return [v for v in VIEWS if v in found]
+        todo.extend(known[v] for v in fresh)
+    return {v: known[v] for v in known if v in found}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -14,9 +14,11 @@ from martkit.operators.joins import decode, segment_of, spread_join, temporal_jo
 from martkit.operators.pick import best_rows, earliest, latest
 from martkit.operators.shape import conform, union_events
 from martkit.sources.schemas import EVENT_FACT
+from martkit.sources.tables import stage
 
 Tables = Mapping[str, DataFrame]
 Span = tuple[date, date]
+Keep = Callable[[DataFrame, str], DataFrame]
 
 # Codes of the source systems.
 COMPLETED = "4"
@@ -351,3 +353,28 @@ def order_fact(adds: DataFrame, churns: DataFrame, as_of: date) -> DataFrame:
         conform(best_rows(churns, keys, [latest("bolton_inactive_dt")]), EVENT_FACT, status_cd="Churns", **common),
         conform(best_rows(adds, keys, [latest("bolton_active_dt")]), EVENT_FACT, status_cd="Gross Adds", **common),
     )
+
+
+def account_events(t: Tables, window: Span, kind: str, keep: Keep = stage) -> DataFrame:
+    """Orders with account attributes and segment.  Stored, because four later steps read them."""
+    events = keep(addon_orders(t, window, kind), f"{kind}_orders")
+    return keep(derive_segment(t, attach_account(t, events, window)), f"{kind}_accounts")
+
+
+def plan_events(t: Tables, window: Span, kind: str, keep: Keep = stage) -> DataFrame:
+    """Events of one kind with subscriber and basic plan, named as in the fact."""
+    events = account_events(t, window, kind, keep)
+    subscribers = lookup_subscriber(t, events, window, kind)
+    basic = keep(lookup_basic_plan(t, subscribers, window, kind), f"{kind}_basic")
+    return consolidate(events, basic)
+
+
+def order_events(t: Tables, window: Span, as_of: date, keep: Keep = stage) -> DataFrame:
+    """All add-on adds and churns of the window, ready to replace the order slice of the fact.
+
+    ``keep`` stores a table that several later steps read; each step is then one plan over scans.
+    """
+    churns = keep(plan_events(t, window, "churn", keep), "churn_plans")
+    originals = keep(original_order(t, churns), "churn_originals")
+    adds = plan_events(t, window, "add", keep)
+    return order_fact(adds, attach_original(churns, originals), as_of)
