@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -61,7 +61,8 @@ def temporal_join(
     low, high = within
     width = max(1, ((high - low).days + 1) // DAY_SLOTS)
     start = F.date_sub(F.col(opened), grace)
-    alive = right.filter((start <= F.lit(high)) & (F.col(closed) >= F.lit(low)))
+    # Bare columns against literals, so that the scan can skip row groups.
+    alive = right.filter((F.col(opened) <= F.lit(high + timedelta(days=grace))) & (F.col(closed) >= F.lit(low)))
     alive = alive.withColumn(
         "_slot",
         F.explode(

@@ -12,9 +12,10 @@ from martkit.functions.text import STAGING_STATUS, decode_case, mid_token, varch
 from martkit.operators.change import update_from
 from martkit.operators.joins import semi_join, spread_join, temporal_join
 from martkit.operators.pick import best_rows, latest
-from martkit.operators.shape import conform
-from martkit.plans.order_events import COMPLETED, END_ACTIONS, START_ACTIONS
+from martkit.operators.shape import conform, union_events
+from martkit.plans.order_events import COMPLETED, END_ACTIONS, START_ACTIONS, Keep
 from martkit.sources.schemas import EVENT_FACT
+from martkit.sources.tables import stage
 
 Tables = Mapping[str, DataFrame]
 Span = tuple[date, date]
@@ -238,3 +239,12 @@ def apply_services_per_account(events: DataFrame, counts: DataFrame, window: Spa
         {"no_of_svc_x_acct": "no_of_svc_x_acct"},
         when=_uncounted(window) & (F.col("ext_id_type") == MOBILE),
     )
+
+
+def account_addon_events(t: Tables, window: Span, as_of: date, keep: Keep = stage) -> DataFrame:
+    """Adds and cancels of account-level add-ons.  Stored once each: the plan lookup reads them twice."""
+    parts = []
+    for kind, status in (("add", "Gross Adds"), ("churn", "Churns")):
+        addons = keep(account_addons(t, window, kind), f"account_{kind}")
+        parts.append(account_addon_fact(t, addons, as_of, status))
+    return union_events(*parts)
