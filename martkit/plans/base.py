@@ -15,8 +15,9 @@ from martkit.operators.joins import semi_join, spread_join
 from martkit.operators.pick import best_rows, earliest, latest
 from martkit.operators.profile import count_by_class
 from martkit.operators.shape import conform, union_events
-from martkit.plans.order_events import START_ACTIONS, VOID_RECORD, basic_packages
+from martkit.plans.order_events import START_ACTIONS, VOID_RECORD, Keep, basic_packages
 from martkit.sources.schemas import MONTH_BASE
+from martkit.sources.tables import stage
 
 Tables = Mapping[str, DataFrame]
 
@@ -305,3 +306,29 @@ def account_plan_base(t: Tables, per_end_dt: date) -> DataFrame:
     )
     picked = best_rows(plans, ["acct_no", "plan_type"], [latest("plan_active_dt")], ties=False)
     return picked.select(F.lit(per_end_dt).alias("per_end_dt"), *plans.columns)
+
+
+def month_base(t: Tables, per_end_dt: date, keep: Keep = stage) -> DataFrame:
+    """The whole month-end base, ready to replace the month.
+
+    ``keep`` stores the tables that later steps read several times.
+    """
+    plans, basics = addon_plan_list(t), basic_plan_list(t)
+    addons = keep(active_addons(t, per_end_dt, plans), "base_addons")
+    base = keep(
+        assemble_base(
+            addons,
+            active_basic_plan(t, per_end_dt, addons, basics),
+            active_service(t, per_end_dt, addons),
+            month_end_account(t, per_end_dt, addons),
+            plans,
+            basics,
+            per_end_dt,
+        ),
+        "base_rows",
+    )
+    orders = keep(base_order(t, base, per_end_dt), "base_orders")
+    out = base_order_attribution(base, orders)
+    out = base_rep_attribution(out, first_order_rep(t, orders))
+    out = apply_service_counts(out, base_service_counts(t, base, per_end_dt))
+    return base_segment(t, out)
