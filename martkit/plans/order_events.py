@@ -356,7 +356,7 @@ def order_fact(adds: DataFrame, churns: DataFrame, as_of: date) -> DataFrame:
 
 
 def account_events(t: Tables, window: Span, kind: str, keep: Keep = stage) -> DataFrame:
-    """Orders with account attributes and segment.  Stored, because four later steps read them."""
+    """Orders with account attributes and segment.  Stored, because two later steps read each table."""
     events = keep(addon_orders(t, window, kind), f"{kind}_orders")
     return keep(derive_segment(t, attach_account(t, events, window)), f"{kind}_accounts")
 
@@ -365,8 +365,7 @@ def plan_events(t: Tables, window: Span, kind: str, keep: Keep = stage) -> DataF
     """Events of one kind with subscriber and basic plan, named as in the fact."""
     events = account_events(t, window, kind, keep)
     subscribers = lookup_subscriber(t, events, window, kind)
-    basic = keep(lookup_basic_plan(t, subscribers, window, kind), f"{kind}_basic")
-    return consolidate(events, basic)
+    return consolidate(events, lookup_basic_plan(t, subscribers, window, kind))
 
 
 def order_events(t: Tables, window: Span, as_of: date, keep: Keep = stage) -> DataFrame:
@@ -375,6 +374,5 @@ def order_events(t: Tables, window: Span, as_of: date, keep: Keep = stage) -> Da
     ``keep`` stores a table that several later steps read; each step is then one plan over scans.
     """
     churns = keep(plan_events(t, window, "churn", keep), "churn_plans")
-    originals = keep(original_order(t, churns), "churn_originals")
     adds = plan_events(t, window, "add", keep)
-    return order_fact(adds, attach_original(churns, originals), as_of)
+    return order_fact(adds, attach_original(churns, original_order(t, churns)), as_of)
