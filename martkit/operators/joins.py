@@ -78,6 +78,12 @@ def temporal_join(
     return joined.drop("_slot", *[r for _, r in keys])
 
 
+def day_bounds(df: DataFrame, day: str) -> tuple[date, date] | None:
+    """First and last day of a column, for ``within``.  Runs a small job: one row comes back."""
+    low, high = df.agg(F.min(day), F.max(day)).first()
+    return None if low is None else (low, high)
+
+
 def _slot(day: Column, low: date, width: int) -> Column:
     return F.floor(F.datediff(day, F.lit(low)) / F.lit(width)).cast("int")
 

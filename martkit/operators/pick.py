@@ -7,9 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key is "wide" once it holds more than one row in this many, so there are never
-# more than this many wide keys: the bound on the broadcast below.
-WIDE_KEY_SHARE = 100_000
+# Parts a frequent key is cut into where its rows are compared with the best order values.
+SALTS = 16
 
 
 class Order(NamedTuple):
@@ -48,10 +47,11 @@ def best_rows(
     remaining columns as tiebreak so that a rerun picks the same row.
 
     The rank filter sits right on the window, so Spark cuts every group to its best rows before the
-    shuffle.  A group whose *tied* rows are themselves too many for one task needs
-    ``spread_ties=True``: such keys are found by a count, their best order values are
-    broadcast (at most ``WIDE_KEY_SHARE`` rows), and their rows are compared in place without a
-    shuffle.  That reads the input three times, so hand it a stored table.
+    shuffle: a task receives at most the tied rows of its keys.  Where those may themselves be too many for
+    one task, ``spread_ties=True`` avoids gathering them: the best order values of each key
+    are found first (one row per key and task reaches the shuffle), then the rows are compared with them
+    in a join that is salted and open to the adaptive skew split.  That reads the input twice, so hand
+    it a scan or a stored table.
     """
     if not ties:
         return _ranked(df, keys, _sort(order) + _tiebreak(df, keys), F.row_number())
@@ -72,34 +72,18 @@ def _ranked(df: DataFrame, keys: Sequence[str], sort: Sequence[Column], function
 def _best_rows_spread(df: DataFrame, keys: Sequence[str], order: Sequence[Order]) -> DataFrame:
     values = [f"_o{i}" for i in range(len(order))]
     keyed = df.select("*", *[o.column.alias(v) for o, v in zip(order, values)])
-    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    wide = (
-        counts.crossJoin(F.broadcast(total))  # one row
-        .filter(F.col("_n") * WIDE_KEY_SHARE > F.col("_total"))
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    sort = _sort([Order(F.col(v), o.newest_first) for o, v in zip(order, values)])
+    best = _ranked(keyed.select(*keys, *values), keys, sort, F.row_number())
+    matched = [*keys, *values]
+    salted_best = best.select(
+        *[F.col(c).alias(f"_best_{c}") for c in matched],
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_best_salt"),
     )
-    match = _all_same([F.col(k) for k in keys], [F.col(f"_k_{k}") for k in keys])
-
-    sort = [
-        F.col(v).desc_nulls_last() if o.newest_first else F.col(v).asc_nulls_first()
-        for o, v in zip(order, values)
-    ]
-    # One row per wide key: the window sees one row per (key, order values) pair at most, and the
-    # row_number filter cuts each group to one row per task before the shuffle.
-    top = _ranked(
-        keyed.join(F.broadcast(wide), match, "left_semi").select(*keys, *values).distinct(),
-        keys,
-        sort,
-        F.row_number(),
-    ).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[F.col(v).alias(f"_b{v}") for v in values],
+    salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    same = _all_same([F.col(c) for c in matched], [F.col(f"_best_{c}") for c in matched])
+    return salted.join(salted_best, (F.col("_salt") == F.col("_best_salt")) & same, "left_semi").select(
+        *df.columns
     )
-    same_order = _all_same([F.col(v) for v in values], [F.col(f"_b{v}") for v in values])
-    from_wide = keyed.join(F.broadcast(top), match & same_order, "left_semi")
-    from_rest = _ranked(keyed.join(F.broadcast(wide), match, "left_anti"), keys, sort, F.rank())
-    return from_wide.unionByName(from_rest).select(*df.columns)
 
 
 def _all_same(left: Sequence[Column], right: Sequence[Column]) -> Column:

@@ -70,9 +70,10 @@ def active_addons(t: Tables, per_end_dt: date, plans: DataFrame) -> DataFrame:
     codes = plans.select(F.col("rate_plan_cd").alias("_code"))
     held = _held_at(t, per_end_dt)
     held = held.join(codes, varchar(F.col("component_id"), 6) == F.col("_code"), "left_semi")
-    return best_rows(
-        held, ["subscr_no", "component_id"], [latest("cce_active_dt"), latest("cce_inactive_dt", HIGH_DATE)]
-    ).drop("open_dt", "close_dt")
+    order = [latest("cce_active_dt"), latest("cce_inactive_dt", HIGH_DATE)]
+    # Copies of a row tie and stay, as many as there are; the scan is cheap to read twice.
+    picked = best_rows(held, ["subscr_no", "component_id"], order, spread_ties=True)
+    return picked.drop("open_dt", "close_dt")
 
 
 def active_basic_plan(t: Tables, per_end_dt: date, addons: DataFrame, basics: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from martkit.functions.dates import HIGH_DATE, or_high
 from martkit.functions.predicates import current_rows, in_interval
 from martkit.functions.text import PRODUCT_ACTIONS, decode_case, varchar
-from martkit.operators.joins import decode, segment_of, spread_join, temporal_join
+from martkit.operators.joins import day_bounds, decode, segment_of, spread_join, temporal_join
 from martkit.operators.pick import best_rows, earliest, latest
 from martkit.operators.shape import conform, union_events
 from martkit.sources.schemas import EVENT_FACT
@@ -110,9 +110,10 @@ def addon_orders(t: Tables, window: Span, kind: str) -> DataFrame:
     )
     at = "work_ord_completion_dt"
     # Churn orders meet the service on their close date, which the window does not bound.
+    service_at = at if add else "work_ord_close_dt"
     history = temporal_join(
-        orders, services, ["svc_inst_id"], at if add else "work_ord_close_dt",
-        "svc_open", "svc_close", 2, within=window if add else None,
+        orders, services, ["svc_inst_id"], service_at, "svc_open", "svc_close", 2,
+        within=window if add else day_bounds(orders, service_at),
     )
     history = temporal_join(
         history, _service_ids(t), ["svc_inst_id"], at, "id_open", "id_close", 2, within=window,
@@ -138,6 +139,9 @@ def addon_orders(t: Tables, window: Span, kind: str) -> DataFrame:
             earliest("rep_close"), latest("oj_close"),
         ]
     columns = HISTORY_COLUMNS if add else [*HISTORY_COLUMNS, "disconnect_cd"]
+    # Copies collapse before the pick, so that they cannot pile up as ties of one order.
+    ordering = ["svc_close", "id_open", "id_close", "id_end", "id_start", "rep_open", "rep_close", "oj_open", "oj_close"]
+    history = history.select(*columns, *ordering).distinct()
     picked = best_rows(history, ["work_ord_no"], pick).select(*columns).distinct()
 
     components = _plan_components(t, orders, add)
@@ -179,8 +183,8 @@ def attach_account(t: Tables, events: DataFrame, window: Span) -> DataFrame:
         "owning_cost_ctr", "owning_cost_ctr_dv", "bill_zip", "open_dt", "close_dt",
     )
     found = temporal_join(pairs.join(ids, "acct_id"), accounts, ["account_no"], at, grace=15, within=window)
-    picked = best_rows(found, ["acct_id", at], [latest("close_dt")]).drop("account_no", "open_dt", "close_dt")
-    return spread_join(events, picked.distinct(), ["acct_id", at], "left")
+    picked = best_rows(found.drop("account_no", "open_dt").distinct(), ["acct_id", at], [latest("close_dt")])
+    return spread_join(events, picked.drop("close_dt").distinct(), ["acct_id", at], "left")
 
 
 def derive_segment(t: Tables, events: DataFrame) -> DataFrame:
@@ -216,6 +220,9 @@ def lookup_subscriber(t: Tables, events: DataFrame, window: Span, kind: str) ->
             extra=in_interval(F.col(at), F.col("active_day"), F.col("inactive_day"), 3),
         )
         order = [latest("close_dt"), latest("inactive_date")]
+    found = found.select(
+        "svc_no", "work_ord_no", "subscr_no", at, "close_dt", "active_date", "inactive_date"
+    ).distinct()
     picked = best_rows(found, ["svc_no", at, "work_ord_no"], order)
     return picked.select("svc_no", "work_ord_no", "subscr_no", at).distinct()
 
@@ -256,10 +263,11 @@ def lookup_basic_plan(t: Tables, subscribers: DataFrame, window: Span, kind: str
     order = [latest("product_start"), latest("product_stop", HIGH_DATE)]
     if kind != "add":
         order.append(latest("plan_close"))
-    picked = best_rows(found, ["svc_no", at, "work_ord_no"], order)
-    return picked.select(
-        "svc_no", "work_ord_no", "subscr_no", "basic_rate_plan_cd", "component_id_dv", "short_display", at
-    ).distinct()
+    columns = [
+        "svc_no", "work_ord_no", "subscr_no", "basic_rate_plan_cd", "component_id_dv", "short_display", at,
+    ]
+    found = found.select(*columns, "product_start", "product_stop", "plan_close").distinct()
+    return best_rows(found, ["svc_no", at, "work_ord_no"], order).select(*columns).distinct()
 
 
 def consolidate(events: DataFrame, basic: DataFrame) -> DataFrame:
@@ -319,7 +327,7 @@ def original_order(t: Tables, churns: DataFrame) -> DataFrame:
     )
     candidates = orders.join(components, "work_ord_no").join(
         wanted, ["svc_inst_id", "component_id", "cmp_active_dt"], "left_semi"
-    )
+    ).distinct()
     keys = ["component_id", "svc_inst_id"]
     newest = best_rows(candidates, keys, [latest("work_ord_completion_dt"), latest("work_ord_completion_tm")])
     with_rep = temporal_join(

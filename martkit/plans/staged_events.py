@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from martkit.functions.predicates import current_rows, same_text
 from martkit.functions.text import STAGING_STATUS, decode_case, mid_token, varchar
 from martkit.operators.change import update_from
-from martkit.operators.joins import semi_join, spread_join, temporal_join
+from martkit.operators.joins import day_bounds, semi_join, spread_join, temporal_join
 from martkit.operators.pick import best_rows, latest
 from martkit.operators.shape import conform, union_events
 from martkit.plans.order_events import COMPLETED, END_ACTIONS, START_ACTIONS, Keep
@@ -189,7 +189,10 @@ def account_addon_fact(t: Tables, addons: DataFrame, as_of: date, status: str) -
         "post_cd",
     )
     pairs = addons.select("acct_no", "active_dt").distinct()
-    found = temporal_join(pairs, plans, ["acct_no"], "active_dt", "plan_active_dt", "plan_inactive_dt")
+    found = temporal_join(
+        pairs, plans, ["acct_no"], "active_dt", "plan_active_dt", "plan_inactive_dt",
+        within=day_bounds(addons, "active_dt"),
+    )
     found = best_rows(found, ["acct_no", "active_dt"], [latest("plan_inactive_dt")]).drop("plan_active_dt")
     joined = spread_join(addons.drop("plan_type"), found, ["acct_no", "active_dt"], "left")
     picked = best_rows(joined, ["acct_no", "component_id", "work_ord_no"], [latest("plan_inactive_dt")])

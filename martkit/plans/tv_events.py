@@ -56,7 +56,8 @@ def tv_events(t: Tables, window: Span, labels: Mapping[str, str] = TV_EVENTS) ->
         F.col("opom_sales_chanl_id").alias("sales_chanl_id"),
     )
     keys = ["event", "service_id", "bolton_rate_plan_cd", "work_ord_completion_dt"]
-    return best_rows(events, keys, [latest("dealer_id"), latest("rep_id")])
+    # Dealer and rep say little about automated transactions: all rows of a busy service can tie.
+    return best_rows(events, keys, [latest("dealer_id"), latest("rep_id")], spread_ties=True)
 
 
 def _orders(t: Tables) -> DataFrame:
@@ -112,7 +113,8 @@ def tv_events_four_way(t: Tables, window: Span, as_of: date) -> DataFrame:
     events = attach_customer_name(t, tv_events(t, window, TV_EVENTS_FOUR))
     # Orders of one day: the ones with the highest dealer and rep.
     orders = best_rows(
-        _orders(t), ["service_id", "order_day"], [latest("new_dealer_id"), latest("new_rep_id")]
+        _orders(t), ["service_id", "order_day"], [latest("new_dealer_id"), latest("new_rep_id")],
+        spread_ties=True,
     )
     submitted = F.col("event") == "Orders Submitted"
     followed = asof_join(
