@@ -40,10 +40,7 @@ def trim_keys(df: DataFrame, *columns: str) -> DataFrame:
 def read_scripts(spark: SparkSession, path: str, glob: str = SCRIPT_GLOB) -> DataFrame:
     """Scripts below a folder as ``(path, text)``, one row per file."""
     return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .text(path)
+        spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
         .select(F.input_file_name().alias("path"), F.col("value").alias("text"))
     )
 
