@@ -14,6 +14,11 @@ SALTS = 8
 DAY_SLOTS = 8
 
 
+def row_salt(columns: Sequence[str], salts: int) -> Column:
+    names = ", ".join(f"`{c}`" for c in columns)
+    return F.expr(f"CAST(pmod(xxhash64({names}), {salts}) AS INT)")
+
+
 def spread_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
@@ -26,8 +31,9 @@ def spread_join(
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"spread_join cannot do a {how} join")
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Salted by content, so that a repeated task gives every row the same salt.
+    salted_left = left.withColumn("_salt", row_salt(left.columns, salts))
+    salted_right = right.withColumn("_salt", F.expr(f"explode(sequence(0, {salts - 1}))"))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 

@@ -7,9 +7,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Fixed value: what separates words.  ASCII letters, digits and underscore make up a word.
-WORD_EDGE = "(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])"
-WORD = re.compile("[A-Za-z0-9_]+", re.ASCII)
+# Fixed value: ASCII letters, digits and underscore make up a word.
+WORD_RUN = "[A-Za-z0-9_]+"
+WORD = re.compile(WORD_RUN, re.ASCII)
+
+# Up to this many entries a word is looked up in the whole dictionary, a linear scan in Spark's maps.
+SMALL_DICTIONARY = 16
 
 
 def swap_environment(name: Column, from_letter: str, to_letter: str) -> Column:
@@ -35,42 +38,41 @@ def _dictionary(mapping: Mapping[str, str]) -> dict[str, str]:
     return {old.lower(): new for old, new in mapping.items()}
 
 
-def _words(text: Column) -> Column:
-    """Alternating runs of word and other characters; joined they give the text back."""
-    return F.split(text, WORD_EDGE)
-
-
 def rewrite_names(docs: DataFrame, mapping: Mapping[str, str], text: str = "text") -> DataFrame:
     """Replace whole words by the dictionary in one pass over each text; letter case does not count.
 
-    The dictionary comes from the caller, so it is small and travels inside the plan.  A hashed intersection
-    finds the entries a text really uses; texts without any stay untouched, the others look words
-    up in those few entries only.
+    A text is its words and the separators around them; both come from one simple pattern, and the words
+    are replaced between their separators.  The dictionary comes from the caller, so it is small and travels
+    inside the plan.  With many entries a hashed intersection first finds the few a text really uses;
+    a text without any stays untouched.
     """
     entries = _dictionary(mapping)
     if not entries:
         return docs
     old = F.array(*[F.lit(k) for k in entries])
     table = F.map_from_arrays(old, F.array(*[F.lit(v) for v in entries.values()]))
-    pieces = _words(F.col(text))
-    used = F.array_intersect(F.transform(pieces, F.lower), old)
-    few = F.map_filter(table, lambda k, _: F.array_contains(F.col("_used"), k))
-    rewritten = F.array_join(
-        F.transform(pieces, lambda w: F.coalesce(F.element_at(F.col("_few"), F.lower(w)), w)), ""
-    )
-    return (
-        docs.withColumn("_used", used)
-        .withColumn("_few", F.when(F.size("_used") > 0, few))
-        .withColumn(text, F.when(F.col("_few").isNotNull(), rewritten).otherwise(F.col(text)))
-        .select(*docs.columns)
-    )
+    words = F.regexp_extract_all(text, F.lit(WORD_RUN), F.lit(0))
+    prepared = docs.withColumn("_words", words)
+    if len(entries) <= SMALL_DICTIONARY:
+        lookup, touched = table, F.col(text).isNotNull()
+    else:
+        used = F.array_intersect(F.transform("_words", F.lower), old)
+        few = F.map_filter(table, lambda k, _: F.array_contains(F.col("_used"), k))
+        prepared = prepared.withColumn("_used", used).withColumn("_few", F.when(F.size("_used") > 0, few))
+        lookup, touched = F.col("_few"), F.col("_few").isNotNull()
+    # One separator more than words: the text before the first word and after each one, often empty.
+    separators = F.split(text, WORD_RUN, -1)
+    renamed = F.transform("_words", lambda w: F.coalesce(F.element_at(lookup, F.lower(w)), w))
+    pieces = F.zip_with(separators, renamed, lambda s, w: F.concat(s, F.coalesce(w, F.lit(""))))
+    return prepared.withColumn(
+        text, F.when(touched, F.array_join(pieces, "")).otherwise(F.col(text))
+    ).select(*docs.columns)
 
 
 def name_usage(docs: DataFrame, mapping: Mapping[str, str], doc: str = "doc_id", text: str = "text") -> DataFrame:
     """How often each dictionary word occurs in each document."""
-    entries = _dictionary(mapping)
-    old = [F.lit(k) for k in entries]
-    words = docs.select(
-        F.col(doc), F.explode(F.transform(_words(F.col(text)), F.lower)).alias("name")
-    ).filter(F.col("name").isin(*old))
+    old = list(_dictionary(mapping))
+    words = F.explode(F.regexp_extract_all(text, F.lit(WORD_RUN), F.lit(0)))
+    named = docs.select(F.col(doc), words.alias("_word")).select(doc, F.lower("_word").alias("name"))
+    words = named.filter(F.col("name").isin(*old))
     return words.groupBy(doc, "name").agg(F.count(F.lit(1)).alias("uses"))

@@ -7,6 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from martkit.operators.joins import row_salt
+
 # Parts a frequent key is cut into where its rows are compared with the best order values.
 SALTS = 16
 
@@ -61,7 +63,8 @@ def best_rows(
 
 
 def _tiebreak(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    return [F.col(c).desc_nulls_last() for c in df.columns if c not in set(keys)]
+    others = [f"`{c}`" for c in df.columns if c not in set(keys)]
+    return [F.expr(c).desc_nulls_last() for c in others]
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], sort: Sequence[Column], function: Column) -> DataFrame:
@@ -79,7 +82,8 @@ def _best_rows_spread(df: DataFrame, keys: Sequence[str], order: Sequence[Order]
         *[F.col(c).alias(f"_best_{c}") for c in matched],
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_best_salt"),
     )
-    salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    # Copies of one row share a salt; what they pile up is left to the adaptive skew split.
+    salted = keyed.withColumn("_salt", row_salt(df.columns, SALTS))
     same = _all_same([F.col(c) for c in matched], [F.col(f"_best_{c}") for c in matched])
     return salted.join(salted_best, (F.col("_salt") == F.col("_best_salt")) & same, "left_semi").select(
         *df.columns

@@ -19,11 +19,11 @@ def conform(df: DataFrame, schema: T.StructType, **constants: object) -> DataFra
         if field.name in constants:
             value = constants[field.name]
             column = value if isinstance(value, Column) else F.lit(value)
-        elif field.name.lower() in have:
-            column = F.col(have[field.name.lower()])
+            out.append(column.cast(field.dataType).alias(field.name))
         else:
-            column = F.lit(None)
-        out.append(column.cast(field.dataType).alias(field.name))
+            source = have.get(field.name.lower())
+            text = f"`{source}`" if source else "NULL"
+            out.append(F.expr(f"CAST({text} AS {field.dataType.simpleString()}) AS `{field.name}`"))
     return df.select(*out)
 
 
