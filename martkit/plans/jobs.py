@@ -8,12 +8,13 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martkit.functions.dates import prev_month_end, rolling_window
-from martkit.operators.change import days_in, flag_matched, write_slice
+from martkit.operators.change import days_in, write_slice
 from martkit.operators.names import derive_name_map, rewrite_names
 from martkit.operators.shape import conform, union_events
 from martkit.plans import base, order_events, revenue, second_source, staged_events, tv_events
+from martkit.plans.order_events import Keep
 from martkit.sources.schemas import EVENT_FACT, MONTH_BASE
-from martkit.sources.tables import read_scripts, stage, write_scripts
+from martkit.sources.tables import StageArea, read_scripts, stage, write_scripts
 
 Tables = Mapping[str, DataFrame]
 
@@ -29,17 +30,19 @@ def read_fact(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def first_source_events(t: Tables, window: tuple[date, date], as_of: date) -> DataFrame:
+def first_source_events(
+    t: Tables, window: tuple[date, date], as_of: date, keep: Keep = stage
+) -> DataFrame:
     """Rows of all first-source slices of the window with service counts filled in."""
     television = tv_events.attach_order_dealer(t, tv_events.tv_events(t, window))
-    rows = stage(
+    rows = keep(
         union_events(
-            order_events.order_events(t, window, as_of),
+            order_events.order_events(t, window, as_of, keep),
             tv_events.tv_fact(tv_events.attach_customer_name(t, television), as_of),
             staged_events.load_fbb(t, window, as_of),
             staged_events.load_mobile_data(t, window, as_of),
             staged_events.load_blackberry(t, window, as_of),
-            staged_events.account_addon_events(t, window, as_of),
+            staged_events.account_addon_events(t, window, as_of, keep),
         ),
         "first_source",
     )
@@ -47,39 +50,48 @@ def first_source_events(t: Tables, window: tuple[date, date], as_of: date) -> Da
     return staged_events.apply_services_per_account(rows, counts, window)
 
 
-def run_daily_load(t: Tables, fact_path: str, as_of: date, back: int = 12, lag: int = 2) -> None:
+def run_daily_load(
+    spark: SparkSession, t: Tables, fact_path: str, as_of: date, back: int = 12, lag: int = 2
+) -> None:
     """Reload the window of the event fact: both sources, overlap flagged, in one slice replace.
 
     Counts and flags are set before the write, so the loaded partitions are written once.
     """
     window = rolling_window(as_of, back, lag)
-    second = conform(second_source.map_second_source_events(t, window), EVENT_FACT, bcc_migrated_ind="N")
-    rows = stage(union_events(first_source_events(t, window, as_of), second), "events")
-    flagged = stage(second_source.flag_migrated_events(rows), "events_flagged")
-    write_slice(
-        flagged, fact_path, EVENT_PARTITIONS,
-        {"src_cd": SOURCES, "work_ord_completion_dt": days_in(window)},
-    )
-
-
-def run_month_end(t: Tables, base_path: str, account_plan_path: str, as_of: date) -> None:
+    with StageArea(spark) as keep:
+        second = conform(
+            second_source.map_second_source_events(t, window), EVENT_FACT, bcc_migrated_ind="N"
+        )
+        rows = keep(union_events(first_source_events(t, window, as_of, keep), second), "events")
+        flagged = keep(second_source.flag_migrated_events(rows), "events_flagged")
+        write_slice(
+            flagged, fact_path, EVENT_PARTITIONS,
+            {"src_cd": SOURCES, "work_ord_completion_dt": days_in(window)},
+        )
+
+
+def run_month_end(
+    spark: SparkSession, t: Tables, base_path: str, account_plan_path: str, as_of: date
+) -> None:
     """Replace the month in the subscriber base (both sources, overlap flagged) and the account plan base."""
     month = prev_month_end(as_of)
-    second = conform(second_source.map_second_source_base(t, month), MONTH_BASE, bcc_migrated_ind="N")
-    rows = stage(union_events(base.month_base(t, month), second), "base_both")
-    flagged = stage(flag_matched(rows, ["svc_no", "per_end_dt"]), "base_flagged")
-    write_slice(flagged, base_path, BASE_PARTITIONS, {"src_cd": SOURCES, "per_end_dt": [month]})
-    plans = stage(base.account_plan_base(t, month), "account_plan_base")
-    write_slice(plans, account_plan_path, ["per_end_dt"], {"per_end_dt": [month]})
+    with StageArea(spark) as keep:
+        second = conform(second_source.map_second_source_base(t, month), MONTH_BASE, bcc_migrated_ind="N")
+        rows = keep(union_events(base.month_base(t, month, keep), second), "base_both")
+        flagged = keep(second_source.flag_migrated_base(rows), "base_flagged")
+        write_slice(flagged, base_path, BASE_PARTITIONS, {"src_cd": SOURCES, "per_end_dt": [month]})
+        plans = keep(base.account_plan_base(t, month), "account_plan_base")
+        write_slice(plans, account_plan_path, ["per_end_dt"], {"per_end_dt": [month]})
 
 
-def run_commission_revenue(t: Tables, fact_path: str, as_of: date) -> None:
+def run_commission_revenue(spark: SparkSession, t: Tables, fact_path: str, as_of: date) -> None:
     """Replace the month's billed revenue in the commission fact."""
     month = prev_month_end(as_of)
-    rows = stage(revenue.commission_revenue(t, month), "commission_revenue")
-    write_slice(
-        rows, fact_path, ["record_type", "day_dt"], {"record_type": [revenue.RECORD_TYPE], "day_dt": [month]}
-    )
+    with StageArea(spark) as keep:
+        rows = keep(revenue.commission_revenue(t, month), "commission_revenue")
+        write_slice(
+            rows, fact_path, ["record_type", "day_dt"], {"record_type": [revenue.RECORD_TYPE], "day_dt": [month]}
+        )
 
 
 def name_dictionary(names: DataFrame, from_letter: str, to_letter: str) -> dict[str, str]:

@@ -57,7 +57,7 @@ def write_scripts(docs: DataFrame, path: str, name: str = "path", text: str = "t
 
 def stage_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: what the cluster names in ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -68,12 +68,32 @@ def stage_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table once and read it back.
+class StageArea:
+    """A folder of staged tables that a job removes when it is done.
 
-    Cuts the lineage, survives lost executors, and gives later joins a plain scan with known size, so that
-    broadcast choices rest on the real size and adaptive skew splits apply.
+    Calling it writes a table once and reads it back.  That cuts the lineage, survives lost executors, and
+    gives later joins a plain scan of known size, so that broadcast choices rest on the real size and
+    adaptive skew splits apply.
     """
-    path = f"{stage_root(df.sparkSession)}/stage/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._folder = f"{stage_root(spark)}/stage-{uuid.uuid4().hex}"
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self._folder}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> StageArea:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        context = self._spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self._folder)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Stage one table for the life of the application."""
+    return StageArea(df.sparkSession)(df, name)

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from checks.harness import CheckTables
 from martkit.operators.change import days_in, write_slice
+from martkit.operators.shape import conform
 from martkit.plans import jobs
-from martkit.sources.schemas import COMMISSION_FACT, EVENT_FACT, MONTH_BASE
-from martkit.sources.tables import ParquetTables, read_scripts, stage, trim_keys
+from martkit.plans.second_source import load_second_source_events
+from martkit.sources.schemas import COMMISSION_FACT, EVENT_FACT, EVENT_STAGE, MONTH_BASE
+from martkit.sources.tables import ParquetTables, StageArea, read_scripts, stage, stage_root, trim_keys
 
 FOLDER = "/root/testdata/sf0.001"
 D = date.fromisoformat
@@ -67,6 +69,32 @@ def test_table_source(spark, tmp_path):
         tables["u"]
 
 
+def test_stage_area_cleans_up(spark):
+    root = stage_root(spark)
+    before = set(os.listdir(root))
+    with StageArea(spark) as keep:
+        assert keep(spark.range(3), "r").count() == 3
+        assert len(set(os.listdir(root)) - before) == 1
+    assert set(os.listdir(root)) == before
+
+
+def test_second_source_load_as_written(spark):
+    days = [D("2000-01-01"), D("2000-02-01")]
+    fact = conform(
+        spark.createDataFrame([("ID", d) for d in days], "src_cd string, work_ord_completion_dt date"), EVENT_FACT
+    )
+    rows = [("ED", d) for d in days]
+    new = conform(spark.createDataFrame(rows, "src_cd string, work_ord_completion_dt date"), EVENT_STAGE)
+    window = (D("2000-01-01"), D("2000-01-11"))
+
+    def left(df):
+        return sorted((r.src_cd, r.work_ord_completion_dt.month) for r in df.collect())
+
+    assert left(load_second_source_events(fact, new, window)) == [("ED", 1), ("ID", 1), ("ID", 2)]
+    # As written: first-source rows of the window are lost, older staging rows come again.
+    assert left(load_second_source_events(fact, new, window, faithful=True)) == [("ED", 1), ("ED", 2), ("ID", 2)]
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     return CheckTables(spark, FOLDER, stored=True)
@@ -78,17 +106,17 @@ def _content(df):
 
 def test_daily_load_is_idempotent(spark, tables, tmp_path):
     path = str(tmp_path / "events")
-    jobs.run_daily_load(tables, path, D("1999-01-02"), back=62)
+    jobs.run_daily_load(spark, tables, path, D("1999-01-02"), back=62)
     once = jobs.read_fact(spark, path, EVENT_FACT)
     first = _content(once)
     sources = {(r.src_cd, r.src_tbl) for r in once.select("src_cd", "src_tbl").distinct().collect()}
     assert {("ID", "Opom Extract"), ("ID", "adac_fbb"), ("ID", "oo_awkord"), ("ED", None)} <= sources
     days = once.agg(F.min("work_ord_completion_dt"), F.max("work_ord_completion_dt")).first()
     assert days[0] >= D("1998-11-01") and days[1] <= D("1998-12-31")
-    jobs.run_daily_load(tables, path, D("1999-01-02"), back=62)
+    jobs.run_daily_load(spark, tables, path, D("1999-01-02"), back=62)
     assert _content(jobs.read_fact(spark, path, EVENT_FACT)) == first
     # A later window leaves older days alone.
-    jobs.run_daily_load(tables, path, D("1999-02-02"), back=20)
+    jobs.run_daily_load(spark, tables, path, D("1999-02-02"), back=20)
     kept = jobs.read_fact(spark, path, EVENT_FACT).filter(F.col("work_ord_completion_dt") <= F.lit(D("1998-12-31")))
     assert _content(kept) == first
 
@@ -97,7 +125,7 @@ def test_month_end_is_idempotent(spark, tables, tmp_path):
     base, plans = str(tmp_path / "base"), str(tmp_path / "plans")
     seen = []
     for _ in range(2):
-        jobs.run_month_end(tables, base, plans, D("1998-09-01"))
+        jobs.run_month_end(spark, tables, base, plans, D("1998-09-01"))
         loaded = jobs.read_fact(spark, base, MONTH_BASE)
         seen.append((_content(loaded), spark.read.parquet(plans).count()))
     assert seen[0] == seen[1] and seen[0][1] > 0
@@ -107,6 +135,6 @@ def test_month_end_is_idempotent(spark, tables, tmp_path):
 def test_commission_revenue_load(spark, tables, tmp_path):
     path = str(tmp_path / "commission")
     for _ in range(2):
-        jobs.run_commission_revenue(tables, path, D("1998-09-01"))
+        jobs.run_commission_revenue(spark, tables, path, D("1998-09-01"))
     rows = jobs.read_fact(spark, path, COMMISSION_FACT)
     assert rows.count() == rows.select("svc_no", "dlr_cd", "rate_plan_cd").distinct().count() > 0
