@@ -47,6 +47,7 @@ def temporal_join(
     grace: int = 0,
     how: str = "inner",
     within: tuple[date, date] | None = None,
+    among: DataFrame | None = None,
     extra: Column | None = None,
 ) -> DataFrame:
     """Join each left row to the right rows of its key that are valid on ``left[at]``.
@@ -54,8 +55,12 @@ def temporal_join(
     ``on`` columns are shared names; the other columns of the two sides must differ.  ``within`` are
     inclusive bounds known to hold for ``left[at]``.  With bounds the right side is first cut to rows
     valid inside them (a filter the scan can use) and the window is divided into day slots that join
-    as a second equality key, so a frequent key meets only the history of the same few days.
+    as a second equality key, so a frequent key meets only the history of the same few days.  ``among`` is
+    any frame that holds the ``on`` keys of the left side and is cheap to read: the right side is cut to
+    those keys before its rows are repeated per slot.
     """
+    if among is not None:
+        right = spread_join(right, among.select(*on).dropna().distinct(), on, "left_semi")
     condition = valid_at(F.col(at), F.col(opened), F.col(closed), grace)
     if extra is not None:
         condition = condition & extra
@@ -167,9 +172,12 @@ def null_safe_join(
 
 
 def semi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Keep left rows whose key occurs on the right."""
-    keys = right.select(F.col(right_key).alias("_k"))
-    return left.join(keys, F.col(left_key) == F.col("_k"), "left_semi")
+    """Keep left rows whose key occurs on the right.
+
+    The right keys are made distinct first: a semi join cannot split a frequent key of its right side.
+    """
+    keys = right.select(F.col(right_key).alias("_k")).dropna().distinct()
+    return spread_join(left.withColumn("_k", F.col(left_key)), keys, ["_k"], "left_semi").drop("_k")
 
 
 def cast_key_join(

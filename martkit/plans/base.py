@@ -205,7 +205,7 @@ def base_order(t: Tables, base: DataFrame, per_end_dt: date) -> DataFrame:
         "int_pack_inst", F.col("component_id").cast("string").alias("component_id"), "active_dt", "inactive_dt"
     )
     components = semi_join(components, wanted, "component_id", "component_id")
-    packages = t["oo_btxnpa"].select("work_ord_no", "int_pack_inst").distinct()
+    packages = t["oo_btxnpa"].select("work_ord_no", "int_pack_inst")
     found = (
         orders.join(ids, "svc_inst_id")
         .join(packages, "work_ord_no")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from martkit.functions.dates import HIGH_DATE, or_high
 from martkit.functions.predicates import current_rows, in_interval
 from martkit.functions.text import PRODUCT_ACTIONS, decode_case, varchar
-from martkit.operators.joins import day_bounds, decode, segment_of, spread_join, temporal_join
+from martkit.operators.joins import day_bounds, decode, segment_of, semi_join, spread_join, temporal_join
 from martkit.operators.pick import best_rows, earliest, latest
 from martkit.operators.shape import conform, union_events
 from martkit.sources.schemas import EVENT_FACT
@@ -69,8 +69,8 @@ def order_components(
     t: Tables, order_keys: DataFrame, actions: tuple[str, ...], require: str
 ) -> DataFrame:
     """Components with the given actions of the given orders; the order keys cut the tables first."""
-    packages = t["oo_btxnpa"].select("work_ord_no", "int_pack_inst").join(
-        order_keys.select("work_ord_no"), "work_ord_no", "left_semi"
+    packages = semi_join(
+        t["oo_btxnpa"].select("work_ord_no", "int_pack_inst"), order_keys, "work_ord_no", "work_ord_no"
     )
     components = (
         t["oo_btxncm"]
@@ -113,20 +113,20 @@ def addon_orders(t: Tables, window: Span, kind: str) -> DataFrame:
     service_at = at if add else "work_ord_close_dt"
     history = temporal_join(
         orders, services, ["svc_inst_id"], service_at, "svc_open", "svc_close", 2,
-        within=window if add else day_bounds(orders, service_at),
+        within=window if add else day_bounds(orders, service_at), among=orders,
     )
     history = temporal_join(
-        history, _service_ids(t), ["svc_inst_id"], at, "id_open", "id_close", 2, within=window,
+        history, _service_ids(t), ["svc_inst_id"], at, "id_open", "id_close", 2, within=window, among=orders,
         extra=in_interval(F.col(at), F.col("id_start"), F.col("id_end")),
     )
     reps = t["oo_svcijn"].select(
         "svc_inst_id", "rep_id", F.col("open_dt").alias("rep_open"), F.col("close_dt").alias("rep_close")
     )
     history = temporal_join(
-        history, reps, ["svc_inst_id"], at, "rep_open", "rep_close", 2 if add else 1, within=window
+        history, reps, ["svc_inst_id"], at, "rep_open", "rep_close", 2 if add else 1, within=window, among=orders
     )
     history = temporal_join(
-        history, _order_reps(t), ["work_ord_no"], at, "oj_open", "oj_close", 2, "left", within=window
+        history, _order_reps(t), ["work_ord_no"], at, "oj_open", "oj_close", 2, "left", within=window, among=orders
     )
     newest_order = [latest("work_ord_completion_dt"), latest("work_ord_completion_tm"), latest("svc_close")]
     if add:
@@ -182,7 +182,8 @@ def attach_account(t: Tables, events: DataFrame, window: Span) -> DataFrame:
         "account_no", "bill_lname", F.col("vip_code").cast("string").alias("vip_code"),
         "owning_cost_ctr", "owning_cost_ctr_dv", "bill_zip", "open_dt", "close_dt",
     )
-    found = temporal_join(pairs.join(ids, "acct_id"), accounts, ["account_no"], at, grace=15, within=window)
+    known = pairs.join(ids, "acct_id")
+    found = temporal_join(known, accounts, ["account_no"], at, grace=15, within=window, among=known)
     picked = best_rows(found.drop("account_no", "open_dt").distinct(), ["acct_id", at], [latest("close_dt")])
     return spread_join(events, picked.drop("close_dt").distinct(), ["acct_id", at], "left")
 
@@ -212,11 +213,13 @@ def lookup_subscriber(t: Tables, events: DataFrame, window: Span, kind: str) ->
     )
     keys = ["svc_no", "ext_id_type"]
     if kind == "add":
-        found = temporal_join(asked, ids, keys, at, "active_day", "inactive_day", 2, within=window)
+        found = temporal_join(
+            asked, ids, keys, at, "active_day", "inactive_day", 2, within=window, among=events
+        )
         order = [latest("close_dt"), latest("active_date")]
     else:
         found = temporal_join(
-            asked, ids, keys, at, "open_dt", "close_dt", 3, within=window,
+            asked, ids, keys, at, "open_dt", "close_dt", 3, within=window, among=events,
             extra=in_interval(F.col(at), F.col("active_day"), F.col("inactive_day"), 3),
         )
         order = [latest("close_dt"), latest("inactive_date")]
@@ -259,7 +262,9 @@ def lookup_basic_plan(t: Tables, subscribers: DataFrame, window: Span, kind: str
         .join(basic_packages(t).select("package_id"), "package_id")
         .join(basic_components(t), "basic_rate_plan_cd")
     )
-    found = temporal_join(subscribers, held, ["subscr_no"], at, "start_day", "stop_day", within=window)
+    found = temporal_join(
+        subscribers, held, ["subscr_no"], at, "start_day", "stop_day", within=window, among=subscribers
+    )
     order = [latest("product_start"), latest("product_stop", HIGH_DATE)]
     if kind != "add":
         order.append(latest("plan_close"))
@@ -304,10 +309,8 @@ def original_order(t: Tables, churns: DataFrame) -> DataFrame:
         F.col("bolton_rate_plan_cd").alias("component_id"),
         F.col("bolton_active_dt").alias("cmp_active_dt"),
     ).distinct()
-    services = wanted.select("svc_inst_id").distinct().join(
-        t["oo_svcins"].select("svc_inst_id"), "svc_inst_id", "left_semi"
-    )
-    orders = (
+    services = semi_join(wanted.select("svc_inst_id"), t["oo_svcins"], "svc_inst_id", "svc_inst_id")
+    orders = semi_join(
         t["oo_wrkord"]
         .filter(
             (F.col("work_ord_status").cast("string") == COMPLETED)
@@ -316,8 +319,8 @@ def original_order(t: Tables, churns: DataFrame) -> DataFrame:
         )
         .select(
             "work_ord_no", "svc_inst_id", "work_ord_completion_dt", "work_ord_completion_tm", "dealer_cd"
-        )
-        .join(services, "svc_inst_id", "left_semi")
+        ),
+        services, "svc_inst_id", "svc_inst_id",
     )
     components = (
         order_components(t, orders, START_ACTIONS, "active_dt")
@@ -331,7 +334,7 @@ def original_order(t: Tables, churns: DataFrame) -> DataFrame:
     keys = ["component_id", "svc_inst_id"]
     newest = best_rows(candidates, keys, [latest("work_ord_completion_dt"), latest("work_ord_completion_tm")])
     with_rep = temporal_join(
-        newest, _order_reps(t), ["work_ord_no"], "work_ord_completion_dt", "oj_open", "oj_close", 2, "left"
+        newest, _order_reps(t), ["work_ord_no"], "work_ord_completion_dt", "oj_open", "oj_close", 2, "left",
     )
     return best_rows(with_rep, keys, [earliest("oj_open")]).select(
         *keys, "cmp_active_dt", "work_ord_no", "dealer_cd", "wrkjn_rep_id"
@@ -372,7 +375,7 @@ def account_events(t: Tables, window: Span, kind: str, keep: Keep = stage) -> Da
 def plan_events(t: Tables, window: Span, kind: str, keep: Keep = stage) -> DataFrame:
     """Events of one kind with subscriber and basic plan, named as in the fact."""
     events = account_events(t, window, kind, keep)
-    subscribers = lookup_subscriber(t, events, window, kind)
+    subscribers = keep(lookup_subscriber(t, events, window, kind), f"{kind}_subscribers")
     return consolidate(events, lookup_basic_plan(t, subscribers, window, kind))
 
 

@@ -30,10 +30,10 @@ COUNTERS = (
 def monthly_revenue(t: Tables, per_end_dt: date) -> DataFrame:
     """Net amount per service of the month, equipment charges left out.
 
-    Charge types join on three keys; a missing ledger code matches a missing one, a missing product
-    code matches nothing (the two sides default to different texts), except that a bill
-    line without product code matches the literal default text and the reverse.  Lines are summed per charge key before the join, which shrinks the billed lines to the
-    distinct charges of each service.
+    Charge types join on three keys.  A missing ledger code matches a missing one.  A missing product code
+    does not, because the two sides default to different texts: on one side it equals the text 'XXX', on
+    the other 'XX'.  Lines are summed per charge key before the join, which shrinks them to the distinct
+    charges of each service.
     """
     keys = ["sap_gl", "sap_prod_cd", "bill_stmt_chrg_cd"]
     lines = (

@@ -191,7 +191,7 @@ def account_addon_fact(t: Tables, addons: DataFrame, as_of: date, status: str) -
     pairs = addons.select("acct_no", "active_dt").distinct()
     found = temporal_join(
         pairs, plans, ["acct_no"], "active_dt", "plan_active_dt", "plan_inactive_dt",
-        within=day_bounds(addons, "active_dt"),
+        within=day_bounds(addons, "active_dt"), among=addons,
     )
     found = best_rows(found, ["acct_no", "active_dt"], [latest("plan_inactive_dt")]).drop("plan_active_dt")
     joined = spread_join(addons.drop("plan_type"), found, ["acct_no", "active_dt"], "left")
@@ -227,7 +227,7 @@ def services_per_account(t: Tables, events: DataFrame, window: Span) -> DataFram
     services = current_rows(t["oo_svcins"]).filter(F.col("end_dt").isNull() | (F.col("end_dt") <= end))
     services = semi_join(services.select("acct_id", "svc_inst_id"), touched, "acct_id", "acct_no")
     return (
-        services.join(ids.select("svc_inst_id"), "svc_inst_id", "left_semi")
+        semi_join(services, ids, "svc_inst_id", "svc_inst_id")
         .groupBy("acct_id")
         .agg(F.count_distinct("svc_inst_id").cast("int").alias("no_of_svc_x_acct"))
     )

@@ -56,10 +56,10 @@ def test_temporal_join_with_a_frequent_key(spark, facts):
     right = spark.createDataFrame(history, "k string, n int, open_dt date, close_dt date")
     bounds = joins.day_bounds(df, "d")
     assert bounds == (START, START + timedelta(days=59))
-    for within in (None, bounds):
-        got = joins.temporal_join(df, right, ["k"], "d", grace=2, within=within)
+    for within, among in ((None, None), (bounds, None), (bounds, df), (None, df)):
+        got = joins.temporal_join(df, right, ["k"], "d", grace=2, within=within, among=among)
         assert sorted((r.i, r.n) for r in got.collect()) == want
-        outer = joins.temporal_join(df, right, ["k"], "d", grace=2, how="left", within=within)
+        outer = joins.temporal_join(df, right, ["k"], "d", grace=2, how="left", within=within, among=among)
         assert outer.count() == len(want) + len(data) - sum(
             1 for i, k, d, _ in data if any(o - timedelta(days=2) <= d <= c for _, o, c in by_key[k])
         )
