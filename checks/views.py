@@ -255,7 +255,7 @@ SELECT CASE l_returnflag WHEN 'A' THEN 'Gross Adds' WHEN 'R' THEN 'Churns' ELSE
        CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS ord_id, CAST(l_partkey AS DOUBLE) AS subs_id,
        CAST(l_shipdate AS TIMESTAMP) AS assg_prce_plan_strt_ts,
        CASE WHEN l_returnflag = 'R' THEN CAST(l_shipdate AS TIMESTAMP) END AS assg_prce_plan_end_ts,
-       CAST(l_shipdate AS TIMESTAMP) + INTERVAL '23' HOUR AS curr_ord_actn_done_ts,
+       l_shipdate + INTERVAL '23' HOUR AS curr_ord_actn_done_ts,
        CAST(l_shipdate AS TIMESTAMP) AS curr_ord_actn_strt_ts, l_returnflag AS curr_ord_actn_type_id,
        'act ' || l_returnflag AS curr_ord_actn_type_ds, 'CH' AS curr_sale_serv_chnl_refr_id, 'rsn' AS curr_ord_actn_rsn_ds,
        'r1' AS curr_ord_actn_rsn_id, 'D1' AS prov_deal_id, 'prov' AS prov_agnt_lgin_nm,
