@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import sentencepiece_bpe
+from martkit.llm import decontaminate, language_id, secret_scan, sentencepiece_bpe
+from martkit.llm.common import in_fold
 
 
 def tokenizer_path(name: str) -> str:
@@ -29,8 +30,23 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_bpe.encoding_digests(table(spark, folder, "documents"), model)
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.language_report(table(spark, folder, "documents"), in_fold("doc_id", 4, 2))
+
+
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secret_report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_decontaminate": op2_decontaminate,
+    "op5_language_id": op5_language_id,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {}
