@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, language_id, secret_scan, sentencepiece_bpe
+from martkit.llm import decontaminate, language_id, quality, secret_scan, sentencepiece_bpe
 from martkit.llm.common import in_fold
 
 
@@ -38,6 +38,12 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.language_report(table(spark, folder, "documents"), in_fold("doc_id", 4, 2))
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_report(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), in_fold("doc_id", 5, 0)
+    )
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, folder, "documents"))
 
@@ -46,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontaminate": op2_decontaminate,
     "op5_language_id": op5_language_id,
+    "op6_quality": op6_quality,
     "op10_secret_scan": op10_secret_scan,
 }
 
