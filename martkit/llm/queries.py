@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, language_id, quality, secret_scan, sentencepiece_bpe
+from martkit.llm import decontaminate, language_id, quality, secret_scan, sentencepiece_bpe, toxicity
 from martkit.llm.common import in_fold
 
 
@@ -44,6 +44,12 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_report(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), in_fold("doc_id", 3, 1)
+    )
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, folder, "documents"))
 
@@ -53,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op5_language_id": op5_language_id,
     "op6_quality": op6_quality,
+    "op8_toxicity": op8_toxicity,
     "op10_secret_scan": op10_secret_scan,
 }
 
