@@ -56,6 +56,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_enough(df: DataFrame, rows: int) -> DataFrame:
+    """The table marked for broadcast if it has at most ``rows`` rows, which is counted; else as it is, to be shuffled."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def steps(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most ``limit`` text bytes, one row at least."""
     for batch in batches:

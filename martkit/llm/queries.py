@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, language_id, quality, secret_scan, sentencepiece_bpe, toxicity
+from martkit.llm import decontaminate, exact_dedup, language_id, quality, secret_scan, sentencepiece_bpe, toxicity
 from martkit.llm.common import in_fold
 
 
@@ -34,6 +34,10 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.find_copies(spark, f"{folder.rstrip('/')}/documents.parquet")
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.language_report(table(spark, folder, "documents"), in_fold("doc_id", 4, 2))
 
@@ -57,10 +61,18 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontaminate": op2_decontaminate,
+    "op4_exact_dedup": op4_exact_dedup,
     "op5_language_id": op5_language_id,
     "op6_quality": op6_quality,
     "op8_toxicity": op8_toxicity,
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW w AS (PARTITION BY coalesce(text, ''))
+""",
+}
