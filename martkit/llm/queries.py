@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, exact_dedup, language_id, quality, secret_scan, sentencepiece_bpe, toxicity
+from martkit.llm import decontaminate, exact_dedup, language_id, line_dedup, quality, secret_scan, sentencepiece_bpe, toxicity
 from martkit.llm.common import in_fold
 
 
@@ -48,6 +48,10 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_report(
         table(spark, folder, "documents"), table(spark, folder, "labels"), in_fold("doc_id", 3, 1)
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_language_id": op5_language_id,
     "op6_quality": op6_quality,
+    "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
     "op10_secret_scan": op10_secret_scan,
 }
