@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, exact_dedup, language_id, line_dedup, quality, secret_scan, sentencepiece_bpe, toxicity
+from martkit.llm import decontaminate, exact_dedup, language_id, line_dedup, ngram_join, quality, secret_scan, sentencepiece_bpe, toxicity
 from martkit.llm.common import in_fold
 
 
@@ -34,6 +34,10 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_classes(table(spark, folder, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.find_copies(spark, f"{folder.rstrip('/')}/documents.parquet")
 
@@ -65,6 +69,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontaminate": op2_decontaminate,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_language_id": op5_language_id,
     "op6_quality": op6_quality,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
