@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from martkit.llm.common import Words, byte_texts, columns_of, cut, mixed, small_enough, steps
+from martkit.llm.common import Words, byte_texts, columns_of, cut, mixed, own_name, small_enough, steps
 from martkit.llm.links import classes_by_keys
 from martkit.operators.joins import spread_join
 
@@ -212,8 +212,9 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def drop_similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their class; of rows with the same id all or none.
 
-    Rows without an id stay unless an equal text has one.
+    Rows without an id stay, as nothing names them.
     """
     classes = similar_classes(docs, key, text)
-    gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(small_enough(cut(gone), BROADCAST_IDS), F.col(f"`{key}`").cast("long") == F.col("_gone"), "left_anti")
+    name = own_name(docs, "gone")
+    gone = cut(classes.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(small_enough(gone, BROADCAST_IDS), F.col(f"`{key}`").cast("long") == F.col(name), "left_anti")

@@ -345,6 +345,20 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", t
     return frame.mapInArrow(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, score double")
 
 
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, unchanged; null and empty texts are scored as empty."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voters = Voters(shared.value.lexicon)
+        for part in steps(batches, at):
+            scores = shared.value.scores(voters.features(byte_texts(part.column(at)))[0])
+            yield part.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity_report(docs: DataFrame, labels: DataFrame, held_out, threshold: float = 0.7) -> DataFrame:
     """Learn from labels that are not held out and score all rows; 1 from the threshold on."""
     model = learn_toxicity(docs, labels, held_out)
