@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, exact_dedup, language_id, line_dedup, ngram_join, quality, secret_scan, sentencepiece_bpe, toxicity
+from martkit.llm import decontaminate, exact_dedup, language_id, license_scan, line_dedup, ngram_join, quality, secret_scan, sentencepiece_bpe, toxicity
 from martkit.llm.common import in_fold
 
 
@@ -62,6 +62,10 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_report(table(spark, folder, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, folder, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
 }
 
@@ -86,4 +91,5 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents
 WINDOW w AS (PARTITION BY coalesce(text, ''))
 """,
+    "op9_license_scan": license_scan.license_sql(),
 }
