@@ -18,7 +18,6 @@ from martkit.sources.schemas import EVENT_FACT
 
 AS_OF = date(1998, 9, 1)
 WINDOW = rolling_window(AS_OF)
-HISTORY = rolling_window(date(2001, 12, 31), back=2556, lag=0)
 SPAN = "BETWEEN DATE '1998-08-20' AND DATE '1998-08-30'"
 MONTH_END = date(1998, 8, 31)
 
@@ -165,7 +164,7 @@ _TEMPORAL = "h.acct_id = w.acct_id AND w.completion_dt >= h.open_dt - 2 AND w.co
 @check("temporal_join_inner", "work_ord_no:i open_dt:t vip_code",
        f"SELECT w.work_ord_no, h.open_dt, h.vip_code FROM wo w INNER JOIN acct_hist h ON {_TEMPORAL}")
 def _(t):
-    return joins.temporal_join(t["wo"], t["acct_hist"], ["acct_id"], "completion_dt", grace=2, within=HISTORY)
+    return joins.temporal_join(t["wo"], t["acct_hist"], ["acct_id"], "completion_dt", grace=2)
 
 
 @check("temporal_join_left", "work_ord_no:i component_id:i vip_code", """
@@ -173,9 +172,7 @@ SELECT c.work_ord_no, c.component_id, h.vip_code FROM cmp c LEFT JOIN acct_hist
   ON h.acct_id = c.component_id AND c.active_dt >= h.open_dt - 3 AND c.active_dt <= h.close_dt""")
 def _(t):
     right = t["acct_hist"].withColumnRenamed("acct_id", "component_id")
-    return joins.temporal_join(
-        t["cmp"], right, ["component_id"], "active_dt", grace=3, how="left", within=HISTORY
-    )
+    return joins.temporal_join(t["cmp"], right, ["component_id"], "active_dt", grace=3, how="left")
 
 
 @check("temporal_join_unbounded", "work_ord_no:i vip_code",
@@ -345,7 +342,8 @@ QUALIFY RANK() OVER (PARTITION BY w.work_ord_no ORDER BY w.completion_dt DESC, h
 @check("latest_rank", "work_ord_no:i acct_id:i completion_dt:t vip_code open_dt:t", _PICK)
 def latest_rank(t):
     orders = t["wo"].filter(F.col("completion_dt").between(*map(F.lit, WINDOW)))
-    joined = joins.temporal_join(orders, t["acct_hist"], ["acct_id"], "completion_dt", grace=2, within=WINDOW)
+    history = joins.alive_in(t["acct_hist"], WINDOW, grace=2)
+    joined = joins.temporal_join(orders, history, ["acct_id"], "completion_dt", grace=2)
     return best_rows(joined, ["work_ord_no"], [latest("completion_dt"), latest("close_dt")])
 
 
@@ -573,6 +571,10 @@ def _(t):
 WORDS = {"the": "THE_X", "data": "DATA_X", "and": "AND_X", "de": "DE_X", "la": "LA_X", "in": "IN_X"}
 
 
+def _listed(spark):
+    return spark.createDataFrame(list(WORDS.items()), "old_name string, new_name string")
+
+
 def _chained(text: str) -> str:
     for old, new in WORDS.items():
         text = rf"regexp_replace({text}, '(?i)\b{old}\b', '{new}', 'g')"
@@ -581,11 +583,29 @@ def _chained(text: str) -> str:
 
 @check("rewrite_names", "doc_id:i text", f"SELECT doc_id, {_chained('text')} AS text FROM documents")
 def _(t):
-    return names.rewrite_names(t["documents"].select("doc_id", "text"), WORDS)
+    docs = t["documents"].select("doc_id", "text")
+    return names.rewrite_names(docs, _listed(docs.sparkSession))
 
 
 @check("name_usage", "doc_id:i name uses:i", " UNION ALL ".join(
     f"SELECT doc_id, '{w}' AS name, len(regexp_extract_all(text, '(?i)\\b{w}\\b')) AS uses FROM documents"
     f" WHERE regexp_matches(text, '(?i)\\b{w}\\b')" for w in WORDS))
 def _(t):
-    return names.name_usage(t["documents"], WORDS)
+    return names.name_usage(t["documents"], _listed(t["documents"].sparkSession))
+
+
+# A dictionary of thousands of entries: every word of four characters or more in the benchmark texts.
+@check("rewrite_names_large", "doc_id:i text", """
+SELECT doc_id, string_agg(sep || coalesce(replacement, word, ''), '' ORDER BY i) AS text FROM (
+  SELECT doc_id, i, seps[i] AS sep, words[i] AS word FROM (
+    SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9_]+') AS words, string_split_regex(text, '[A-Za-z0-9_]+') AS seps
+    FROM documents) p, unnest(generate_series(1, len(seps))) s(i)) u
+LEFT JOIN (
+  SELECT DISTINCT lower(w) AS old, 'x_' || lower(w) AS replacement FROM (
+    SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9_]{4,}')) AS w FROM benchmark) b) d ON lower(word) = old
+GROUP BY doc_id""")
+def _(t):
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z0-9_]{4,}"), F.lit(0))
+    listed = t["benchmark"].select(F.explode(F.transform(words, F.lower)).alias("old_name")).distinct()
+    listed = listed.withColumn("new_name", F.concat(F.lit("x_"), "old_name"))
+    return names.rewrite_names(t["documents"].select("doc_id", "text"), listed)

@@ -15,8 +15,12 @@ def current_rows(df: DataFrame, close: str = "close_dt") -> DataFrame:
 
 
 def valid_at(day: Column, opened: Column, closed: Column, grace: int = 0) -> Column:
-    """``day`` lies in the row's validity, which may start ``grace`` days early."""
-    return day.between(F.date_sub(opened, grace), closed)
+    """``day`` lies in the row's validity, which may start ``grace`` days early.
+
+    The bounds stay bare columns, so that both reach the scan when ``day`` is a literal.
+    """
+    latest = F.date_add(day, grace) if grace else day
+    return (opened <= latest) & (closed >= day)
 
 
 def in_interval(day: Column, start: Column, end: Column, end_grace: int = 0) -> Column:

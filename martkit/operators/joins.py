@@ -11,7 +11,6 @@ from martkit.functions.dates import HIGH_DATE
 from martkit.functions.predicates import current_rows, folded, holds, same_text, valid_at
 
 SALTS = 8
-DAY_SLOTS = 8
 
 
 def row_salt(columns: Sequence[str], salts: int) -> Column:
@@ -46,57 +45,36 @@ def temporal_join(
     closed: str = "close_dt",
     grace: int = 0,
     how: str = "inner",
-    within: tuple[date, date] | None = None,
     among: DataFrame | None = None,
     extra: Column | None = None,
 ) -> DataFrame:
     """Join each left row to the right rows of its key that are valid on ``left[at]``.
 
-    ``on`` columns are shared names; the other columns of the two sides must differ.  ``within`` are
-    inclusive bounds known to hold for ``left[at]``.  With bounds the right side is first cut to rows
-    valid inside them (a filter the scan can use) and the window is divided into day slots that join
-    as a second equality key, so a frequent key meets only the history of the same few days.  ``among`` is
-    any frame that holds the ``on`` keys of the left side and is cheap to read: the right side is cut to
-    those keys before its rows are repeated per slot.
+    ``on`` columns are shared names; the other columns of the two sides must differ.  ``among`` is any
+    frame that holds the ``on`` keys of the left side and is cheap to read: the right side is cut to
+    those keys before the join.  Where ``left[at]`` is known to lie in a window, hand in a history cut by
+    ``alive_in``.  No row is copied; a frequent key is split by the adaptive skew join.
     """
     if among is not None:
         right = spread_join(right, among.select(*on).dropna().distinct(), on, "left_semi")
     condition = valid_at(F.col(at), F.col(opened), F.col(closed), grace)
     if extra is not None:
         condition = condition & extra
-    if within is None:
-        renamed, keys = _own_keys(right, on)
-        joined = left.join(renamed, _equal(left, renamed, keys) & condition, how)
-        return joined.drop(*[r for _, r in keys])
-
-    low, high = within
-    width = max(1, ((high - low).days + 1) // DAY_SLOTS)
-    start = F.date_sub(F.col(opened), grace)
-    # Bare columns against literals, so that the scan can skip row groups.
-    alive = right.filter((F.col(opened) <= F.lit(high + timedelta(days=grace))) & (F.col(closed) >= F.lit(low)))
-    alive = alive.withColumn(
-        "_slot",
-        F.explode(
-            F.sequence(
-                _slot(F.greatest(start, F.lit(low)), low, width),
-                _slot(F.least(F.col(closed), F.lit(high)), low, width),
-            )
-        ),
-    )
-    renamed, keys = _own_keys(alive, [*on, "_slot"])
-    slotted = left.withColumn("_slot", _slot(F.col(at), low, width))
-    joined = slotted.join(renamed, _equal(slotted, renamed, keys) & condition, how)
-    return joined.drop("_slot", *[r for _, r in keys])
-
+    renamed, keys = _own_keys(right, on)
+    joined = left.join(renamed, _equal(left, renamed, keys) & condition, how)
+    return joined.drop(*[r for _, r in keys])
 
-def day_bounds(df: DataFrame, day: str) -> tuple[date, date] | None:
-    """First and last day of a column, for ``within``.  Runs a small job: one row comes back."""
-    low, high = df.agg(F.min(day), F.max(day)).first()
-    return None if low is None else (low, high)
 
+def alive_in(
+    history: DataFrame, window: tuple[date, date], opened: str = "open_dt", closed: str = "close_dt", grace: int = 0
+) -> DataFrame:
+    """History rows valid on some day of a window, which may start ``grace`` days early.
 
-def _slot(day: Column, low: date, width: int) -> Column:
-    return F.floor(F.datediff(day, F.lit(low)) / F.lit(width)).cast("int")
+    Bare columns against literals, so that the scan can skip row groups.  Only for joins whose other side lies in
+    the window by a filter of its own: rows outside would find nothing.
+    """
+    low, high = window
+    return history.filter((F.col(opened) <= F.lit(high + timedelta(days=grace))) & (F.col(closed) >= F.lit(low)))
 
 
 def _own_keys(right: DataFrame, on: Sequence[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
@@ -205,9 +183,9 @@ def decode(
 def segment_of(df: DataFrame, classes: DataFrame, code: str = "vip_code", out: str = "cfu") -> DataFrame:
     """Left join to the current sales classes: segment by class code, compared as text."""
     wanted = current_rows(classes).select(
-        F.rtrim(F.col("sales_class_ref_cd").cast("string")).alias("_class"), F.col("cfu").alias(out)
+        folded(F.col("sales_class_ref_cd").cast("string")).alias("_class"), F.col("cfu").alias(out)
     )
-    return df.join(wanted, F.rtrim(F.col(code).cast("string")) == F.col("_class"), "left").drop("_class")
+    return df.join(wanted, folded(F.col(code).cast("string")) == F.col("_class"), "left").drop("_class")
 
 
 def cross_join_param(df: DataFrame, **values: object) -> DataFrame:

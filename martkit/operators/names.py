@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martkit.operators.joins import spread_join
+
 # Fixed value: ASCII letters, digits and underscore make up a word.
 WORD_RUN = "[A-Za-z0-9_]+"
-WORD = re.compile(WORD_RUN, re.ASCII)
-
-# Up to this many entries a word is looked up in the whole dictionary, a linear scan in Spark's maps.
-SMALL_DICTIONARY = 16
-
 
 def swap_environment(name: Column, from_letter: str, to_letter: str) -> Column:
     """Swap the first environment letter that has a character before it; case does not count."""
@@ -31,48 +25,52 @@ def derive_name_map(names: DataFrame, from_letter: str, to_letter: str, name: st
     )
 
 
-def _dictionary(mapping: Mapping[str, str]) -> dict[str, str]:
-    for old in mapping:
-        if not WORD.fullmatch(old):
-            raise ValueError(f"not a single word: {old!r}")
-    return {old.lower(): new for old, new in mapping.items()}
+def checked_names(names: DataFrame, old: str = "old_name", new: str = "new_name") -> DataFrame:
+    """``(word, replacement)``: the dictionary by lower-case word, one row each.
+
+    Rows without an old or new name do not count.  An entry that is not a single word, or that has two different
+    replacements, fails the job when it runs.
+    """
+    word = F.lower(F.col(old))
+    rows = names.select(word.alias("word"), F.col(new).alias("new")).dropna()
+    one = rows.groupBy("word").agg(F.min("new").alias("low"), F.max("new").alias("high"))
+    message = F.when(~F.col("word").rlike(f"^{WORD_RUN}$"), F.concat(F.lit("not a single word: "), "word")).when(
+        F.col("low") != F.col("high"), F.concat(F.lit("two replacements for: "), "word")
+    )
+    replacement = F.when(message.isNotNull(), F.raise_error(message).cast("string")).otherwise(F.col("low"))
+    return one.select("word", replacement.alias("replacement"))
 
 
-def rewrite_names(docs: DataFrame, mapping: Mapping[str, str], text: str = "text") -> DataFrame:
+def rewrite_names(
+    docs: DataFrame, names: DataFrame, text: str = "text", old: str = "old_name", new: str = "new_name"
+) -> DataFrame:
     """Replace whole words by the dictionary in one pass over each text; letter case does not count.
 
-    A text is its words and the separators around them; both come from one simple pattern, and the words
-    are replaced between their separators.  The dictionary comes from the caller, so it is small and travels
-    inside the plan.  With many entries a hashed intersection first finds the few a text really uses;
-    a text without any stays untouched.
+    The distinct words of each text meet the dictionary in a salted join, so neither a long dictionary nor a word that every
+    text has matters; what a text uses comes back to it as a small map.  A text is its words and the
+    separators around them; the words are replaced between their separators.  A text without any stays untouched.
     """
-    entries = _dictionary(mapping)
-    if not entries:
-        return docs
-    old = F.array(*[F.lit(k) for k in entries])
-    table = F.map_from_arrays(old, F.array(*[F.lit(v) for v in entries.values()]))
     words = F.regexp_extract_all(text, F.lit(WORD_RUN), F.lit(0))
-    prepared = docs.withColumn("_words", words)
-    if len(entries) <= SMALL_DICTIONARY:
-        lookup, touched = table, F.col(text).isNotNull()
-    else:
-        used = F.array_intersect(F.transform("_words", F.lower), old)
-        few = F.map_filter(table, lambda k, _: F.array_contains(F.col("_used"), k))
-        prepared = prepared.withColumn("_used", used).withColumn("_few", F.when(F.size("_used") > 0, few))
-        lookup, touched = F.col("_few"), F.col("_few").isNotNull()
+    # Equal texts use the same names: they are told by two hashes, not by a key the caller would have to have.
+    marks = {"_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(1), F.col(text))}
+    distinct = F.explode(F.array_distinct(F.transform(words, F.lower)))
+    asked = docs.select(*[c.alias(n) for n, c in marks.items()], distinct.alias("word"))
+    found = spread_join(asked, checked_names(names, old, new), ["word"], "inner")
+    used = found.groupBy(*marks).agg(F.map_from_entries(F.collect_set(F.struct("word", "replacement"))).alias("_used"))
+    joined = docs.withColumns(marks).join(used, list(marks), "left")
     # One separator more than words: the text before the first word and after each one, often empty.
     separators = F.split(text, WORD_RUN, -1)
-    renamed = F.transform("_words", lambda w: F.coalesce(F.element_at(lookup, F.lower(w)), w))
+    renamed = F.transform(words, lambda w: F.coalesce(F.element_at("_used", F.lower(w)), w))
     pieces = F.zip_with(separators, renamed, lambda s, w: F.concat(s, F.coalesce(w, F.lit(""))))
-    return prepared.withColumn(
-        text, F.when(touched, F.array_join(pieces, "")).otherwise(F.col(text))
-    ).select(*docs.columns)
+    changed = F.when(F.col("_used").isNotNull(), F.array_join(pieces, "")).otherwise(F.col(text))
+    return joined.withColumn(text, changed).select(*docs.columns)
 
 
-def name_usage(docs: DataFrame, mapping: Mapping[str, str], doc: str = "doc_id", text: str = "text") -> DataFrame:
+def name_usage(
+    docs: DataFrame, names: DataFrame, doc: str = "doc_id", text: str = "text", old: str = "old_name", new: str = "new_name"
+) -> DataFrame:
     """How often each dictionary word occurs in each document."""
-    old = list(_dictionary(mapping))
     words = F.explode(F.regexp_extract_all(text, F.lit(WORD_RUN), F.lit(0)))
-    named = docs.select(F.col(doc), words.alias("_word")).select(doc, F.lower("_word").alias("name"))
-    words = named.filter(F.col("name").isin(*old))
-    return words.groupBy(doc, "name").agg(F.count(F.lit(1)).alias("uses"))
+    counted = docs.select(F.col(doc), words.alias("_word")).groupBy(doc, F.lower("_word").alias("word"))
+    uses = counted.agg(F.count(F.lit(1)).alias("uses"))
+    return spread_join(uses, checked_names(names, old, new), ["word"], "inner").select(doc, F.col("word").alias("name"), "uses")

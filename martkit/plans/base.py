@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from martkit.functions.dates import HIGH_DATE, LOW_DATE, or_high, same_month
-from martkit.functions.predicates import current_rows, in_interval, valid_at
+from martkit.functions.predicates import current_rows, folded, in_interval, text_in, valid_at
 from martkit.functions.text import varchar
 from martkit.operators.change import drop_null_keys, replace_slice, update_from
 from martkit.operators.joins import semi_join, spread_join
@@ -287,9 +287,9 @@ def apply_service_counts(base: DataFrame, counts: DataFrame) -> DataFrame:
 def base_segment(t: Tables, base: DataFrame) -> DataFrame:
     """Segment by VIP code; both sides compare as text."""
     classes = t["cfg_sales_class_ref"].select(
-        F.rtrim(F.col("sales_class_ref_cd").cast("string")).alias("class_cd"), "cfu"
+        folded(F.col("sales_class_ref_cd").cast("string")).alias("class_cd"), "cfu"
     )
-    keyed = base.withColumn("_vip", F.col("vip_code").cast("string"))
+    keyed = base.withColumn("_vip", folded(F.col("vip_code").cast("string")))
     return update_from(keyed, classes, [("_vip", "class_cd")], {"cfu": "cfu"}).drop("_vip")
 
 
@@ -301,11 +301,12 @@ def load_base(fact: DataFrame, base: DataFrame, per_end_dt: date) -> DataFrame:
 def account_plan_base(t: Tables, per_end_dt: date) -> DataFrame:
     """Account plans live at month end that did not start and end in one month, newest per plan type."""
     plans = t["f_tbc_acct_plans"].filter(
-        F.col("plan_type").isin(*ACCOUNT_PLAN_TYPES)
+        text_in(F.col("plan_type"), *ACCOUNT_PLAN_TYPES)
         & F.lit(per_end_dt).between(F.col("plan_active_dt"), F.col("plan_inactive_dt"))
         & ~same_month(F.col("plan_active_dt"), F.col("plan_inactive_dt"))
     )
-    picked = best_rows(plans, ["acct_no", "plan_type"], [latest("plan_active_dt")], ties=False)
+    typed = plans.withColumn("_type", folded(F.col("plan_type")))
+    picked = best_rows(typed, ["acct_no", "_type"], [latest("plan_active_dt")], ties=False)
     return picked.select(F.lit(per_end_dt).alias("per_end_dt"), *plans.columns)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from martkit.functions.dates import prev_month_end, rolling_window
 from martkit.operators.change import days_in, write_slice
@@ -18,11 +18,21 @@ from martkit.sources.tables import StageArea, read_scripts, stage, write_scripts
 
 Tables = Mapping[str, DataFrame]
 
-EVENT_PARTITIONS = ["src_cd", "work_ord_completion_dt"]
+# The source table of an event, as a folder: rows of the second source name none.
+SOURCE_PART = "src_part"
+SECOND_PART = "second_source"
+OWNED_PARTS = [
+    order_events.ORDER_SOURCE, tv_events.TV_SOURCE, staged_events.FBB_SOURCE, staged_events.DATA_SOURCE,
+    staged_events.BLACKBERRY_SOURCE, staged_events.ACCOUNT_SOURCE, SECOND_PART,
+]
+EVENT_PARTITIONS = [SOURCE_PART, "work_ord_completion_dt"]
 BASE_PARTITIONS = ["src_cd", "per_end_dt"]
 SOURCES = ["ID", "ED"]
-# A name list is configuration.  Beyond this many entries it is no longer sent inside a plan.
-MAX_NAMES = 10_000
+
+
+def source_part() -> Column:
+    """Folder name of an event's source table; every table has one of its own."""
+    return F.coalesce(F.col("src_tbl"), F.lit(SECOND_PART))
 
 
 def read_fact(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -55,7 +65,8 @@ def run_daily_load(
 ) -> None:
     """Reload the window of the event fact: both sources, overlap flagged, in one slice replace.
 
-    Counts and flags are set before the write, so the loaded partitions are written once.
+    Counts and flags are set before the write, so the loaded partitions are written once.  Slices are those of
+    the source tables this job rebuilds; other tables' rows of the same days stay.
     """
     window = rolling_window(as_of, back, lag)
     with StageArea(spark) as keep:
@@ -63,10 +74,11 @@ def run_daily_load(
             second_source.map_second_source_events(t, window), EVENT_FACT, bcc_migrated_ind="N"
         )
         rows = keep(union_events(first_source_events(t, window, as_of, keep), second), "events")
-        flagged = keep(second_source.flag_migrated_events(rows), "events_flagged")
+        flagged = second_source.flag_migrated_events(rows)
+        parted = keep(flagged.withColumn(SOURCE_PART, source_part()), "events_flagged")
         write_slice(
-            flagged, fact_path, EVENT_PARTITIONS,
-            {"src_cd": SOURCES, "work_ord_completion_dt": days_in(window)},
+            parted, fact_path, EVENT_PARTITIONS,
+            {SOURCE_PART: OWNED_PARTS, "work_ord_completion_dt": days_in(window)},
         )
 
 
@@ -94,20 +106,9 @@ def run_commission_revenue(spark: SparkSession, t: Tables, fact_path: str, as_of
         )
 
 
-def name_dictionary(names: DataFrame, from_letter: str, to_letter: str) -> dict[str, str]:
-    """The derived name map as a dictionary; refuses a list too long to be configuration."""
-    rows = derive_name_map(names, from_letter, to_letter).limit(MAX_NAMES + 1).collect()
-    if len(rows) > MAX_NAMES:
-        raise ValueError(f"name list longer than {MAX_NAMES}")
-    return {r.old_name: r.new_name for r in rows}
-
-
 def run_retarget(
     spark: SparkSession, scripts_path: str, names: DataFrame, from_letter: str, to_letter: str, out_path: str
 ) -> None:
     """Rewrite the database names of one environment to another in all scripts below a folder."""
     docs = read_scripts(spark, scripts_path)
-    below = F.regexp_replace("path", "^.*?" + scripts_path.strip("/") + "/", "")
-    write_scripts(
-        rewrite_names(docs.withColumn("path", below), name_dictionary(names, from_letter, to_letter)), out_path
-    )
+    write_scripts(rewrite_names(docs, derive_name_map(names, from_letter, to_letter)), out_path)

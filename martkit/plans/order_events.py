@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from martkit.functions.dates import HIGH_DATE, or_high
 from martkit.functions.predicates import current_rows, in_interval
 from martkit.functions.text import PRODUCT_ACTIONS, decode_case, varchar
-from martkit.operators.joins import day_bounds, decode, segment_of, semi_join, spread_join, temporal_join
+from martkit.operators.joins import alive_in, decode, segment_of, semi_join, spread_join, temporal_join
 from martkit.operators.pick import best_rows, earliest, latest
 from martkit.operators.shape import conform, union_events
 from martkit.sources.schemas import EVENT_FACT
@@ -111,22 +111,24 @@ def addon_orders(t: Tables, window: Span, kind: str) -> DataFrame:
     at = "work_ord_completion_dt"
     # Churn orders meet the service on their close date, which the window does not bound.
     service_at = at if add else "work_ord_close_dt"
+    if add:
+        services = alive_in(services, window, "svc_open", "svc_close", 2)
+    history = temporal_join(orders, services, ["svc_inst_id"], service_at, "svc_open", "svc_close", 2, among=orders)
     history = temporal_join(
-        orders, services, ["svc_inst_id"], service_at, "svc_open", "svc_close", 2,
-        within=window if add else day_bounds(orders, service_at), among=orders,
-    )
-    history = temporal_join(
-        history, _service_ids(t), ["svc_inst_id"], at, "id_open", "id_close", 2, within=window, among=orders,
+        history, alive_in(_service_ids(t), window, "id_open", "id_close", 2), ["svc_inst_id"], at, "id_open", "id_close", 2,
+        among=orders,
         extra=in_interval(F.col(at), F.col("id_start"), F.col("id_end")),
     )
     reps = t["oo_svcijn"].select(
         "svc_inst_id", "rep_id", F.col("open_dt").alias("rep_open"), F.col("close_dt").alias("rep_close")
     )
     history = temporal_join(
-        history, reps, ["svc_inst_id"], at, "rep_open", "rep_close", 2 if add else 1, within=window, among=orders
+        history, alive_in(reps, window, "rep_open", "rep_close", 2), ["svc_inst_id"], at, "rep_open", "rep_close",
+        2 if add else 1, among=orders,
     )
     history = temporal_join(
-        history, _order_reps(t), ["work_ord_no"], at, "oj_open", "oj_close", 2, "left", within=window, among=orders
+        history, alive_in(_order_reps(t), window, "oj_open", "oj_close", 2), ["work_ord_no"], at, "oj_open", "oj_close", 2,
+        "left", among=orders,
     )
     newest_order = [latest("work_ord_completion_dt"), latest("work_ord_completion_tm"), latest("svc_close")]
     if add:
@@ -183,7 +185,8 @@ def attach_account(t: Tables, events: DataFrame, window: Span) -> DataFrame:
         "owning_cost_ctr", "owning_cost_ctr_dv", "bill_zip", "open_dt", "close_dt",
     )
     known = pairs.join(ids, "acct_id")
-    found = temporal_join(known, accounts, ["account_no"], at, grace=15, within=window, among=known)
+    accounts = alive_in(accounts, window, grace=15)
+    found = temporal_join(known, accounts, ["account_no"], at, grace=15, among=known)
     picked = best_rows(found.drop("account_no", "open_dt").distinct(), ["acct_id", at], [latest("close_dt")])
     return spread_join(events, picked.drop("close_dt").distinct(), ["acct_id", at], "left")
 
@@ -213,13 +216,12 @@ def lookup_subscriber(t: Tables, events: DataFrame, window: Span, kind: str) ->
     )
     keys = ["svc_no", "ext_id_type"]
     if kind == "add":
-        found = temporal_join(
-            asked, ids, keys, at, "active_day", "inactive_day", 2, within=window, among=events
-        )
+        ids = alive_in(ids, window, "active_day", "inactive_day", 2)
+        found = temporal_join(asked, ids, keys, at, "active_day", "inactive_day", 2, among=events)
         order = [latest("close_dt"), latest("active_date")]
     else:
         found = temporal_join(
-            asked, ids, keys, at, "open_dt", "close_dt", 3, within=window, among=events,
+            asked, alive_in(ids, window, grace=3), keys, at, "open_dt", "close_dt", 3, among=events,
             extra=in_interval(F.col(at), F.col("active_day"), F.col("inactive_day"), 3),
         )
         order = [latest("close_dt"), latest("inactive_date")]
@@ -262,9 +264,8 @@ def lookup_basic_plan(t: Tables, subscribers: DataFrame, window: Span, kind: str
         .join(basic_packages(t).select("package_id"), "package_id")
         .join(basic_components(t), "basic_rate_plan_cd")
     )
-    found = temporal_join(
-        subscribers, held, ["subscr_no"], at, "start_day", "stop_day", within=window, among=subscribers
-    )
+    held = alive_in(held, window, "start_day", "stop_day")
+    found = temporal_join(subscribers, held, ["subscr_no"], at, "start_day", "stop_day", among=subscribers)
     order = [latest("product_start"), latest("product_stop", HIGH_DATE)]
     if kind != "add":
         order.append(latest("plan_close"))
@@ -334,7 +335,7 @@ def original_order(t: Tables, churns: DataFrame) -> DataFrame:
     keys = ["component_id", "svc_inst_id"]
     newest = best_rows(candidates, keys, [latest("work_ord_completion_dt"), latest("work_ord_completion_tm")])
     with_rep = temporal_join(
-        newest, _order_reps(t), ["work_ord_no"], "work_ord_completion_dt", "oj_open", "oj_close", 2, "left",
+        newest, _order_reps(t), ["work_ord_no"], "work_ord_completion_dt", "oj_open", "oj_close", 2, "left", among=newest,
     )
     return best_rows(with_rep, keys, [earliest("oj_open")]).select(
         *keys, "cmp_active_dt", "work_ord_no", "dealer_cd", "wrkjn_rep_id"

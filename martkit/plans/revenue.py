@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from martkit.functions.predicates import current_rows
+from martkit.functions.predicates import current_rows, same_text, text_in
 from martkit.operators.change import replace_slice
 from martkit.operators.joins import spread_join
 from martkit.operators.shape import conform
@@ -49,7 +49,7 @@ def monthly_revenue(t: Tables, per_end_dt: date) -> DataFrame:
             F.coalesce("sap_prod_cd", F.lit("XXX")).alias("_prod"),
         )
     )
-    charges = t["cfg_rev_ref"].filter(F.col("chrg_type_lvl_3") != EQUIPMENT).select(
+    charges = t["cfg_rev_ref"].filter(~same_text(F.col("chrg_type_lvl_3"), EQUIPMENT)).select(
         F.coalesce("sap_gl", F.lit("XXX")).alias("_gl"),
         F.coalesce("sap_prod_cd", F.lit("XX")).alias("_prod"),
         "bill_stmt_chrg_cd",
@@ -73,7 +73,7 @@ def commission_revenue(t: Tables, per_end_dt: date) -> DataFrame:
         F.col("rate_plan_ds").alias("basic_plan_ds"),
     )
     dealers = current_rows(t["md_dlr_hier_ref"]).filter(
-        (F.col("report_grp_cd") == REPORT_GROUP) & F.col("regn").isin(*REGIONS)
+        same_text(F.col("report_grp_cd"), REPORT_GROUP) & text_in(F.col("regn"), *REGIONS)
     ).select("dlr_cd", "regn", "report_grp_cd", "dlr_hier_ref_eff_dt", "dlr_hier_ref_end_dt")
     joined = (
         members.join(plans, "rate_plan_cd")

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from martkit.functions.dates import prev_month_end
 from martkit.functions.predicates import on_days
 from martkit.functions.text import ACCOUNT_TYPES, decode_case, whole_number_text
 from martkit.operators.change import flag_matched, replace_slice
@@ -82,7 +81,8 @@ def map_second_source_base(t: Tables, per_end_dt: date) -> DataFrame:
     """Month base of the second source in the base staging layout, for one reporting month."""
     month = t["ips_f_subs_bltn_base_mnth"]
     # The reporting month end is the one before the source's period end.
-    month = month.filter(prev_month_end(F.col("perd_end_dt")) == F.lit(per_end_dt))
+    first = per_end_dt + timedelta(days=1)
+    month = month.filter((F.col("perd_end_dt") >= F.lit(first)) & (F.col("perd_end_dt") <= F.last_day(F.lit(first))))
     named = month.select(
         F.col("prim_rsrc_valu_txt").alias("svc_no"),
         F.concat(F.trim("prod_type_ds"), F.lit(" "), F.trim("subs_type_ds")).alias("product"),

@@ -7,10 +7,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martkit.functions.predicates import current_rows, same_text
+from martkit.functions.predicates import current_rows, folded, same_text, text_in
 from martkit.functions.text import STAGING_STATUS, decode_case, mid_token, varchar
 from martkit.operators.change import update_from
-from martkit.operators.joins import day_bounds, semi_join, spread_join, temporal_join
+from martkit.operators.joins import semi_join, spread_join, temporal_join
 from martkit.operators.pick import best_rows, latest
 from martkit.operators.shape import conform, union_events
 from martkit.plans.order_events import COMPLETED, END_ACTIONS, START_ACTIONS, Keep
@@ -34,7 +34,7 @@ MOBILE = "20"
 
 def _staged(t: Tables, window: Span, *sources: str) -> DataFrame:
     return t["all_daily_add_churn"].filter(
-        F.col("src_tbl").isin(*sources) & F.col("day_dt").between(*map(F.lit, window))
+        text_in(F.col("src_tbl"), *sources) & F.col("day_dt").between(*map(F.lit, window))
     )
 
 
@@ -48,7 +48,7 @@ def load_fbb(t: Tables, window: Span, as_of: date) -> DataFrame:
     """Fixed broadband speed packs: the plan is found by its description."""
     plans = current_rows(t["cfg_sov_ref"], "end_dt").filter(F.col("rate_plan_cd").isNotNull()).select(
         F.col("rate_plan_cd").alias("bolton_rate_plan_cd"),
-        F.col("rate_plan_ds").alias("bolton_rate_plan_ds"),
+        folded(F.col("rate_plan_ds")).alias("_plan"),
     )
     components = current_rows(t["ar_component_definition_values"]).select(
         F.col("component_id").cast("string").alias("basic_rate_plan_cd"),
@@ -60,6 +60,7 @@ def load_fbb(t: Tables, window: Span, as_of: date) -> DataFrame:
         "acct_no",
         F.col("bill_to_acct_nm").alias("customer_name"),
         F.col("contrct_nm").alias("bolton_rate_plan_ds"),
+        folded(F.col("contrct_nm")).alias("_plan"),
         F.col("basic_accs_rate_plan_cd").alias("basic_rate_plan_cd"),
         "cfu",
         F.col("rep_cd").alias("rep_id"),
@@ -70,12 +71,12 @@ def load_fbb(t: Tables, window: Span, as_of: date) -> DataFrame:
         F.col("day_dt").alias("work_ord_completion_dt"),
         F.col("rsn_cd").alias("disconnect_reason"),
     )
-    joined = rows.join(plans, "bolton_rate_plan_ds").join(components, "basic_rate_plan_cd", "left")
+    joined = rows.join(plans, "_plan").drop("_plan").join(components, "basic_rate_plan_cd", "left")
     return _fact(joined, as_of, FBB_SOURCE)
 
 
 def _mobile_rows(t: Tables, window: Span, source: str, plans: DataFrame) -> DataFrame:
-    groups = t["l_service_event"].filter(F.col("service_event_grp").isin(*EVENT_GROUPS)).select(
+    groups = t["l_service_event"].filter(text_in(F.col("service_event_grp"), *EVENT_GROUPS)).select(
         F.col("service_event_cd").alias("svc_stat_cd"), F.col("service_event_grp").alias("status_cd")
     )
     named_plans = plans.select(
@@ -84,7 +85,7 @@ def _mobile_rows(t: Tables, window: Span, source: str, plans: DataFrame) -> Data
     basic = t["cfg_rate_plan_ref"].select(
         F.col("rate_plan_cd").alias("basic_rate_plan_cd"), F.col("rate_plan_ds").alias("basic_plan_ds")
     )
-    rows = _staged(t, window, source).filter(F.col("cfu").isin(*SEGMENTS)).select(
+    rows = _staged(t, window, source).filter(text_in(F.col("cfu"), *SEGMENTS)).select(
         "svc_stat_cd",
         "svc_no",
         "acct_no",
@@ -112,8 +113,8 @@ def load_mobile_data(t: Tables, window: Span, as_of: date) -> DataFrame:
     rows = _mobile_rows(t, window, "mob_mobile_data", plans)
     day = F.col("work_ord_completion_dt")
     dated = rows.withColumn(
-        "bolton_active_dt", F.when(F.col("status_cd") == "Gross Adds", day)
-    ).withColumn("bolton_inactive_dt", F.when(F.col("status_cd") == "Churns", day))
+        "bolton_active_dt", F.when(same_text(F.col("status_cd"), "Gross Adds"), day)
+    ).withColumn("bolton_inactive_dt", F.when(same_text(F.col("status_cd"), "Churns"), day))
     return _fact(dated, as_of, DATA_SOURCE)
 
 
@@ -191,7 +192,7 @@ def account_addon_fact(t: Tables, addons: DataFrame, as_of: date, status: str) -
     pairs = addons.select("acct_no", "active_dt").distinct()
     found = temporal_join(
         pairs, plans, ["acct_no"], "active_dt", "plan_active_dt", "plan_inactive_dt",
-        within=day_bounds(addons, "active_dt"), among=addons,
+        among=addons,
     )
     found = best_rows(found, ["acct_no", "active_dt"], [latest("plan_inactive_dt")]).drop("plan_active_dt")
     joined = spread_join(addons.drop("plan_type"), found, ["acct_no", "active_dt"], "left")

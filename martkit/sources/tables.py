@@ -38,11 +38,15 @@ def trim_keys(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def read_scripts(spark: SparkSession, path: str, glob: str = SCRIPT_GLOB) -> DataFrame:
-    """Scripts below a folder as ``(path, text)``, one row per file."""
-    return (
-        spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
-        .select(F.input_file_name().alias("path"), F.col("value").alias("text"))
-    )
+    """Scripts below a folder as ``(path, text)``, one row per file; paths are relative to the folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toUri().getPath().rstrip("/")
+    # Spark gives file names with %-escapes; a plus sign in them is just that.
+    decoded = F.url_decode(F.regexp_replace("_metadata.file_path", "\\+", "%2B"))
+    below = F.regexp_replace(decoded, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    pattern = "".join(f"\\{c}" if c in "*?[]{}" else c for c in path)  # a folder's name is no pattern
+    read = spark.read.text(pattern, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
+    return read.select(F.substring(below, len(whole) + 2, 1 << 30).alias("path"), F.col("value").alias("text"))
 
 
 def write_scripts(docs: DataFrame, path: str, name: str = "path", text: str = "text") -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 from datetime import date
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from checks.harness import CheckTables
 from martkit.operators.change import days_in, write_slice
 from martkit.operators.shape import conform
-from martkit.plans import jobs
+from martkit.plans import base, jobs, revenue, staged_events
 from martkit.plans.second_source import load_second_source_events
 from martkit.sources.schemas import COMMISSION_FACT, EVENT_FACT, EVENT_STAGE, MONTH_BASE
 from martkit.sources.tables import ParquetTables, StageArea, read_scripts, stage, stage_root, trim_keys
@@ -49,8 +50,8 @@ def test_scripts(spark, tmp_path):
     }
     for name, text in texts.items():
         (root / name).write_text(text)
-    assert {os.path.basename(r.path): r.text for r in read_scripts(spark, str(root)).collect()} == {
-        "a.sql": "select * from XOT.t;\n\n-- end\n", "B.SQL": "xot_y.xot\n", "c.bteq": ".x XOT\n",
+    assert {r.path: r.text for r in read_scripts(spark, str(root)).collect()} == {
+        "a.sql": "select * from XOT.t;\n\n-- end\n", "sub/B.SQL": "xot_y.xot\n", "sub/c.bteq": ".x XOT\n",
     }
     listed = spark.createDataFrame([("XOT",), ("ABC",)], "name string")
     out = tmp_path / "out"
@@ -61,6 +62,15 @@ def test_scripts(spark, tmp_path):
     }
 
 
+def test_script_paths_are_taken_as_they_are(spark, tmp_path):
+    root = tmp_path / "in+put (1) [x] 50%"
+    for name in ("my dir/a b.sql", "c+d/e.sql", "f.sql"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("from XOT.t")
+    assert {r.path for r in read_scripts(spark, str(root)).collect()} == {"my dir/a b.sql", "c+d/e.sql", "f.sql"}
+    assert {r.path for r in read_scripts(spark, str(root) + "/").collect()} == {"my dir/a b.sql", "c+d/e.sql", "f.sql"}
+
+
 def test_table_source(spark, tmp_path):
     spark.createDataFrame([("a  ", 1)], "k string, v int").write.parquet(str(tmp_path / "t.parquet"))
     tables = ParquetTables(spark, str(tmp_path), ["t"])
@@ -108,9 +118,13 @@ def test_daily_load_is_idempotent(spark, tables, tmp_path):
     path = str(tmp_path / "events")
     jobs.run_daily_load(spark, tables, path, D("1999-01-02"), back=62)
     once = jobs.read_fact(spark, path, EVENT_FACT)
-    first = _content(once)
+    # Rows that another job loads for the same days stay.
+    foreign = once.limit(1).withColumn("src_tbl", F.lit("another job")).withColumn(jobs.SOURCE_PART, jobs.source_part())
+    stage(foreign, "foreign").write.mode("append").partitionBy(*jobs.EVENT_PARTITIONS).parquet(path)
+    first = _content(once.sparkSession.read.schema(EVENT_FACT).parquet(path).select(*EVENT_FACT.names))
     sources = {(r.src_cd, r.src_tbl) for r in once.select("src_cd", "src_tbl").distinct().collect()}
     assert {("ID", "Opom Extract"), ("ID", "adac_fbb"), ("ID", "oo_awkord"), ("ED", None)} <= sources
+    assert jobs.read_fact(spark, path, EVENT_FACT).filter("src_tbl = 'another job'").count() == 1
     days = once.agg(F.min("work_ord_completion_dt"), F.max("work_ord_completion_dt")).first()
     assert days[0] >= D("1998-11-01") and days[1] <= D("1998-12-31")
     jobs.run_daily_load(spark, tables, path, D("1999-01-02"), back=62)
@@ -121,12 +135,47 @@ def test_daily_load_is_idempotent(spark, tables, tmp_path):
     assert _content(kept) == first
 
 
+class OddlyTyped(Mapping):
+    """The same tables with other letter case and trailing blanks in business texts."""
+
+    COLUMNS = {
+        "cfg_sov_ref": ["rate_plan_ds"], "all_daily_add_churn": ["src_tbl", "cfu"], "l_service_event": ["service_event_grp"],
+        "cfg_rate_plan_ref": ["prod_grp_lvl_1"], "f_tbc_acct_plans": ["plan_type"], "cfg_rev_ref": ["chrg_type_lvl_3"],
+        "md_dlr_hier_ref": ["regn", "report_grp_cd"],
+    }
+
+    def __init__(self, tables):
+        self._tables = tables
+
+    def __getitem__(self, name):
+        frame = self._tables[name]
+        return frame.withColumns({c: F.concat(F.upper(c), F.lit("  ")) for c in self.COLUMNS.get(name, [])})
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self):
+        return len(self._tables)
+
+
+def test_letter_case_and_blanks_do_not_count(tables):
+    odd, window, day, month = OddlyTyped(tables), (D("1992-01-01"), D("2001-12-31")), D("2002-01-01"), D("1998-08-31")
+    jobs_ = [
+        lambda t: staged_events.load_fbb(t, window, day), lambda t: staged_events.load_mobile_data(t, window, day),
+        lambda t: staged_events.load_blackberry(t, window, day), lambda t: base.account_plan_base(t, month),
+        lambda t: revenue.monthly_revenue(t, month), lambda t: revenue.commission_revenue(t, month),
+    ]
+    counts = [job(tables).count() for job in jobs_]
+    assert counts[0] > 0 and sum(c > 0 for c in counts) >= 4
+    assert [job(odd).count() for job in jobs_] == counts
+
+
 def test_month_end_is_idempotent(spark, tables, tmp_path):
-    base, plans = str(tmp_path / "base"), str(tmp_path / "plans")
+    base_path, plans = str(tmp_path / "base"), str(tmp_path / "plans")
     seen = []
     for _ in range(2):
-        jobs.run_month_end(spark, tables, base, plans, D("1998-09-01"))
-        loaded = jobs.read_fact(spark, base, MONTH_BASE)
+        jobs.run_month_end(spark, tables, base_path, plans, D("1998-09-01"))
+        loaded = jobs.read_fact(spark, base_path, MONTH_BASE)
         seen.append((_content(loaded), spark.read.parquet(plans).count()))
     assert seen[0] == seen[1] and seen[0][1] > 0
     assert {r.src_cd for r in loaded.select("src_cd").distinct().collect()} == {"ID", "ED"}

@@ -54,17 +54,26 @@ def test_temporal_join_with_a_frequent_key(spark, facts):
         (i, n) for i, k, d, _ in data for n, o, c in by_key[k] if o - timedelta(days=2) <= d <= c
     )
     right = spark.createDataFrame(history, "k string, n int, open_dt date, close_dt date")
-    bounds = joins.day_bounds(df, "d")
-    assert bounds == (START, START + timedelta(days=59))
-    for within, among in ((None, None), (bounds, None), (bounds, df), (None, df)):
-        got = joins.temporal_join(df, right, ["k"], "d", grace=2, within=within, among=among)
+    bounds = (START, START + timedelta(days=59))
+    for cut, among in ((False, None), (True, None), (True, df)):
+        alive = joins.alive_in(right, bounds, grace=2) if cut else right
+        got = joins.temporal_join(df, alive, ["k"], "d", grace=2, among=among)
         assert sorted((r.i, r.n) for r in got.collect()) == want
-        outer = joins.temporal_join(df, right, ["k"], "d", grace=2, how="left", within=within, among=among)
+        outer = joins.temporal_join(df, alive, ["k"], "d", grace=2, how="left", among=among)
         assert outer.count() == len(want) + len(data) - sum(
             1 for i, k, d, _ in data if any(o - timedelta(days=2) <= d <= c for _, o, c in by_key[k])
         )
 
 
+def test_temporal_join_copies_nothing_and_keeps_far_rows(spark):
+    """A row long after all others matches too, and history rows are joined as they are."""
+    left = spark.createDataFrame([("a", START), ("a", date(2899, 12, 31))], "k string, d date")
+    right = spark.createDataFrame([("a", START - timedelta(days=9), date(2899, 12, 31))], "k string, open_dt date, close_dt date")
+    joined = joins.temporal_join(left, right, ["k"], "d")
+    assert joined.count() == 2
+    assert "Generate" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_asof_with_a_frequent_key(facts):
     data, df = facts
     right = df.filter("v = 3").select("k", F.col("d").alias("r"), F.col("i").alias("j")).distinct()

@@ -183,9 +183,15 @@ def test_names_are_whole_words(spark):
     text = "from noshare.t, NOSHARE_XY.u, (nocfg.v) NOSHARES xNOCFG nocfg-NOCFG éNOCFG\n\tNOSHARE"
     want = "from NPSHARE.t, NPSHARE_XY.u, (NPCFG.v) NOSHARES xNOCFG NPCFG-NPCFG éNPCFG\n\tNPSHARE"
     df = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "plain")], "doc_id int, text string")
-    got = {r.doc_id: r.text for r in names.rewrite_names(df, mapping).collect()}
+    # A repeated entry and one without a replacement do not matter.
+    rows = [*mapping.items(), ("noshare", "NPSHARE"), ("plain", None)]
+    listed = spark.createDataFrame(rows, "old_name string, new_name string")
+    got = {r.doc_id: r.text for r in names.rewrite_names(df, listed).collect()}
     assert got == {1: want, 2: "", 3: None, 4: "plain"}
-    uses = {r.name: r.uses for r in names.name_usage(df, mapping).collect()}
+    uses = {r.name: r.uses for r in names.name_usage(df, listed).collect()}
     assert uses == {"noshare": 2, "noshare_xy": 1, "nocfg": 4}
-    with pytest.raises(ValueError):
-        names.rewrite_names(df, {"two words": "x"})
+    for wrong in ([("two words", "x")], [("abc", "x"), ("ABC", "y")]):
+        bad = spark.createDataFrame([*wrong, ("plain", "z")], "old_name string, new_name string")
+        with pytest.raises(Exception, match="not a single word|two replacements"):
+            names.rewrite_names(df.withColumn("text", F.lit("abc two words")), bad).collect()
+            names.checked_names(bad).collect()
