@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -95,6 +95,11 @@ class Check:
         return "WITH " + ",\n".join(parts) + f"\nSELECT {', '.join(out)} FROM answer"
 
 
+def listed(values: Iterable[object]) -> str:
+    """The values of a constant as an SQL list, in their order."""
+    return "(" + ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in values) + ")"
+
+
 CHECKS: dict[str, Check] = {}
 
 
