@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martkit.llm.common import cut, own_name, small_enough
 from martkit.llm.links import classes_by_keys
+from martkit.sources.tables import StageArea
 
 EDITS = 2
 # Lines of fewer characters stay: a few edits could turn them into anything.
@@ -21,32 +22,36 @@ LEAST_LENGTH = 30
 BROADCAST_LINES = 1_000_000
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of segment i of a line: nearly even, the longer segments last."""
-    size = F.floor(length / parts)
-    longer = length - size * parts  # so many segments have one character more
-    start = i * size + F.greatest(F.lit(0), longer - (parts - i))
-    return start, size + F.when(longer >= parts - i, 1).otherwise(0)
+def line_keys(lines: DataFrame, edits: int, least: int) -> DataFrame:
+    """``(key, id, own)`` of ``(id, line)`` rows.
 
-
-def line_keys(line: Column, length: Column, edits: int, least: int) -> Column:
-    """Keys of a line as ``array<struct<key,own>>``.
-
-    Of a line with ``shift`` fewer characters, the unchanged segment i starts at most i places off by what was edited
-    before it, and at most ``edits - i`` off by what was edited after it; these starts alone are tried.  A line owns the
-    keys of its own segments.
+    Segments are nearly even, the longer ones last.  Of a line with ``shift`` fewer characters, the unchanged segment i starts
+    at most i places off by what was edited before it, and at most ``edits - i`` off by what was edited after it; these
+    starts alone are tried.  A line owns the keys of its own segments.
     """
-    keys = []
+    parts = edits + 1
+    tries = []
     for shift in range(edits + 1):
-        other = length - shift
-        for i in range(edits + 1):
-            start, size = _segment(other, i, edits + 1)
+        for i in range(parts):
             for off in range(max(-i, shift - (edits - i)), min(i, shift + (edits - i)) + 1):
-                at = start + off
-                fits = (other >= least) & (at >= 0) & (at + size <= length)
-                key = F.xxhash64(F.substring(line, (at + 1).cast("int"), size.cast("int")), F.lit(i), other)
-                keys.append(F.when(fits, F.struct(key.alias("key"), F.lit(shift == 0 and off == 0).alias("own"))))
-    return F.array_compact(F.array(*keys))
+                tries.append(F.struct(*[F.lit(v).alias(n) for n, v in (("shift", shift), ("i", i), ("off", off))]))
+    rows = lines.select("id", "line", F.char_length("line").alias("length")).select("*", F.explode(F.array(*tries)).alias("t"))
+    rows = rows.select("id", "line", "length", (F.col("length") - F.col("t.shift")).alias("other"), "t.*").filter(F.col("other") >= least)
+    rows = rows.withColumn("longer", F.col("other") % parts).withColumn("size", F.expr(f"CAST((other - longer) DIV {parts} AS INT)"))
+    start = F.col("i") * F.col("size") + F.greatest(F.lit(0), F.col("longer") - (parts - F.col("i"))) + F.col("off")
+    rows = rows.withColumn("start", start).withColumn("size", F.col("size") + F.when(F.col("longer") >= parts - F.col("i"), 1).otherwise(0))
+    rows = rows.filter("start >= 0 AND start + size <= length")
+    own = (F.col("shift") == 0) & (F.col("off") == 0)
+    return rows.select(F.expr("xxhash64(substring(line, start + 1, size), i, other)").alias("key"), "id", own.alias("own"))
+
+
+def letter_parity(line: Column) -> Column:
+    """One bit for each of some frequent characters: whether it occurs an odd number of times."""
+    mark = F.lit(0).cast("long")
+    for k, c in enumerate("abcdefghijklmnopqrstuvwxyz ,.éñó"):
+        times = F.char_length(line) - F.char_length(F.translate(line, c, ""))
+        mark = mark.bitwiseOR(F.shiftleft((times % 2).cast("long"), k))
+    return mark
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -96,7 +101,9 @@ def _banded_distance(a: Column, b: Column, edits: int) -> Column:
         # One row on; the row that enters the band is one worse than the one above.
         up = F.shiftright(s["up"], 1).bitwiseOR(long(1 << (width - 1)))
         shifted = F.struct(sum(bits).cast("long").alias("eq"), up.alias("up"), F.shiftright(s["down"], 1).alias("down"))
-        return _let(shifted, lambda v: _let(diagonal(v), lambda d: following(s, j, v["up"], v["down"], d)))
+        going = _let(shifted, lambda v: _let(diagonal(v), lambda d: following(s, j, v["up"], v["down"], d)))
+        # Along a diagonal the distance never falls again.
+        return F.when(s["d"] > edits, s).otherwise(going)
 
     def diagonal(v: Column) -> Column:
         carried = (v["eq"].bitwiseAND(v["up"]) + v["up"]).bitwiseXOR(v["up"])
@@ -165,22 +172,32 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits
     A class is all lines that links of at most ``edits`` characters lead to.
     """
     lines = _lines(docs, key, text).filter(F.char_length("line") >= least)
-    distinct = cut(lines.groupBy("id").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n")))
-    keyed = lines.select("id", F.explode(line_keys(F.col("line"), F.char_length("line"), edits, least)).alias("k"))
-    members = keyed.select("k.key", "id", "k.own")
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        texts = lines.select("id", "line").join(small_enough(wanted, BROADCAST_LINES), "id").groupBy("id")
-        texts = cut(texts.agg(F.min("line").alias("line")))
-        first = texts.select(F.col("id").alias("a"), F.col("line").alias("la"))
-        second = texts.select(F.col("id").alias("b"), F.col("line").alias("lb"))
-        return near_pairs(pairs.join(first, "a").join(second, "b"), edits)
-
-    labels, _ = classes_by_keys(members, confirm)
+    with StageArea(docs.sparkSession) as stage:
+        return cut(_classes(lines, edits, least, stage))
+
+
+def _classes(lines: DataFrame, edits: int, least: int, stage: StageArea) -> DataFrame:
+    distinct = stage(lines.groupBy("id").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n")), "distinct")
+    members = line_keys(lines.select("id", "line"), edits, least)
+
+    texts: dict[str, DataFrame] = {}
+
+    def confirm_among(ids: DataFrame) -> Callable[[DataFrame], DataFrame]:
+        wanted = small_enough(stage(ids, "wanted"), BROADCAST_LINES)
+        found = lines.select("id", "line").join(wanted, "id").groupBy("id").agg(F.min("line").alias("line"))
+        texts["of"] = found = stage(found, "texts")
+        first = found.select(F.col("id").alias("a"), F.col("line").alias("la"))
+        second = found.select(F.col("id").alias("b"), F.col("line").alias("lb"))
+        return lambda pairs: near_pairs(pairs.join(first, "a").join(second, "b"), edits)
+
+    def marks_among(ids: DataFrame) -> DataFrame:
+        return texts["of"].join(ids, "id").select("id", letter_parity(F.col("line")).alias("mark"))
+
+    # An edit changes how often two letters occur, at most.
+    labels = classes_by_keys(members, confirm_among, stage, marks_among, 2 * edits)
     named = distinct.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     firsts = named.groupBy("label").agg(F.min("place").alias("first"), F.sum("n").alias("size")).filter("size > 1")
-    return cut(named.select("label", "id").join(firsts, "label").select("id", "first"))
+    return named.select("label", "id").join(firsts, "label").select("id", "first")
 
 
 def _repeated_numbers(docs: DataFrame, key: str, text: str, edits: int, least: int) -> DataFrame:
