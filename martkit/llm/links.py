@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from martkit.llm.common import cut, small_enough
 from martkit.operators.joins import spread_join
+from martkit.sources.tables import StageArea
 
-# Keys that may be broadcast when few of all keys are shared (8 bytes each, and a hash table's overhead).
-BROADCAST_KEYS = 1_000_000
+# Rows of labels or keys that may be broadcast (16 bytes each, and a hash table's overhead); more are shuffled.
+BROADCAST_ROWS = 1_000_000
+# Rounds in which a class tries one other item; what they do not join is compared pair by pair.
+ROUNDS = 5
+# Words of 64 bits in the map of shared keys: its size does not depend on the data.
+MAP_WORDS = 1 << 20
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -38,42 +43,90 @@ def connected(links: DataFrame) -> DataFrame:
         before = now
 
 
+def _perhaps_shared(members: DataFrame, shared: DataFrame) -> DataFrame:
+    """Members whose key may be among the shared ones: a map of one bit a key, of fixed size, is broadcast.
+
+    Most keys belong to one item alone and need not travel again.  The more keys are shared, the more others pass too; they
+    are sorted out by the join that follows.
+    """
+    bit = lambda: F.expr(f"pmod(key, {64 * MAP_WORDS})")
+    words = shared.select(F.floor(bit() / 64).alias("word"), F.expr("shiftleft(1L, CAST(pmod(key, 64) AS INT))").alias("bit"))
+    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits"))  # MAP_WORDS rows at most
+    placed = members.withColumn("word", F.floor(bit() / 64)).join(F.broadcast(words), "word")
+    return placed.filter("(bits & shiftleft(1L, CAST(pmod(key, 64) AS INT))) <> 0").select(*members.columns)
+
+
 def classes_by_keys(
-    members: DataFrame, confirm: Callable[[DataFrame], DataFrame], likely: Callable[[DataFrame], DataFrame] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Classes of items of which any two that are near share a key: ``(id, label)`` and the confirmed links ``(a, b)``.
+    members: DataFrame,
+    confirm_among: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
+    stage: StageArea,
+    marks_among: Callable[[DataFrame], DataFrame] | None = None,
+    mark_bits: int = 0,
+) -> DataFrame:
+    """Classes of items of which any two that are near share a key: ``(id, label)``, without the smallest id of each.
 
-    ``members`` has ``(key, id, own)`` rows, repeated or not; of two near items one has a shared key as its own.  ``confirm`` keeps the
-    truly near ones of pairs ``(a, b)``; ``likely`` may first drop pairs ``(a, b, shared)`` by the number of keys they share.
+    ``members`` has ``(key, id, own)`` rows, repeated or not; of two near items one has a shared key as its own.
+    ``confirm_among`` is given all items that share a key, as ``(id)``, and returns what keeps the truly near ones of pairs
+    ``(a, b)`` of them.  ``marks_among`` is given the same items and returns ``(id, mark)``: a 64-bit mark in which near items
+    differ in ``mark_bits`` bits at most, so that others need not meet.
 
-    The pairs of a key are never all written out.  First every member meets the smallest owner of its key, which joins
-    the bulk of a large group.  Then only members of a key that are still in different classes meet, as links inside
-    a class would change nothing.
+    The pairs of a key are never all written out.  In a few rounds every key names one of its owners, first the one
+    whose keys most items share, and every class so far tries the named owner of another class with which it shares most
+    keys; this joins the bulk of a large group.
+    Only what then still is in different classes of a key meets pair by pair, so that no link is missed: links
+    inside a class would change nothing.
     """
     owner = F.when(F.col("own"), F.col("id"))
     shared = members.groupBy("key").agg(F.min(owner).alias("first"), F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = cut(shared.filter("low < high AND first IS NOT NULL").select("key", "first"))
-    held = members.join(small_enough(shared, BROADCAST_KEYS), "key").groupBy("key", "id", "first").agg(F.max("own").alias("own"))
-    held = cut(held)
-    met = held.filter("id <> first").groupBy(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b"))
-    star = met.agg(F.count(F.lit(1)).alias("shared"))
-    star = cut(star if likely is None else likely(star))
-    links = cut(confirm(star.select("a", "b")).select("a", "b"))
-    labels = connected(links)
-
-    named = spread_join(held.select("key", "id", "own"), labels, ["id"], "left")
-    named = cut(named.select("key", "id", "own", F.coalesce("label", "id").alias("label")))
-    open_keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    still = cut(named.join(small_enough(cut(open_keys), BROADCAST_KEYS), "key"))
-    left = still.select("key", F.col("id").alias("x"), F.col("label").alias("lx"), F.col("own").alias("ox"))
-    right = still.filter("own").select("key", F.col("id").alias("y"), F.col("label").alias("ly"))
+    shared = stage(shared.filter("low < high AND first IS NOT NULL").select("key"), "shared")
+    held = _perhaps_shared(members, shared).join(shared, "key").groupBy("key", "id").agg(F.max("own").alias("own"))
+    held = stage(held, "held")
+    confirm = confirm_among(held.select("id").distinct())
+    # How many items share the keys of an item: what copies were made of shares most.
+    sizes = stage(held.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    central = stage(held.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("central")), "central")
+    held = stage(held.join(small_enough(central, BROADCAST_ROWS), "id").select("key", "id", "own", "central"), "held")
+    labels = held.select("id", F.col("id").alias("label")).limit(0)
+    tried = held.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+
+    for turn in range(ROUNDS):
+        named = _in_classes(held, labels)
+        order = -F.col("central") if turn == 0 else F.xxhash64("id", F.lit(turn))
+        pick = F.min(F.when(F.col("own"), F.struct(order.alias("order"), "id", "label"))).alias("pick")
+        keys = named.groupBy("key").agg(pick, F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+        keys = stage(keys.select("key", F.col("pick.id").alias("to"), F.col("pick.label").alias("to_label")), "open")
+        # Keys whose items have become one class have nothing more to say.
+        held = stage(held.join(small_enough(keys.select("key"), BROADCAST_ROWS), "key"), "held")
+        met = _in_classes(held, labels).join(small_enough(keys, BROADCAST_ROWS), "key").filter("label <> to_label")
+        met = met.groupBy("id", "label", "to").agg(F.count(F.lit(1)).alias("n"))
+        met = met.select("*", F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).join(tried, ["a", "b"], "left_anti")
+        best = met.groupBy("label").agg(F.max(F.struct("n", "a", "b")).alias("best"))
+        pairs = stage(best.select("best.a", "best.b").distinct(), "star")
+        links = stage(confirm(pairs).select("a", "b"), "links")
+        tried = tried.unionByName(pairs)
+        if links.isEmpty():
+            break
+        labels = stage(connected(links.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))), "labels")
+
+    named = _in_classes(held, labels)
+    if marks_among is None:
+        named = named.withColumn("mark", F.lit(0).cast("long"))
+    else:
+        marks = stage(marks_among(held.select("id").distinct()), "marks")
+        named = named.join(small_enough(marks, BROADCAST_ROWS), "id")
+    named = stage(named, "named")
+    left = named.select("key", F.col("id").alias("x"), F.col("label").alias("lx"), F.col("own").alias("ox"), F.col("mark").alias("mx"))
+    right = named.filter("own").select("key", F.col("id").alias("y"), F.col("label").alias("ly"), F.col("mark").alias("my"))
+    close = F.bit_count(F.col("mx").bitwiseXOR(F.col("my"))) <= mark_bits
     # Two owners would meet twice.
-    apart = left.join(right, "key").filter((F.col("lx") != F.col("ly")) & (~F.col("ox") | (F.col("x") < F.col("y"))))
-    apart = apart.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    apart = apart if likely is None else likely(apart)
-    fresh = apart.select("a", "b").join(star.select("a", "b"), ["a", "b"], "left_anti")
-    more = cut(confirm(cut(fresh)).select("a", "b"))
+    meets = close & (F.col("lx") != F.col("ly")) & (F.col("x") != F.col("y")) & (~F.col("ox") | (F.col("x") < F.col("y")))
+    apart = left.join(right, "key").filter(meets).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    more = stage(confirm(stage(apart.join(tried, ["a", "b"], "left_anti"), "pairs")).select("a", "b"), "more")
     if more.isEmpty():
-        return labels, links
-    links = links.unionByName(more).distinct()
-    return connected(links), links
+        return labels
+    return connected(more.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))))
+
+
+def _in_classes(held: DataFrame, labels: DataFrame) -> DataFrame:
+    near = small_enough(labels, BROADCAST_ROWS)
+    return held.join(near, "id", "left").select("key", "id", "own", "central", F.coalesce("label", "id").alias("label"))

@@ -17,12 +17,17 @@ from pyspark.sql import DataFrame, functions as F
 from martkit.llm.common import Words, byte_texts, columns_of, cut, mixed, own_name, small_enough, steps
 from martkit.llm.links import classes_by_keys
 from martkit.operators.joins import spread_join
+from martkit.sources.tables import StageArea
 
 SHINGLE = 5
 # Ids of distinct sets that may be broadcast while texts are read again; more are shuffled.
 BROADCAST_IDS = 1_000_000
 # Words of the small sketch that every document keeps.
-SKETCH_WORDS = 8
+SKETCH_WORDS = 16
+# Bits of the map of frequent parts, and from how many documents on a part is frequent: in the stretch of documents
+# that a task looks at together, and in all.
+MAP_BITS = 1 << 26
+STRETCH_KEYS, OFTEN_HERE, OFTEN = 2_000_000, 4, 32
 
 # Fixed value: blank, tab to carriage return separate words.
 _IS_WORD = np.ones(256, bool)
@@ -76,10 +81,12 @@ def _part_hashes(shingles: np.ndarray, labels: np.ndarray, band: int) -> np.ndar
     return mixed(parity + (part[starts] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((band + 1) << 40))
 
 
-def _bands(n: int) -> list[int]:
-    """The own band, and the next one if a similar set can be in it."""
+def _bands(n: int) -> list[tuple[int, int]]:
+    """The own band, and the next one if a similar set can be in it; with the most shingles that may then differ."""
     b = _band(n)
-    return [b, b + 1] if 4 * n >= 3 * 2 ** (b + 1) else [b]
+    largest = 4 * n // 3
+    near = (b, (n + min(largest, 2 ** (b + 1) - 1)) // 7)
+    return [near, (b + 1, (n + largest) // 7)] if largest >= 2 ** (b + 1) else [near]
 
 
 def _labels(shingles: np.ndarray) -> np.ndarray:
@@ -91,44 +98,75 @@ def _sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def _thin(parts: int, n: int) -> bool:
-    """Too few parts that are not empty for a shared one to be certain: a third of the size is the most that may differ."""
-    return 3 * parts <= n
-
-
 def _describe(texts: list[bytes]) -> list[tuple]:
-    """Size, two hashes of the whole set, parts in use in either band, and the small sketch."""
+    """Size, two hashes of the whole set, and the small sketch."""
     out = []
     for s in Sets(texts).sets:
-        if not len(s):
-            out.append((0, 0, 0, 0, 0, np.zeros(SKETCH_WORDS, np.int64)))
-            continue
-        labels = _labels(s)
-        used = [len(_part_hashes(s, labels, b)) for b in _bands(len(s))]
-        first = np.bitwise_xor.reduce(labels).astype(np.int64)
-        second = np.sum(mixed(s + np.uint64(0x2545F4914F6CDD1D))).astype(np.int64)
-        out.append((len(s), int(first), int(second), used[0], used[-1] if len(used) > 1 else 0, _sketch(s)))
+        if len(s):
+            first = np.bitwise_xor.reduce(_labels(s)).astype(np.int64)
+            second = np.sum(mixed(s + np.uint64(0x2545F4914F6CDD1D))).astype(np.int64)
+            out.append((len(s), int(first), int(second), _sketch(s)))
+        else:
+            out.append((0, 0, 0, np.zeros(SKETCH_WORDS, np.int64)))
     return out
 
 
-def _keys(ids: pa.Array, texts: list[bytes]) -> pa.RecordBatch:
-    """``(key, id, own)``: hashed parts; sets with too few parts in use have each shingle as a key besides."""
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(key, n)`` of parts that occur often among the documents of a stretch."""
+    held: list[np.ndarray] = []
+
+    def counted() -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(held or [np.zeros(0, np.uint64)]), return_counts=True)
+        often = n >= OFTEN_HERE
+        return pa.RecordBatch.from_arrays([pa.array(keys[often].astype(np.int64)), pa.array(n[often])], names=["key", "n"])
+
+    for part in steps(batches):
+        for s in Sets(byte_texts(part.column(1))).sets:
+            if len(s):
+                labels = _labels(s)
+                held += [_part_hashes(s, labels, band) for band, _ in _bands(len(s))]
+        if sum(map(len, held)) > STRETCH_KEYS:
+            yield counted()
+            held = []
+    yield counted()
+
+
+def frequent_parts(docs: DataFrame) -> np.ndarray:
+    """A bit map of fixed size, one bit a frequent part: only an order of parts follows from it, so it may be rough."""
+    counts = docs.mapInArrow(_frequent, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= OFTEN)
+    places = counts.select(F.expr(f"CAST(pmod(key, {MAP_BITS}) DIV 64 AS INT)").alias("word"), F.expr("shiftleft(1L, CAST(pmod(key, 64) AS INT))").alias("bit"))
+    words = np.zeros(MAP_BITS // 64, np.uint64)
+    for row in places.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():  # MAP_BITS / 64 rows at most
+        words[row.word] = row.bits & 0xFFFFFFFFFFFFFFFF
+    return words
+
+
+def _rare_first(keys: np.ndarray, often: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(MAP_BITS - 1)
+    flags = (often[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
+    return keys[np.argsort(flags, kind="stable")]
+
+
+def _keys(ids: pa.Array, texts: list[bytes], often: np.ndarray) -> pa.RecordBatch:
+    """``(key, id, own)``: hashes of as many parts as may differ, and one more; frequent parts come last in their order.
+
+    Sets that differ in d of their parts in use agree in one of the first d + 1, in any order that is the same for all sets.
+    So a passage that many documents share makes no key where a document has other parts enough.  Where so few parts are in
+    use that all may differ, the first shingles are keys besides, for two such sets.
+    """
     keys, counts, own = [], [], []
     for s in Sets(texts).sets:
-        n = 0
+        before = len(keys)
         if len(s):
             labels = _labels(s)
-            bands = _bands(len(s))
-            parts = [_part_hashes(s, labels, b) for b in bands]
-            for b, p in zip(bands, parts, strict=True):
-                keys.append(p)
-                own.append(np.full(len(p), b == bands[0]))
-            if any(_thin(len(p), len(s)) for p in parts):
-                keys.append(mixed(labels))
-                own.append(np.full(len(s), True))
-                n += len(s)
-            n += sum(map(len, parts))
-        counts.append(n)
+            for i, (band, most) in enumerate(_bands(len(s))):
+                parts = _rare_first(_part_hashes(s, labels, band), often)
+                keys.append(parts[: most + 1])
+                own.append(np.full(len(keys[-1]), i == 0))
+                if len(parts) <= most:
+                    keys.append(mixed(labels[: most + 1] + np.uint64(1)))
+                    own.append(np.full(len(keys[-1]), True))
+        counts.append(sum(map(len, keys[before:])))
     repeated = ids.take(pa.array(np.repeat(np.arange(len(ids)), counts)))
     flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
     owned = np.concatenate(own) if own else np.zeros(0, bool)
@@ -144,10 +182,10 @@ def _mapped(docs: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], s
 
 
 def _described(part: pa.RecordBatch) -> pa.RecordBatch:
-    n, a, b, near, far, sketch = zip(*_describe(byte_texts(part.column(1))), strict=True)
-    longs = [pa.array(c, pa.int64()) for c in (n, a, b, near, far)]
+    n, a, b, sketch = zip(*_describe(byte_texts(part.column(1))), strict=True)
+    longs = [pa.array(c, pa.int64()) for c in (n, a, b)]
     lists = pa.array([s.tolist() for s in sketch], pa.list_(pa.int64()))
-    return pa.RecordBatch.from_arrays([part.column(0), *longs, lists], names=["doc_id", "n", "h1", "h2", "near", "far", "sketch"])
+    return pa.RecordBatch.from_arrays([part.column(0), *longs, lists], names=["doc_id", "n", "h1", "h2", "sketch"])
 
 
 def _set_rows(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -164,36 +202,34 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     no row of their class has one.  Equal sets are joined before anything meets, so copies cost nothing.
     """
     frame = columns_of(docs, key, text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    about = "doc_id long, n long, h1 long, h2 long, near long, far long, sketch array<long>"
-    described = cut(_mapped(frame, _described, about))
+    with StageArea(docs.sparkSession) as stage:
+        return cut(_classes(frame, stage))
+
+
+def _classes(frame: DataFrame, stage: StageArea) -> DataFrame:
+    described = stage(_mapped(frame, _described, "doc_id long, n long, h1 long, h2 long, sketch array<long>"), "described")
     same = ["n", "h1", "h2"]
     groups = described.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("first"))
-    groups = cut(groups)
+    groups = stage(groups, "groups")
     firsts = groups.select(F.col("first").alias("doc_id")).dropna().distinct()
     chosen = frame.join(small_enough(firsts, BROADCAST_IDS), "doc_id").select("doc_id", "text")
-    members = _mapped(chosen, lambda part: _keys(part.column(0), byte_texts(part.column(1))), "key long, id long, own boolean")
+    often = frame.sparkSession.sparkContext.broadcast(frequent_parts(chosen))
+    members = _mapped(chosen, lambda part: _keys(part.column(0), byte_texts(part.column(1)), often.value), "key long, id long, own boolean")
     known = described.join(groups.select(*same, F.col("first").alias("doc_id")), [*same, "doc_id"]).dropDuplicates(["doc_id"])
-    known = cut(known.select(F.col("doc_id").alias("id"), "n", "near", "far", "sketch"))
-
-    def paired(pairs: DataFrame) -> DataFrame:
-        of = lambda s: known.select([F.col(c).alias(f"{c}_{s}" if c != "id" else s) for c in known.columns])
-        return pairs.join(of("a"), "a").join(of("b"), "b")
+    known = stage(known.select(F.col("doc_id").alias("id"), "n", "sketch"), "known")
 
     def likely(pairs: DataFrame) -> DataFrame:
-        """Sizes, shared parts and sketches that similar sets can have."""
-        most = F.floor((F.col("n_a") + F.col("n_b")) / 7)
-        band = lambda c: F.length(F.bin(c))
-        wider = F.greatest(band(F.col("n_a")), band(F.col("n_b")))
-        used = lambda s: F.when(band(F.col(f"n_{s}")) == wider, F.col(f"near_{s}")).otherwise(F.col(f"far_{s}"))
+        """Pairs of sizes and sketches that similar sets can have."""
+        of = lambda s: known.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
         bits = sum(F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_WORDS))
         sizes = 4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")
-        kept = paired(pairs).filter(sizes & (F.col("shared") >= used("a") - most) & (F.col("shared") >= used("b") - most))
-        return kept.filter(bits <= most).select("a", "b", "shared")
+        return pairs.join(of("a"), "a").join(of("b"), "b").filter(sizes & (7 * bits <= F.col("n_a") + F.col("n_b"))).select("a", "b")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        pairs = stage(likely(pairs), "likely")
+        wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
         texts = chosen.join(small_enough(wanted, BROADCAST_IDS), "doc_id").select("doc_id", "text")
-        sets = cut(_mapped(texts, _set_rows, "id long, shingles array<long>"))
+        sets = stage(_mapped(texts, _set_rows, "id long, shingles array<long>"), "sets")
         first = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         both = F.size(F.array_intersect("sa", "sb"))
@@ -201,9 +237,9 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         least, of = SIMILAR
         return joined.filter(of * F.col("both") >= least * (F.col("sum") - F.col("both"))).select("a", "b")
 
-    labels, _ = classes_by_keys(members, confirm, likely)
+    labels = classes_by_keys(members, lambda _: confirm, stage)
     named = groups.join(labels.withColumnRenamed("id", "first"), "first", "left")
-    named = cut(named.select(*same, F.coalesce("label", "first").alias("label")))
+    named = stage(named.select(*same, F.coalesce("label", "first").alias("label")), "named")
     out = spread_join(described.select("doc_id", *same), named, same, "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("label"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
