@@ -283,6 +283,12 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
+def _scores(model: ToxicityModel, voters: Voters, texts: list[bytes]) -> np.ndarray:
+    """Scores of some texts; one without words says nothing toxic and scores 0."""
+    worded = np.array([any(_IS_WORD[b] for b in t[:64]) or bool(t.lower().translate(_APART).split()) for t in texts], bool)
+    return np.where(worded, model.scores(voters.features(texts)[0]), 0.0)
+
+
 def _voted(frame: DataFrame, lexicon: Lexicon) -> DataFrame:
     """``(doc_id, code, x)`` for each row of key and text."""
     shared = frame.sparkSession.sparkContext.broadcast(lexicon)
@@ -339,7 +345,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Voters(shared.value.lexicon)
         for part in steps(batches):
-            scores = shared.value.scores(voters.features(byte_texts(part.column(1)))[0])
+            scores = _scores(shared.value, voters, byte_texts(part.column(1)))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores)], names=["doc_id", "score"])
 
     return frame.mapInArrow(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, score double")
@@ -353,7 +359,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text", thresh
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Voters(shared.value.lexicon)
         for part in steps(batches, at):
-            scores = shared.value.scores(voters.features(byte_texts(part.column(at)))[0])
+            scores = _scores(shared.value, voters, byte_texts(part.column(at)))
             yield part.filter(pa.array(scores < threshold))
 
     return docs.mapInArrow(run, docs.schema)

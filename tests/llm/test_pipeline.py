@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import corpus_pipeline
 import sentencepiece
@@ -13,8 +14,9 @@ def test_stages_on_planted_documents(spark, tmp_path):
     """Each stage does its work on what the one before kept; clean documents come through."""
     words = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
     line = "this line of some length stands in two documents"
-    rows = [(i, f"{words(f'c{i}x', 60)}.", "en", "s", 0) for i in range(20)]
-    rows += [(100 + i, f"{words(f't{i}x', 30)} vile {words(f'u{i}x', 30)} vile horrid", "en", "s", 0) for i in range(20)]
+    some = lambda seed: " ".join(random.Random(seed).choices([f"w{i}" for i in range(3000)], k=60))
+    rows = [(i, f"{some(i)}.", "en", "s", 0) for i in range(20)]
+    rows += [(100 + i, f"{some(100 + i)} vile {some(200 + i)} vile horrid", "en", "s", 0) for i in range(20)]
     rows += [
         (200, f"{words('d', 80)}\n{line}", "en", "s", 0), (201, f"{words('e', 80)}\n{line}s", "en", "s", 0),
         (300, words("n", 100), "en", "s", 0), (301, words("n", 97) + " changed", "en", "s", 0),
@@ -23,7 +25,7 @@ def test_stages_on_planted_documents(spark, tmp_path):
     folder = str(tmp_path)
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
-    labels = [(i, 1, 0) for i in range(15)] + [(100 + i, 1, 1) for i in range(15)]
+    labels = [(i, 1, 0) for i in range(20)] + [(100 + i, 1, 1) for i in range(20)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, words("b", 40))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
 
