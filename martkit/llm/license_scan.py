@@ -1,11 +1,13 @@
 """Find licence notices in texts by the Dice coefficient over word bigrams, with DataFrame functions alone.
 
-A text as a whole and each of its lines is compared with every template whose size allows the wanted coefficient: with
-Dice d or more, sizes differ by the factor (2 - d) / d at most.  All of it happens inside a row; nothing is shuffled.
+A text as a whole, each of its lines and each run of as many words as a template has is compared with every template whose
+size allows the wanted coefficient: with Dice d or more, sizes differ by the factor (2 - d) / d at most.  All of it happens
+inside a row; nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Callable, Mapping
@@ -53,52 +55,168 @@ def bigrams_of(text: str) -> list[str]:
     return sorted({" ".join(p) for p in zip(words, words[1:], strict=False)} or set(words))
 
 
-def _bigrams(unit: Column) -> Column:
-    """Distinct word bigrams of a text; of a single word, the word."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " ")), " ")
-    return F.get(
-        F.transform(
-            F.array(words),
-            lambda w: F.when(F.size(w) < 2, w).otherwise(
-                F.array_distinct(F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b)))
-            ),
-        ),
-        F.lit(0),
+def _words(unit: Column) -> Column:
+    """Words of a text; one empty word if it has none."""
+    return F.split(F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " ")), " ")
+
+
+def _pairs(words: Column) -> Column:
+    """The word bigrams of some words in their order; of a single word, the word."""
+    after = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(F.size(words) < 2, words).otherwise(after)
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+_KNOWN = "array<struct<license:string,own:array<string>,n:int,need:int,low:int,high:int>>"
+_MATCHES = "array<struct<unit:int,license:string,dice:double,word:int,words:int,common:int,own:array<string>>>"
+
+
+def _known(templates: Mapping[str, str], least: float) -> tuple[Column, Column]:
+    """Templates as one constant array, in the order of their names, and bigrams of which every match has one.
+
+    With Dice ``least`` or more, a unit has ``need`` of the template's bigrams at least; so it cannot miss all of any
+    ``size - need + 1`` of them.  Those with the longest words are taken, which few other texts have.
+    """
+    rows, marks = [], set()
+    for name, text in sorted(templates.items()):
+        own, n = bigrams_of(text), len(normal_words(text))
+        low, high = math.ceil(least / (2 - least) * len(own) - 1e-9), math.floor((2 - least) / least * len(own) + 1e-9)
+        need = max(1, math.ceil(least * (low + len(own)) / 2 - 1e-9))
+        rows.append({"license": name, "own": own, "n": n, "need": need, "low": low, "high": high})
+        marks.update(sorted(own, key=lambda b: (-min(map(len, b.split())), -len(b), b))[: len(own) - need + 1])
+    return F.from_json(F.lit(json.dumps(rows)), _KNOWN), F.from_json(F.lit(json.dumps(sorted(marks))), "array<string>")
+
+
+def _match(unit: Column, t: Column, size: Column, common: Column, word: Column, words: Column) -> Column:
+    dice = 2.0 * common / (size + F.size(t["own"]))
+    values = {"unit": unit, "license": t["license"], "dice": dice, "word": word, "words": words, "common": common, "own": t["own"]}
+    return F.struct(*[v.alias(k) for k, v in values.items()])
+
+
+def _of_unit(unit: Column, words: Column, word: Column, known: Column, least: float) -> Column:
+    """Matches of a whole text or line with all templates of a fitting size."""
+    compared = lambda grams: F.transform(
+        F.filter(known, lambda t: F.size(grams).between(t["low"], t["high"])),
+        lambda t: _match(unit, t, F.size(grams), F.size(F.array_intersect(grams, t["own"])), word, F.size(words)),
     )
+    return F.filter(_let(F.array_distinct(_pairs(words)), compared), lambda m: m["dice"] >= least)
+
+
+def _windows(words: Column, pairs: Column, line_of: Column, known: Column, least: float) -> Column:
+    """Matches of every run of as many words as a template has.
+
+    A run of m bigrams starts in one of the stretches of m bigrams that follow each other, and lies in this and the next one.
+    Only where both together have as many of the template's bigrams as a match needs, the runs are tried one by one.
+    """
+
+    def of(t: Column) -> Column:
+        grams = F.when(t["n"] < 2, words).otherwise(pairs)
+        m = F.greatest(t["n"] - 1, F.lit(1))
+
+        def scan(v: Column) -> Column:
+            g, m, last = v["g"], v["m"], F.size(v["g"]) - v["m"]
+            bases = F.filter(
+                F.transform(F.sequence(F.lit(0), F.floor(last / m).cast("int")), lambda k: k * m),
+                lambda b: F.size(F.array_intersect(F.slice(g, b + 1, 2 * m), t["own"])) >= t["need"],
+            )
+            starts = F.flatten(F.transform(bases, lambda b: F.sequence(b, F.least(b + m - 1, last))))
+            tried = lambda i: _let(
+                F.array_distinct(F.slice(g, i + 1, m)),
+                lambda d: _match(F.get(line_of, i), t, F.size(d), F.size(F.array_intersect(d, t["own"])), i, t["n"]),
+            )
+            return F.filter(F.transform(starts, tried), lambda x: x["dice"] >= least)
+
+        none = F.array().cast(_MATCHES)
+        return F.when(F.size(words) < t["n"], none).otherwise(_let(F.struct(grams.alias("g"), m.alias("m")), scan))
+
+    return F.flatten(F.transform(known, of))
 
 
-def _matches(templates: Mapping[str, str], least: float) -> Callable[[Column, Column], Column]:
-    """``array<struct<unit,license,dice>>`` of a unit's bigrams: templates of a fitting size, in the order of their names."""
-    known = {name: bigrams_of(t) for name, t in sorted(templates.items())}
+def _meet(a: Column, b: Column) -> Column:
+    """Whether more than half of the words of a match lie in another one."""
+    both = F.least(a["word"] + a["words"], b["word"] + b["words"]) - F.greatest(a["word"], b["word"])
+    return 2 * both > a["words"]
 
-    def of(bigrams: Column, unit: Column) -> Column:
-        size = F.size(bigrams)
-        found = []
-        for name, own in known.items():
-            low, high = math.ceil(least / (2 - least) * len(own) - 1e-9), math.floor((2 - least) / least * len(own) + 1e-9)
-            both = F.size(F.array_intersect(bigrams, F.array(*[F.lit(b) for b in own])))
-            dice = F.when(size.between(low, high), 2.0 * both / (size + len(own))).otherwise(0.0)
-            found.append(F.struct(unit.alias("unit"), F.lit(name).alias("license"), dice.alias("dice")))
-        return F.filter(F.array(*found), lambda m: m["dice"] >= least)
 
-    return of
+def _alike(a: Column, b: Column) -> Column:
+    """Whether most of what a match has of its template is in the other's template as well."""
+    return 2 * (F.size(F.array_intersect(a["own"], b["own"])) - (F.size(a["own"]) - a["common"])) > a["common"]
+
+
+def _best_windows(found: Column) -> Column:
+    """Of runs that meet and are alike, the one with most bigrams of its template, then the largest coefficient, then the last start."""
+    order = ("common", -1), ("dice", -1), ("word", -1)
+    ranked = F.array_sort(F.transform(found, lambda m: F.struct(*[(m[k] * s).alias(k) for k, s in order], m["license"].alias("license"), m.alias("m"))))
+    same = lambda a, b: a["license"] == b["license"]
+    return F.aggregate(
+        F.transform(ranked, lambda r: r["m"]),
+        F.array().cast(_MATCHES),
+        lambda kept, m: F.when(F.exists(kept, lambda k: _meet(m, k) & (same(m, k) | _alike(m, k))), kept).otherwise(F.concat(kept, F.array(m))),
+    )
+
+
+def _together(units: Column, windows: Column) -> Column:
+    """Matches of units, and those of runs that no unit tells already.
+
+    A unit gives way to a run in it that has more bigrams of a template alike, of the same licence's next version, say.
+    """
+    same = lambda a, b: a["license"] == b["license"]
+    left = F.filter(units, lambda u: ~F.exists(windows, lambda w: ~same(u, w) & (w["common"] > u["common"]) & _meet(u, w) & _alike(u, w)))
+    more = F.filter(windows, lambda w: ~F.exists(units, lambda u: _meet(w, u) & (same(w, u) | ((u["common"] >= w["common"]) & _alike(w, u)))))
+    return F.concat(left, F.array_sort(F.transform(more, lambda m: F.struct(m["word"].alias("at"), m["license"].alias("name"), m.alias("m"))))["m"])
 
 
 def find_licenses(
     docs: DataFrame, key: str = "doc_id", text: str = "text", templates: Mapping[str, str] | None = None, least: float = DICE
 ) -> DataFrame:
-    """``(doc_id, matches)`` of each row: ``array<struct<unit,license,dice>>``, unit 0 for the whole text, n for its line n.
+    """``(doc_id, matches)`` of each row: ``array<struct<unit,license,dice,word,words>>``.
 
-    Letter case and all but letters and digits do not count; a text of one line is one unit.  A null or empty text, and one without
-    words, matches nothing.  Templates without words are never found.  Repeated rows give repeated rows.
+    Unit 0 is the whole text, n its line n; a text of one line is one unit.  Then come notices inside a line or over several,
+    found as runs of as many words as the template has: their unit is the line of their first word, a text's first line being 1.
+    ``word`` says how many words of the text come before, ``words`` how many the match has.
+    Letter case and all but letters and digits do not count.  A null or empty text, and one without words, matches nothing.
+    Templates without words are never found.  Repeated rows give repeated rows.
     """
     named = {n: t for n, t in (TEMPLATES if templates is None else templates).items() if normal_words(t)}
     value = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    lines = F.split(value, "\n", -1)
-    units = F.concat(F.array(value), F.when(F.size(lines) > 1, lines).otherwise(F.array().cast("array<string>")))
-    empty = F.array().cast("array<struct<unit:int,license:string,dice:double>>")
-    found = F.flatten(F.transform(F.transform(units, _bigrams), _matches(named, least))) if named else empty
-    return docs.select(F.col(f"`{key}`").alias("doc_id"), found.alias("matches"))
+    empty = F.array().cast("array<struct<unit:int,license:string,dice:double,word:int,words:int>>")
+    if not named:
+        return docs.select(F.col(f"`{key}`").alias("doc_id"), empty.alias("matches"))
+    known, marks = _known(named, least)
+    single = any(len(normal_words(t)) < 2 for t in named.values())
+
+    def of_row(v: Column) -> Column:
+        words, pairs = v["words"], v["pairs"]
+        grams = F.concat(pairs, words) if single else pairs
+        return F.when(F.arrays_overlap(grams, marks), _let(F.array_distinct(grams), lambda d: among(words, pairs, d))).otherwise(empty)
+
+    def among(words: Column, pairs: Column, grams: Column) -> Column:
+        # A template of which the whole text has too little is nowhere in it.
+        own = F.filter(known, lambda t: F.size(F.array_intersect(grams, t["own"])) >= t["need"])
+        by_line = F.transform(F.split(value, "\n", -1), _words)
+        return _let(F.struct(own.alias("own"), by_line.alias("lines")), lambda v: _let(numbered(v), lambda n: matched(words, pairs, v, n)))
+
+    def numbered(v: Column) -> Column:
+        """The line of each word, from 1."""
+        size = lambda w: F.when(F.get(w, F.lit(0)) == "", 0).otherwise(F.size(w))
+        return F.flatten(F.transform(v["lines"], lambda w, i: F.array_repeat(i + 1, size(w))))
+
+    def matched(words: Column, pairs: Column, v: Column, line_of: Column) -> Column:
+        whole = _of_unit(F.lit(0), words, F.lit(0), v["own"], least)
+        start = lambda i: (F.array_position(line_of, i) - 1).cast("int")
+        lines = F.flatten(F.transform(v["lines"], lambda w, i: _of_unit(i + 1, w, start(i + 1), v["own"], least)))
+        units = F.concat(whole, F.when(F.size(v["lines"]) > 1, lines).otherwise(F.slice(lines, 1, 0)))
+        runs = _best_windows(_windows(words, pairs, line_of, v["own"], least))
+        both = F.struct(units.alias("units"), runs.alias("runs"))
+        plain = lambda m: F.struct(*[m[k].alias(k) for k in ("unit", "license", "dice", "word", "words")])
+        return F.when(F.size(v["own"]) > 0, F.transform(_let(both, lambda b: _together(b["units"], b["runs"])), plain)).otherwise(empty)
+
+    row = lambda w: _let(F.struct(w.alias("words"), _pairs(w).alias("pairs")), of_row)
+    return docs.select(F.col(f"`{key}`").alias("doc_id"), _let(_words(value), row).alias("matches"))
 
 
 def license_report(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: Mapping[str, str] | None = None) -> DataFrame:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import textwrap
 
 from martkit.llm import decontaminate, license_scan, secret_scan
 
@@ -122,3 +124,39 @@ def test_licenses_against_every_template(docs):
         assert row.doc_id == key and sorted((m.unit, m.license) for m in row.matches) == wanted
     assert license_scan.license_report(docs([])).count() == 0
     assert license_scan.license_report(docs(texts), templates={"none": "!"}).agg({"n_matches": "sum"}).first()[0] == 0
+
+
+def runs_by_force(text, templates):
+    """Templates of which some run of as many words reaches the coefficient."""
+    words = license_scan.normal_words(text)
+    sizes = {n: len(license_scan.normal_words(t)) for n, t in templates.items()}
+    return {
+        n for n, t in templates.items() if any(dice(" ".join(words[i : i + sizes[n]]), t) >= license_scan.DICE for i in range(len(words) - sizes[n] + 1))
+    }
+
+
+def test_notices_wrapped_and_embedded(docs):
+    filler = " ".join(f"word{i}" for i in range(300))
+    wrapped = "\n".join(textwrap.wrap(license_scan.TEMPLATES["MIT grant"], 75))
+    edited = wrapped.replace("free of charge", "without charge").replace("associated", "related")
+    texts = [
+        (1, f"{filler}\n{wrapped}\n{filler}"), (2, "This is a short intro to our little tool. Released under the MIT License."),
+        (3, f"{filler}\n# " + edited.replace("\n", "\n# ") + f"\n{filler}"), (4, f"{filler} Licensed under the Apache\nLicense, Version 2.0. {filler}\nReleased under the MIT License. {filler}"),
+        (5, filler), (6, f"{wrapped}\nall rights\nreserved {filler}"), (7, f"{filler} Released under the MIT License. Released under the MIT License."),
+    ]
+    rows = {r.doc_id: r for r in license_scan.find_licenses(docs(texts, clash=True)).collect()}
+    named = {k: [(m.unit, m.license, m.word, m.words) for m in r.matches] for k, r in rows.items()}
+    assert named[1] == [(2, "MIT grant", 300, 67)] and rows[1].matches[0].dice == 1.0
+    assert named[2] == [(1, "MIT notice", 9, 5)]
+    assert [m[:2] for m in named[3]] == [(2, "MIT grant")] and 0.8 <= rows[3].matches[0].dice < 1
+    assert named[4] == [(1, "Apache-2.0 notice", 300, 8), (3, "MIT notice", 608, 5)]
+    assert named[5] == [] and [m[1] for m in named[6]] == ["MIT grant", "Reserved"]
+    assert named[7] == [(1, "MIT notice", 300, 5), (1, "MIT notice", 305, 5)]
+    words = {n: t for n, t in license_scan.TEMPLATES.items() if n in ("MIT notice", "Reserved", "Apache-2.0 notice")} | {"one": "Zlib"}
+    rng = random.Random(4)
+    pool = [*license_scan.normal_words(" ".join(words.values())), "x"]
+    mixed = [(i, " ".join(rng.choice(pool) if rng.random() < 0.3 else t for t in rng.choice(list(words.values())).split() * rng.randint(1, 3))) for i in range(150)]
+    for r in license_scan.find_licenses(docs(mixed), templates=words).collect():
+        text = mixed[r.doc_id][1]
+        units = {n for n, t in words.items() if dice(text, t) >= license_scan.DICE}
+        assert {m.license for m in r.matches} == units | runs_by_force(text, words)
