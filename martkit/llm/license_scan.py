@@ -45,6 +45,111 @@ TEMPLATES: dict[str, str] = {
 }
 
 
+# Fixed value: whole texts and paragraphs of short licences, without the copyright line.
+_MIT_REST = """The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+    Software."""
+_MIT_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+    WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+    HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+    OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ISC_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+    IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+    CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+    NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_BSD_TWO = """1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+    disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+    disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+    derived from this software without specific prior written permission."""
+_BSD_WARRANTY = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+    INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO
+    EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+    CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR
+    BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+    NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+# Fixed value: the GNU licences, SPDX identifier to name and version, the usual version of each first.
+_GNU = {
+    "GPL-3.0": ("GNU General Public License", "3", "29 June 2007"),
+    "GPL-2.0": ("GNU General Public License", "2", "June 1991"),
+    "GPL-1.0": ("GNU General Public License", "1", "February 1989"),
+    "LGPL-3.0": ("GNU Lesser General Public License", "3", "29 June 2007"),
+    "LGPL-2.1": ("GNU Lesser General Public License", "2.1", "February 1999"),
+    "LGPL-2.0": ("GNU Library General Public License", "2", "June 1991"),
+    "AGPL-3.0": ("GNU Affero General Public License", "3", "19 November 2007"),
+}
+# Fixed value: the Creative Commons licences, and what their versions are called.
+_CC = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_CC_VERSIONS = {"4.0": "International", "3.0": "Unported", "2.5": "Generic", "2.0": "Generic", "1.0": "Generic"}
+_OTHERS = ("Apache-2.0", "MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "EPL-2.0", "BSL-1.0", "Zlib", "Unlicense", "CC0-1.0")
+
+
+def _usual_notices() -> dict[str, str]:
+    """Notices of the usual licences by name: sentences, names with version, identifiers, and whole short texts."""
+    out = {
+        "MIT": f"{TEMPLATES['MIT grant']} {_MIT_REST} {_MIT_WARRANTY}",
+        "MIT condition": _MIT_REST,
+        "MIT warranty": _MIT_WARRANTY,
+        "ISC": f"{TEMPLATES['ISC grant']} {_ISC_WARRANTY}",
+        "ISC warranty": _ISC_WARRANTY,
+        "BSD-3-Clause": f"{TEMPLATES['BSD grant']} {_BSD_TWO} {_BSD_THIRD} {_BSD_WARRANTY}",
+        "BSD-2-Clause": f"{TEMPLATES['BSD grant']} {_BSD_TWO} {_BSD_WARRANTY}",
+        "BSD conditions": _BSD_TWO,
+        "BSD-3-Clause third condition": _BSD_THIRD,
+        "BSD warranty": _BSD_WARRANTY,
+        "MIT sentence": "Licensed under the MIT License.",
+        "MIT source notice": "This source code is licensed under the MIT license found in the LICENSE file in the root directory of this source tree.",
+        "BSD-2-Clause name": "BSD 2-Clause License",
+        "BSD-2-Clause long name": "Simplified BSD License",
+        "BSD-3-Clause name": "BSD 3-Clause License",
+        "BSD-3-Clause long name": "New BSD License",
+        "ISC sentence": "Licensed under the ISC License.",
+        "Apache-2.0 name": "Apache License, Version 2.0",
+        "Apache-2.0 short name": "Apache License 2.0",
+        "MPL-2.0 name": "Mozilla Public License, version 2.0",
+        "CC0-1.0 name": "CC0 1.0 Universal",
+        "CC0-1.0 sentence": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "CC0-1.0 short": "Licensed under CC0 1.0.",
+    }
+    for spdx, (name, version, date) in _GNU.items():
+        full = version if "." in version else f"{version}.0"
+        short = spdx.split("-")[0]
+        out[f"{spdx} sentence"] = f"This work is licensed under the {name}, version {version}."
+        # Named with a point, versions differ in two bigrams.
+        out[f"{spdx} name"] = f"{name}, version {full}"
+        out[f"{spdx} name v"] = f"{name} v{full}"
+        out[f"{spdx} short"] = f"Licensed under the {short}-{full}."
+        out[f"{spdx} shorter"] = f"Licensed under the {short}v{version}."
+        out[f"{spdx} shortest"] = f"Licensed under {short}v{version}."
+        out[f"{spdx} title"] = f"{name} Version {version}, {date}"
+        program, verb = ("program", "the GNU General") if short == "GPL" else ("library" if version != "3" else "program", "the " + name.removesuffix(" Public License"))
+        way = f"This {program} is free software: you can redistribute it and/or modify it under the terms of {verb} Public License as published by the Free Software Foundation"
+        later = f"{way}, either version {version} of the License, or (at your option) any later version."
+        if spdx != "GPL-3.0":
+            out[f"{spdx}-or-later"] = later
+        out[f"{spdx}-only"] = f"{way}, version {version} of the License."
+        for kind in ("only", "or later"):
+            out[f"{spdx}-{kind.replace(' ', '-')} SPDX"] = f"SPDX-License-Identifier: {spdx}-{kind}"
+        out[f"{spdx} SPDX"] = f"SPDX-License-Identifier: {spdx}"
+    for version, kind in _CC_VERSIONS.items():
+        for short, name in _CC.items():
+            # Before 4.0 the parts had the short order of NonCommercial-NoDerivs.
+            name = name if version == "4.0" else name.replace("NoDerivatives", "NoDerivs")
+            spdx = f"CC-{short}-{version}"
+            if spdx not in TEMPLATES:
+                out[spdx] = f"This work is licensed under a Creative Commons {name} {version} {kind} License."
+            out[f"{spdx} short"] = f"Licensed under CC {short} {version}."
+            out[f"{spdx} short name"] = f"CC {short} {version}"
+            out[f"{spdx} name"] = f"Creative Commons {name} {version} {kind}"
+            out[f"{spdx} SPDX"] = f"SPDX-License-Identifier: {spdx}"
+    for spdx in _OTHERS:
+        out[f"{spdx} SPDX"] = f"SPDX-License-Identifier: {spdx}"
+    return out
+
+
 def normal_words(text: str) -> list[str]:
     return re.sub(r"[\W_]+", " ", text.lower()).split()
 
@@ -55,6 +160,23 @@ def bigrams_of(text: str) -> list[str]:
     return sorted({" ".join(p) for p in zip(words, words[1:], strict=False)} or set(words))
 
 
+def _split(notices: Mapping[str, str], least: float) -> tuple[dict[str, str], dict[str, str]]:
+    """Notices that differ from all before, and those that the coefficient alone cannot tell from one before."""
+    apart, near = {}, {}
+    seen = [set(bigrams_of(t)) for t in TEMPLATES.values()]
+    for name, text in notices.items():
+        own = set(bigrams_of(text))
+        (near if any(2 * len(own & o) >= least * (len(own) + len(o)) for o in seen) else apart)[name] = text
+        seen.append(own)
+    return apart, near
+
+
+# Versions and parts of a name, in which a text differs from a template too little for the coefficient.  The operator knows them
+# and names the best of a place; the SQL, which names all that reach the coefficient, would name them beside the right one.
+_apart, VERSIONS = _split(_usual_notices(), DICE)
+TEMPLATES |= _apart
+
+
 def _words(unit: Column) -> Column:
     """Words of a text; one empty word if it has none."""
     return F.split(F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " ")), " ")
@@ -75,20 +197,26 @@ _KNOWN = "array<struct<license:string,own:array<string>,n:int,need:int,low:int,h
 _MATCHES = "array<struct<unit:int,license:string,dice:double,word:int,words:int,common:int,own:array<string>>>"
 
 
-def _known(templates: Mapping[str, str], least: float) -> tuple[Column, Column]:
-    """Templates as one constant array, in the order of their names, and bigrams of which every match has one.
+# Fixed value: words that say little about a licence.
+_COMMON = frozenset("a all and any as be by for in is it of on or that the this to under with you".split())
+
+
+def _known(templates: Mapping[str, str], least: float) -> tuple[Column, Column, Column]:
+    """Templates as one constant array, in the order of their names, all their bigrams, and bigrams of which every match has one.
 
     With Dice ``least`` or more, a unit has ``need`` of the template's bigrams at least; so it cannot miss all of any
-    ``size - need + 1`` of them.  Those with the longest words are taken, which few other texts have.
+    ``size - need + 1`` of them.  Those without common words and with the longest are taken, which few other texts have.
     """
     rows, marks = [], set()
+    telling = lambda b: (len(_COMMON & set(b.split())), -min(map(len, b.split())), -len(b), b)
     for name, text in sorted(templates.items()):
         own, n = bigrams_of(text), len(normal_words(text))
         low, high = math.ceil(least / (2 - least) * len(own) - 1e-9), math.floor((2 - least) / least * len(own) + 1e-9)
         need = max(1, math.ceil(least * (low + len(own)) / 2 - 1e-9))
         rows.append({"license": name, "own": own, "n": n, "need": need, "low": low, "high": high})
-        marks.update(sorted(own, key=lambda b: (-min(map(len, b.split())), -len(b), b))[: len(own) - need + 1])
-    return F.from_json(F.lit(json.dumps(rows)), _KNOWN), F.from_json(F.lit(json.dumps(sorted(marks))), "array<string>")
+        marks.update(sorted(own, key=telling)[: len(own) - need + 1])
+    texts = lambda values: F.from_json(F.lit(json.dumps(sorted(values))), "array<string>")
+    return F.from_json(F.lit(json.dumps(rows)), _KNOWN), texts({b for r in rows for b in r["own"]}), texts(marks)
 
 
 def _match(unit: Column, t: Column, size: Column, common: Column, word: Column, words: Column) -> Column:
@@ -165,7 +293,7 @@ def _together(units: Column, windows: Column) -> Column:
     A unit gives way to a run in it that has more bigrams of a template alike, of the same licence's next version, say.
     """
     same = lambda a, b: a["license"] == b["license"]
-    left = F.filter(units, lambda u: ~F.exists(windows, lambda w: ~same(u, w) & (w["common"] > u["common"]) & _meet(u, w) & _alike(u, w)))
+    left = F.filter(units, lambda u: ~F.exists(windows, lambda w: ~same(u, w) & (w["common"] > u["common"]) & _meet(u, w) & _meet(w, u) & _alike(u, w)))
     more = F.filter(windows, lambda w: ~F.exists(units, lambda u: _meet(w, u) & (same(w, u) | ((u["common"] >= w["common"]) & _alike(w, u)))))
     return F.concat(left, F.array_sort(F.transform(more, lambda m: F.struct(m["word"].alias("at"), m["license"].alias("name"), m.alias("m"))))["m"])
 
@@ -181,18 +309,18 @@ def find_licenses(
     Letter case and all but letters and digits do not count.  A null or empty text, and one without words, matches nothing.
     Templates without words are never found.  Repeated rows give repeated rows.
     """
-    named = {n: t for n, t in (TEMPLATES if templates is None else templates).items() if normal_words(t)}
+    named = {n: t for n, t in (TEMPLATES | VERSIONS if templates is None else templates).items() if normal_words(t)}
     value = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     empty = F.array().cast("array<struct<unit:int,license:string,dice:double,word:int,words:int>>")
     if not named:
         return docs.select(F.col(f"`{key}`").alias("doc_id"), empty.alias("matches"))
-    known, marks = _known(named, least)
+    known, every, marks = _known(named, least)
     single = any(len(normal_words(t)) < 2 for t in named.values())
 
     def of_row(v: Column) -> Column:
         words, pairs = v["words"], v["pairs"]
         grams = F.concat(pairs, words) if single else pairs
-        return F.when(F.arrays_overlap(grams, marks), _let(F.array_distinct(grams), lambda d: among(words, pairs, d))).otherwise(empty)
+        return F.when(F.arrays_overlap(grams, marks), _let(F.array_intersect(grams, every), lambda d: among(words, pairs, d))).otherwise(empty)
 
     def among(words: Column, pairs: Column, grams: Column) -> Column:
         # A template of which the whole text has too little is nowhere in it.

@@ -160,3 +160,38 @@ def test_notices_wrapped_and_embedded(docs):
         text = mixed[r.doc_id][1]
         units = {n for n, t in words.items() if dice(text, t) >= license_scan.DICE}
         assert {m.license for m in r.matches} == units | runs_by_force(text, words)
+
+
+# Texts and the licence they name, by hand.
+NAMED = [
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    ("Some tool. It is licensed under the GNU Lesser General Public License version 2.1, see below for more.", "LGPL-2.1"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("The files here are Licensed under CC BY-NC 4.0. Other files are not.", "CC-BY-NC-4.0"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+    ("Licensed under CC BY-ND 3.0.", "CC-BY-ND-3.0"),
+    ("Text and figures: CC BY-NC-SA 4.0, see the page of the journal", "CC-BY-NC-SA-4.0"),
+    ("This work is licensed under a Creative Commons\nAttribution-NonCommercial-NoDerivatives 4.0\nInternational License.", "CC-BY-NC-ND-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later\nint main(void) { return 0; }", "GPL-2.0-or-later"),
+    ("# SPDX-License-Identifier: BSD-3-Clause\nimport os", "BSD-3-Clause"),
+    ("To the extent possible under law, the author has waived all copyright and\nrelated or neighboring rights to this work.", "CC0-1.0"),
+    ("prog.c - does things\n * This program is free software; you can redistribute it and/or\n * modify it under the terms of the GNU General Public License\n"
+     " * as published by the Free Software Foundation; either version 2\n * of the License, or (at your option) any later version.\n * int x;", "GPL-2.0-or-later"),
+    ("The MIT License (MIT)\n\nCopyright (c) 2020 Jane Doe\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+     'of this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\n'
+     "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\n"
+     "furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\n"
+     'copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\n'
+     "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE\n"
+     "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER\nLIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,\n"
+     "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE\nSOFTWARE.\n", "MIT"),
+]
+
+
+def test_usual_licences_by_name(docs):
+    """Each text names its licence and no other; none is taken from the templates."""
+    rows = license_scan.license_report(docs([(i, t) for i, (t, _) in enumerate(NAMED)])).collect()
+    found = {NAMED[r.doc_id]: {n.split(" ")[0] for n in r.licenses.split(",")} for r in rows}
+    assert {k: v for k, v in found.items() if v != {k[1]}} == {}
