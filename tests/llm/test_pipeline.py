@@ -58,3 +58,9 @@ def test_every_operator_has_a_query(spark):
 
     assert {*QUERIES, "pipeline"} <= set(entry_point.queries())
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_every_counterpart_is_sql():
+    import __spark_entry__ as entry_point
+
+    assert [n for n, sql in entry_point.oracle_sql().items() if not isinstance(sql, str)] == []
