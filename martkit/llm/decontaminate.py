@@ -6,6 +6,7 @@ shuffled.  A hash hit counts only after the words themselves are compared.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -112,13 +113,12 @@ def _spans(raw: bytes, words: Words, text: int, ranges: list[dict[str, int]]) ->
 _sets: dict[object, WindowSet] = {}
 
 
-def _set_of(shared, window: int) -> WindowSet:
-    """One window set per worker process."""
-    items = shared.value
-    key = (id(items), window)
+def _set_of(shared, window: int, number: str) -> WindowSet:
+    """One window set per worker process; ``number`` is the pass's own, as another pass's items may get the address of released ones."""
+    key = (number, window)
     if key not in _sets:
         _sets.clear()
-        _sets[key] = WindowSet(items, window)
+        _sets[key] = WindowSet(shared.value, window)
     return _sets[key]
 
 
@@ -163,13 +163,14 @@ def _one_pass(
     docs: DataFrame, held: list[tuple[str, bytes]], window: int, text: str, names: dict[str, str], again: bool
 ) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(held)
+    number = uuid.uuid4().hex
     fresh = list(names.values())
     at = docs.columns.index(text)
     kept = [i for i, c in enumerate(docs.columns) if c not in fresh]
     earlier = [docs.columns.index(names["items"]), docs.columns.index(names["ranges"])] if again else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = _set_of(shared, window)
+        windows = _set_of(shared, window, number)
         for part in steps(batches, at):
             before = list(zip(*[part.column(i).to_pylist() for i in earlier], strict=True)) if earlier else None
             rows = windows.scan(byte_texts(part.column(at)), before)

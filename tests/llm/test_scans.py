@@ -5,6 +5,8 @@ import random
 import re
 import textwrap
 
+import pyarrow as pa
+
 from martkit.llm import decontaminate, license_scan, secret_scan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -65,6 +67,30 @@ def test_cut_and_drop_passages(spark, docs):
     assert decontaminate.contamination_report(docs([]), bench).count() == 0
 
 
+def test_a_pass_never_gets_the_windows_of_another(spark, docs, monkeypatch):
+    """Two blocks whose items stand at the same address, in one worker."""
+    place: list = []
+
+    class Shared:
+        def __init__(self, held):
+            self.held = held
+
+        @property
+        def value(self):
+            place[:] = self.held
+            return place
+
+    made, items = [], []
+    monkeypatch.setattr(spark.sparkContext, "broadcast", Shared)
+    monkeypatch.setattr(type(docs([])), "mapInArrow", lambda self, run, schema: made.append(run) or self)
+    for held in ([("a", b"one two three")], [("b", b"four five six")]):
+        decontaminate._one_pass(docs([]), held, 13, "text", {n: n for n in decontaminate._FOUND}, False)
+    batch = pa.record_batch([pa.array([1]), pa.array(["one two three four five six"])], names=["doc_id", "text"])
+    for run in made:
+        items += [row["items"] for b in run(iter([batch])) for row in b.to_pylist()]
+    assert items == [["a"], ["b"]]
+
+
 SECRET = "k3J9xQ2mZ8pL5vT1rW7n"
 
 
