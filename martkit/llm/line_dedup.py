@@ -16,8 +16,10 @@ from martkit.llm.links import classes_by_keys
 from martkit.sources.tables import StageArea
 
 EDITS = 2
-# Lines of fewer characters stay: a few edits could turn them into anything.
+# Lines of fewer characters are not near any other: a few edits could turn them into anything.
 LEAST_LENGTH = 30
+# Exact copies of such lines are found from so many characters on, if they have several words; what is shorter stays.
+LEAST_EXACT = 10
 # Repeated lines whose numbers may be broadcast when documents are read again; more are shuffled.
 BROADCAST_LINES = 1_000_000
 
@@ -166,19 +168,27 @@ def _place(doc: Column, no: Column) -> Column:
     return (low * F.lit(1 << 31).cast("decimal(10,0)") + no).cast("decimal(38,0)")
 
 
-def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST_LENGTH) -> DataFrame:
+def _compared(least: int, exact: int) -> Column:
+    """Lines that can repeat: of ``least`` characters, or of ``exact`` in several words."""
+    length = F.char_length("line")
+    return (length >= least) | ((length >= exact) & F.col("line").rlike(r"\S\s+\S"))
+
+
+def line_classes(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST_LENGTH, exact: int = LEAST_EXACT
+) -> DataFrame:
     """``(id, first)``: lines that repeat, exactly or nearly, and the first place of their class.
 
-    A class is all lines that links of at most ``edits`` characters lead to.
+    A class is all lines that links of at most ``edits`` characters lead to; of fewer than ``least`` characters, copies alone.
     """
-    lines = _lines(docs, key, text).filter(F.char_length("line") >= least)
+    lines = _lines(docs, key, text).filter(_compared(least, exact))
     with StageArea(docs.sparkSession) as stage:
         return cut(_classes(lines, edits, least, stage))
 
 
 def _classes(lines: DataFrame, edits: int, least: int, stage: StageArea) -> DataFrame:
     distinct = stage(lines.groupBy("id").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n")), "distinct")
-    members = line_keys(lines.select("id", "line"), edits, least)
+    members = line_keys(lines.filter(F.char_length("line") >= least).select("id", "line"), edits, least)
 
     texts: dict[str, DataFrame] = {}
 
@@ -200,26 +210,26 @@ def _classes(lines: DataFrame, edits: int, least: int, stage: StageArea) -> Data
     return named.select("label", "id").join(firsts, "label").select("id", "first")
 
 
-def _repeated_numbers(docs: DataFrame, key: str, text: str, edits: int, least: int) -> DataFrame:
+def _repeated_numbers(docs: DataFrame, key: str, text: str, edits: int, least: int, exact: int) -> DataFrame:
     """``(doc_id, version, repeated)``: the numbers of the lines of a document that are not the first of their class."""
-    classes = line_classes(docs, key, text, edits, least)
-    lines = _lines(docs, key, text).filter(F.char_length("line") >= least).drop("line")
+    classes = line_classes(docs, key, text, edits, least, exact)
+    lines = _lines(docs, key, text).filter(_compared(least, exact)).drop("line")
     again = lines.join(small_enough(classes, BROADCAST_LINES), "id").filter("place <> first")
     return again.groupBy("doc_id", "version").agg(F.collect_set("no").alias("repeated"))
 
 
 def drop_repeated_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str | None = None, edits: int = EDITS, least: int = LEAST_LENGTH,
-    counts: tuple[str, str] | None = None,
+    counts: tuple[str, str] | None = None, exact: int = LEAST_EXACT,
 ) -> DataFrame:
     """All rows of ``docs``, their texts without the lines that nearly repeat an earlier line of any document.
 
     Lines end at line breaks and are compared as they are.  Documents are ordered by their integer id; a null id comes first.
-    Lines of fewer than ``least`` characters stay.  A text whose lines are all repeated becomes empty; a null or empty text stays as
+    Lines of fewer than ``least`` characters go only as copies, and stay if they are of fewer than ``exact`` or of one word.  A text whose lines are all repeated becomes empty; a null or empty text stays as
     it is.  Rows with the same id and text are one document and keep the same lines.  ``chars`` names a column of text lengths to
     be kept right.  ``counts`` names two columns to add: lines, and lines dropped.  Other columns pass, whatever their names.
     """
-    repeated = _repeated_numbers(docs, key, text, edits, least)
+    repeated = _repeated_numbers(docs, key, text, edits, least, exact)
     names = [own_name(docs, n) for n in ("doc_id_of", "version", "repeated")]
     value = F.col(f"`{text}`").cast("string")
     versioned = docs.withColumn(names[1], F.xxhash64(value))

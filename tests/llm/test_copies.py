@@ -197,3 +197,9 @@ def test_lines_of_repeated_rows(docs):
     out = line_dedup.line_report(docs(rows)).collect()
     assert sorted((r.doc_id or 0, r.n_lines, r.n_dropped) for r in out) == [(0, 2, 0), (1, 1, 1), (1, 1, 1), (2, 2, 1), (3, 1, 0)]
     assert line_dedup.line_report(docs([])).count() == 0
+
+
+def test_copies_of_short_lines(docs):
+    rows = [(1, "All rights reserved.\nLes.\nA b c\nSupercalifragilistic"), (2, "All rights reserved.\nAll rights reserved!\nLes.\nA b c\nSupercalifragilistic")]
+    found = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(docs(rows)).collect()}
+    assert found == {1: rows[0][1], 2: "All rights reserved!\nLes.\nA b c\nSupercalifragilistic"}
