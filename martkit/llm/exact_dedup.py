@@ -28,6 +28,8 @@ _SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+# A stream passes over new files that are older than the newest it knows by more than this.
+_MAX_AGE = "36500d"
 
 
 def sha256(text: Column) -> Column:
@@ -45,13 +47,14 @@ def remember(
     """Stream all files below ``path`` that the state has not seen yet, and return the state.
 
     ``(digest, doc_id, place, n)``: the largest id, the file and row where its text stands, and the rows seen.  The
-    state folder may be used again: files added since are all that is read then.
+    state folder may be used again: files added since, whatever their date, are all that is read then.  A file that was
+    overwritten under its name is not read again.
     """
     schema = spark.read.parquet(path).schema
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     if where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(where).isFile():
         path = f"{path[:-1]}[{path[-1]}]"  # a stream takes folders or patterns
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", _MAX_AGE).parquet(path)
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     rows = stream.select(digest(_text(text)).alias("digest"), F.struct(F.col(f"`{key}`").alias("doc_id"), place.alias("place")).alias("kept"))
     grouped = rows.groupBy("digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
@@ -72,6 +75,14 @@ def remember(
     )
 
 
+def _demand_same(rows: DataFrame, seen: DataFrame) -> None:
+    """Fail if a state used again tells of other rows than the table has: files were overwritten or removed since."""
+    now = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "place")).alias("last"), F.count(F.lit(1)).alias("rows"))
+    same = F.col("rows").eqNullSafe(F.col("n")) & F.col("last.place").eqNullSafe(F.col("keep_place"))
+    if not now.join(seen, "digest", "full").filter(~same).isEmpty():
+        raise ValueError("the state does not tell of the rows of this table; files were overwritten or removed: start a new state folder")
+
+
 def find_copies(
     spark: SparkSession, path: str, key: str = "doc_id", text: str = "text",
     digest: Callable[[Column], Column] = sha256, state: str | None = None,
@@ -80,6 +91,7 @@ def find_copies(
 
     Texts are equal when all their bytes are.  A null text counts as empty, a null id is smaller than any other.  Of
     rows with the same text and the same largest id the one that stands last is kept.  An empty table gives no rows.
+    A ``state`` used again must tell of all rows of the table and of no others, else this fails; that is checked once more by digest.
     ``digest`` need not tell all texts apart.  Only bytes of hits travel, never those of texts that occur once.
     """
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
@@ -97,6 +109,8 @@ def find_copies(
 
     folder = state or f"{shared_folder(spark)}/dedup-{uuid.uuid4().hex}"
     seen = cut(remember(spark, path, folder, key, text, digest).withColumnsRenamed({"doc_id": "keep_id", "place": "keep_place"}))
+    if state:
+        _demand_same(rows, seen)
     repeated = seen.filter("n > 1").select("digest", "keep_place")
     hits = docs.join(small_enough(repeated, BROADCAST_DIGESTS), "digest").select("digest", "text", "place", "keep_place")
     kept_texts = cut(hits.filter(F.col("place") == F.col("keep_place")).select("digest", F.col("text").alias("kept_text")))

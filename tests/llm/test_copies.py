@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import os
+import pathlib
 import random
 import re
+import shutil
 import uuid
 
 import pytest
@@ -203,3 +206,20 @@ def test_copies_of_short_lines(docs):
     rows = [(1, "All rights reserved.\nLes.\nA b c\nSupercalifragilistic"), (2, "All rights reserved.\nAll rights reserved!\nLes.\nA b c\nSupercalifragilistic")]
     found = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(docs(rows)).collect()}
     assert found == {1: rows[0][1], 2: "All rights reserved!\nLes.\nA b c\nSupercalifragilistic"}
+
+
+def test_a_second_run_takes_old_files_and_no_changed_ones(spark, tmp_path):
+    path, state = write(spark, tmp_path, [(1, "a", None, None), (2, "b", None, None)]), str(tmp_path / "state")
+    assert len(exact_dedup.find_copies(spark, path, state=state).collect()) == 2
+    known = set(pathlib.Path(path).glob("*.parquet"))
+    spark.createDataFrame([(5, "a", None, None), (6, "c", None, None)], "doc_id long, text string, digest string, n long").coalesce(1).write.mode("append").parquet(path)
+    (added,) = set(pathlib.Path(path).glob("*.parquet")) - known
+    os.utime(added, (0, 10**9))
+    rows = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.find_copies(spark, path, state=state).collect()}
+    assert rows == {1: (5, 2), 2: (2, 1), 5: (5, 2), 6: (6, 1)}
+    other = write(spark, tmp_path, [(7, "new", None, None)], parts=1)
+    (changed,) = pathlib.Path(other).glob("*.parquet")
+    shutil.copy(changed, added)
+    shutil.copy(changed.with_name(f".{changed.name}.crc"), added.with_name(f".{added.name}.crc"))
+    with pytest.raises(ValueError, match="overwritten"):
+        exact_dedup.find_copies(spark, path, state=state)
