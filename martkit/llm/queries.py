@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, exact_dedup, language_id, license_scan, line_dedup, ngram_join, quality, secret_scan, sentencepiece_bpe, toxicity
+from martkit.llm import (
+    conversation_repair, decontaminate, exact_dedup, fill_middle, language_id, license_scan, line_dedup, ngram_join, quality, secret_scan,
+    sentencepiece_bpe, toxicity, url_filter,
+)
 from martkit.llm.common import in_fold
 
 
@@ -70,6 +73,18 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, folder, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.fill_digests(table(spark, folder, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair_report(conversation_repair.damaged(table(spark, folder, "conversations")))
+
+
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.url_report(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontaminate": op2_decontaminate,
@@ -81,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLES: dict[str, str] = {
@@ -91,4 +109,6 @@ FROM documents
 WINDOW w AS (PARTITION BY coalesce(text, ''))
 """,
     "op9_license_scan": license_scan.license_sql(),
+    "op11_fill_middle": fill_middle.fill_sql(),
+    "op13_url_filter": url_filter.url_sql(),
 }
