@@ -1,4 +1,4 @@
-"""Joins: validity in time, nearest prior day, spread keys, defaulted keys, code lists."""
+"""Joins: validity in time, nearest prior day, frequent keys, defaulted keys, code lists."""
 
 from __future__ import annotations
 
@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martkit.functions.dates import HIGH_DATE
 from martkit.functions.predicates import current_rows, folded, holds, same_text, valid_at
+from martkit.operators.hot import FREQUENT_ROWS, frequent_keys, is_one_of, key_hash, key_map, perhaps_touched, touched_by
+from martkit.operators.intervals import days_only, valid_pairs
 
+# Parts a frequent key is cut into where the caller names frequent keys.
 SALTS = 8
 
 
@@ -19,21 +22,28 @@ def row_salt(columns: Sequence[str], salts: int) -> Column:
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", salts: int = SALTS
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", frequent: Sequence[int] = (), salts: int = SALTS
 ) -> DataFrame:
     """Join many ``left`` rows to a narrow ``right`` that was grouped or ranked on the same keys.
 
-    Such a ``right`` is already partitioned by the key, which would pull every row of one
-    key into one task and keeps the adaptive skew split from applying.  Copying the narrow side
-    ``salts`` times and adding the salt to the key cuts a frequent key into that many parts and puts
-    a fresh exchange on both sides, which the adaptive skew split can divide further.
+    Such a ``right`` is already partitioned by the key, which would pull every row of one key into one task and keeps the adaptive
+    skew split from applying.  One more key column that is always 0, which the optimizer cannot know, puts a fresh exchange on both
+    sides: the sizes measured there show which keys are frequent, and only their partitions are split.  No row is copied.
+
+    ``frequent`` names keys to be cut in advance, as hashes that ``frequent_keys`` tells from a stored ``left``: their right
+    rows are copied ``salts`` times and their left rows dealt out by content, so that a repeated task places every row as before.
+    All other keys are joined as they are.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"spread_join cannot do a {how} join")
-    # Salted by content, so that a repeated task gives every row the same salt.
-    salted_left = left.withColumn("_salt", row_salt(left.columns, salts))
-    salted_right = right.withColumn("_salt", F.expr(f"explode(sequence(0, {salts - 1}))"))
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    same = F.pmod(key_hash(on), F.lit(1)).cast("int")
+    if not frequent:
+        return left.withColumn("_salt", same).join(right.withColumn("_salt", same), [*on, "_salt"], how).drop("_salt")
+    hot = is_one_of(on, frequent)
+    salted_left = left.withColumn("_salt", F.when(hot, row_salt(left.columns, salts)).otherwise(same))
+    plain = right.filter(~hot).withColumn("_salt", same)
+    copied = right.filter(hot).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted_left.join(plain.unionByName(copied), [*on, "_salt"], how).drop("_salt")
 
 
 def temporal_join(
@@ -47,22 +57,44 @@ def temporal_join(
     how: str = "inner",
     among: DataFrame | None = None,
     extra: Column | None = None,
+    marks: DataFrame | None = None,
+    heavy: Sequence[int] = (),
 ) -> DataFrame:
     """Join each left row to the right rows of its key that are valid on ``left[at]``.
 
     ``on`` columns are shared names; the other columns of the two sides must differ.  ``among`` is any
-    frame that holds the ``on`` keys of the left side and is cheap to read: the right side is cut to
-    those keys before the join.  Where ``left[at]`` is known to lie in a window, hand in a history cut by
-    ``alive_in``.  No row is copied; a frequent key is split by the adaptive skew join.
+    frame that holds the ``on`` keys of the left side and is cheap to read, ``marks`` a stored ``key_map`` of them: the right side
+    is cut to about those keys where it is read, before the shuffle.  Where ``left[at]`` is known to lie in a window, hand in a
+    history cut by ``alive_in``.
+
+    An ordinary key is an equality join with the validity as a further condition; no row is copied and a frequent key is left to
+    the adaptive skew split.  That compares every event of a key with every version.  Keys with many of both, named by ``heavy``
+    (``heavy_keys`` finds them), meet by blocks of days instead, where only valid pairs meet; their days must be dates.
     """
-    if among is not None:
-        right = spread_join(right, among.select(*on).dropna().distinct(), on, "left_semi")
-    condition = valid_at(F.col(at), F.col(opened), F.col(closed), grace)
-    if extra is not None:
-        condition = condition & extra
+    if marks is None and among is not None:
+        marks = key_map(among, on)
+    if marks is not None:
+        right = perhaps_touched(right, marks, on)
     renamed, keys = _own_keys(right, on)
-    joined = left.join(renamed, _equal(left, renamed, keys) & condition, how)
-    return joined.drop(*[r for _, r in keys])
+    valid = valid_at(F.col(at), F.col(opened), F.col(closed), grace)
+    if extra is not None:
+        valid = valid & extra
+    if not heavy:
+        return left.join(renamed, _equal(left, renamed, keys) & valid, how).drop(*[r for _, r in keys])
+    if how not in ("inner", "left") or not days_only(left, right, at, opened, closed):
+        raise ValueError("heavy keys need an inner or left join of dates")
+    hot = is_one_of(on, heavy)
+    few = temporal_join(left.filter(~hot), right.filter(~hot), on, at, opened, closed, grace, how, extra=extra)
+    events = left.filter(hot)
+    pairs, names = _own_keys(valid_pairs(events, right.filter(hot), on, at, opened, closed, grace), [*on, at])
+    many = events.join(pairs, _equal(events, pairs, names) & (F.lit(True) if extra is None else extra), how)
+    return few.unionByName(many.drop(*[r for _, r in names]))
+
+
+def heavy_keys(left: DataFrame, right: DataFrame, on: Sequence[str], rows: int = FREQUENT_ROWS) -> list[int]:
+    """Hashes of keys with at least ``rows`` rows on either side: two passes over key columns, a sketch each."""
+    many = frequent_keys(right, on, rows)
+    return sorted(set(many) & set(frequent_keys(left, on, rows))) if many else []
 
 
 def alive_in(
@@ -149,11 +181,15 @@ def null_safe_join(
     return left.join(right, condition, how)
 
 
-def semi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def semi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, early: bool = False) -> DataFrame:
     """Keep left rows whose key occurs on the right.
 
-    The right keys are made distinct first: a semi join cannot split a frequent key of its right side.
+    The right keys are made distinct first: a semi join cannot split a frequent key of its right side.  ``early=True`` drops most
+    other rows of a long history where it is read, by a map of the right keys; the keys are then read twice, so they should be
+    cheap to read.
     """
+    if early:
+        left = touched_by(left, right, [(left_key, right_key)])
     keys = right.select(F.col(right_key).alias("_k")).dropna().distinct()
     return spread_join(left.withColumn("_k", F.col(left_key)), keys, ["_k"], "left_semi").drop("_k")
 
