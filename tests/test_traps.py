@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -178,6 +180,28 @@ def test_name_map(spark):
     assert got == cases
 
 
+@pytest.mark.parametrize("way", ["pattern", "words", "used words", "joined"])
+def test_ways_to_rewrite_names_agree(spark, monkeypatch, way):
+    """Whatever the size of the dictionary decides, the texts are the same; none is shuffled unless the used names are too many."""
+    mark = names.MARK
+    mapping = {"a": "B", "b": "c", "ab": "a", "abc": "x$1\\", "a_1": "ab", **{f"never{i}": "no" for i in range(500)}}
+    texts = ["a b ab abc ABC a_1 abcd _a a1", "A-B.ab,abc", f"{mark}a{mark} b {mark}", "", None, "none here", "b" * 50_000 + " b", "é a\u0130b ıa B"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    listed = spark.createDataFrame(list(mapping.items()), "old_name string, new_name string")
+    if way != "pattern":
+        monkeypatch.setattr(names, "PATTERN_ENTRIES", 0)
+    monkeypatch.setattr(names, "DICTIONARY_BYTES", {"used words": 200, "joined": 0}.get(way, 1 << 20))
+    new = {k.lower(): v for k, v in mapping.items()}
+    want = [t if t is None else re.sub("[A-Za-z0-9_]+", lambda m: new.get(m[0].lower(), m[0]), t) for t in texts]
+    out = names.rewrite_names(docs, listed)
+    assert {r.doc_id: r.text for r in out.collect()} == dict(enumerate(want))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange" in plan) == (way == "joined") and ("Broadcast" not in plan or way == "joined")
+    uses = [(i, w.lower()) for i, t in enumerate(texts) for w in re.findall("[A-Za-z0-9_]+", t or "") if w.lower() in new]
+    assert {(r.doc_id, r.name): r.uses for r in names.name_usage(docs, listed).collect()} == dict(Counter(uses))
+    assert names.rewrite_names(docs, listed.limit(0)).count() == len(texts) and names.name_usage(docs, listed.limit(0)).count() == 0
+
+
 def test_names_are_whole_words(spark):
     mapping = {"NOSHARE": "NPSHARE", "NOCFG": "NPCFG", "NOSHARE_XY": "NPSHARE_XY"}
     text = "from noshare.t, NOSHARE_XY.u, (nocfg.v) NOSHARES xNOCFG nocfg-NOCFG éNOCFG\n\tNOSHARE"
