@@ -76,32 +76,67 @@ def test_quality_on_held_out_rows(spark, docs, odd_rows):
 
 
 def test_toxicity_on_held_out_rows(spark, docs, odd_rows):
-    table, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
-    report = toxicity.toxicity_report(table, labels, in_fold("doc_id", 3, 1))
-    assert held_out_accuracy(report, labels, "toxic") >= 0.9
-    model = toxicity.learn_toxicity(table, labels, F.lit(False))
+    folder = SF.replace("0.01", "0.1")
+    table, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    held = in_fold("doc_id", 3, 1)
+    model = toxicity.learn_toxicity(table, labels, held)
+    rows = table.filter(held).join(labels, "doc_id").select("doc_id", "text", "toxic").collect()
+    texts, truth = [(r.text or "").encode() for r in rows], np.array([r.toxic == 1 for r in rows])
+    scorer = model.scorer()
+    said = scorer.scores(texts) >= 0.7
+    assert (said & truth).sum() >= 0.9 * truth.sum() and (said & truth).sum() >= 0.9 * said.sum()
+    # The label model alone is far better than the commoner label.
+    alone = scorer.posteriors(texts) > 0.5
+    assert (alone != truth).mean() <= 0.5 * truth.mean() and (alone & truth).sum() >= 0.8 * truth.sum()
+    # Dozens of voters, entries and patterns; none of those kept is right less often than chance.
+    votes = model.evidence.votes(*scorer.matcher.counts(texts))
+    assert votes.shape[1] >= 24 and (model.labels.turn != 1).any()
+    one = np.ones(len(votes))
+    cast = (model.labels.turned(votes) != toxicity.ABSTAIN).sum(axis=0) >= 30
+    share = np.where((model.labels.turned(votes) == toxicity.TOXIC).any(axis=0), truth.mean(), 1 - truth.mean())
+    assert (model.labels.accuracy(votes, one) >= share - 0.02)[cast].all()
+
     odd = toxicity.score_toxicity(docs(odd_rows, clash=True), model).collect()
     assert len(odd) == len(odd_rows) and all(0 <= r.score <= 1 for r in odd) and odd[0].score == odd[2].score
+    wordless = docs([(1, "$$$ !!! @#&%"), (2, None), (3, "")])
+    assert toxicity.drop_toxic(wordless, model).count() == 3
     kept = toxicity.drop_toxic(docs([*odd_rows, (9, "you stupid pathetic idiot")], clash=True), model)
     assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted(k or 0 for k, _ in odd_rows)
+    report = toxicity.toxicity_report(docs([]), labels, held)
+    assert report.count() == 0 and report.columns == ["doc_id", "held_out", "score", "predicted"]
     unlabelled = toxicity.learn_toxicity(docs(odd_rows), labels.limit(0), F.lit(False))
-    assert len({r.score for r in toxicity.score_toxicity(docs(odd_rows), unlabelled).collect()}) == 1
+    assert {r.score for r in toxicity.score_toxicity(docs(odd_rows), unlabelled).collect()} == {0.5}
 
 
 def test_label_model_finds_accuracies_and_dependence():
-    """Voters of known accuracy, one of them a copy of another; few rows have a label."""
+    """Voters of known accuracy, one of them a copy of another, one wrong more often than not; few rows have a label."""
     rng = np.random.default_rng(3)
-    m = toxicity.LEXICON_VOTERS + toxicity.PATTERN_VOTERS
     truth = rng.random(20_000) < 0.2
-    accuracy = np.linspace(0.95, 0.6, m)
-    votes = np.where((rng.random((20_000, m)) < accuracy) == truth[:, None], toxicity.TOXIC, toxicity.CLEAN)
+    accuracy = np.array([*np.linspace(0.95, 0.6, 10), 0.1])
+    votes = np.where((rng.random((20_000, 11)) < accuracy) == truth[:, None], toxicity.TOXIC, toxicity.CLEAN)
     votes[:, 5] = votes[:, 4]
-    codes = votes @ 3 ** np.arange(m - 1, -1, -1)
-    known, at = np.unique(codes, return_inverse=True)
+    known, at = np.unique(votes, axis=0, return_inverse=True)
+    at = at.ravel()
     labelled = rng.random(20_000) < 0.05
     count = lambda mask: np.bincount(at[mask], minlength=len(known)).astype(float)
     model = toxicity.fit_label_model(known, count(~labelled), count(labelled & truth), count(labelled & ~truth))
-    assert model.lean[5] == 4
-    found = model.accuracy(toxicity.votes_of(known), np.bincount(at, minlength=len(known)).astype(float))
-    assert np.abs(found - accuracy)[[0, 1, 2, 3, 4, 6, 7]].max() < 0.05
+    assert model.lean[5] == 4 and model.turn[10] == -1 and (model.turn[:5] == 1).all()
+    found = model.accuracy(known, np.bincount(at, minlength=len(known)).astype(float))
+    assert np.abs(found - accuracy)[[0, 1, 2, 3, 4, 6]].max() < 0.05 and abs(found[10] - 0.9) < 0.05
     assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.95
+
+
+def test_evidence_against_plain_counting():
+    """Entries of a text are found word by word; what they say follows from counts in labelled texts."""
+    entries = [(b"vile", True), (b"horr", False), (b"\xc3\xa9t", False)]
+    texts = [b"Vile, vile! horrid", "été éta VILE".encode(), b"vilely horr", b"", b"HORRORS!!! 12 horr!"]
+    n, found, fits = toxicity.Matcher(entries).counts(texts)
+    assert n.tolist() == [3, 3, 2, 0, 3] and found.tolist() == [[2, 1, 0], [1, 0, 2], [0, 0, 0], [0, 0, 0], [0, 1, 0]]
+    assert [bool(f[-1]) for f in fits] == [False, False, False, False, False] and fits[4][0] == 1
+    y = np.array([1, 1, 0, 0, 0])
+    evidence = toxicity.Evidence.of(n, found, y)
+    assert np.allclose(evidence.has, np.log([2.5 / 3 / (0.5 / 4), 1.5 / 3 / (1.5 / 4), 1.5 / 3 / (0.5 / 4)]))
+    told = evidence.told(n, found)
+    assert (told[found == 0] == 0).all() and told[0, 0] > toxicity.VOTING
+    total = told.sum(axis=1) + np.where(found > 0, 0, evidence.lacks).sum(axis=1)
+    assert np.allclose(evidence.features(n, found, fits)[:, len(entries)], np.clip(total, -12, 12) / 4)
