@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
@@ -69,6 +71,7 @@ def stage_root(spark: SparkSession) -> str:
     global _local_root
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="martkit-")
+        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 
@@ -77,27 +80,54 @@ class StageArea:
 
     Calling it writes a table once and reads it back.  That cuts the lineage, survives lost executors, and
     gives later joins a plain scan of known size, so that broadcast choices rest on the real size and
-    adaptive skew splits apply.
+    adaptive skew splits apply.  A table can be dropped as soon as nothing reads it any more.  What is left goes when the
+    application ends.
     """
 
     def __init__(self, spark: SparkSession):
         self._spark = spark
         self._folder = f"{stage_root(spark)}/stage-{uuid.uuid4().hex}"
+        self._paths: list[tuple[DataFrame, str]] = []
+        fs, folder = self._file_system(self._folder)
+        fs.deleteOnExit(folder)
+
+    def _file_system(self, path: str) -> tuple:
+        context = self._spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(context._jsc.hadoopConfiguration()), folder
+
+    def _delete(self, path: str) -> None:
+        fs, folder = self._file_system(path)
+        fs.delete(folder, True)
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self._folder}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path)
+        stored = self._spark.read.schema(df.schema).parquet(path)
+        self._paths.append((stored, path))
+        return stored
+
+    def drop(self, *stored: DataFrame) -> None:
+        """Delete staged tables that no later step reads."""
+        for df, path in [p for p in self._paths if any(p[0] is s for s in stored)]:
+            self._delete(path)
+            self._paths.remove((df, path))
 
     def __enter__(self) -> StageArea:
         return self
 
     def __exit__(self, *_: object) -> None:
-        context = self._spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(self._folder)
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        self._paths.clear()
+        self._delete(self._folder)
+
+
+# The area of tables staged for the life of an application, by its id.
+_lasting: dict[str, StageArea] = {}
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Stage one table for the life of the application."""
-    return StageArea(df.sparkSession)(df, name)
+    app = df.sparkSession.sparkContext.applicationId
+    if app not in _lasting:
+        _lasting[app] = StageArea(df.sparkSession)
+    return _lasting[app](df, name)
