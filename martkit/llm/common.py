@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import gc
+import shutil
 import tempfile
 from collections.abc import Iterator
 
@@ -45,6 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
     global _local_folder
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="martkit-llm-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 
@@ -56,6 +60,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files and broadcasts of finished steps: its cleaner waits for the driver's garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_enough(df: DataFrame, rows: int) -> DataFrame:
     """The table marked for broadcast if it has at most ``rows`` rows, which is counted; else as it is, to be shuffled."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

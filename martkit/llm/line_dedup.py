@@ -188,7 +188,8 @@ def line_classes(
 
 def _classes(lines: DataFrame, edits: int, least: int, stage: StageArea) -> DataFrame:
     distinct = stage(lines.groupBy("id").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n")), "distinct")
-    members = line_keys(lines.filter(F.char_length("line") >= least).select("id", "line"), edits, least)
+    # Keys take longer to make than to read again.
+    members = stage(line_keys(lines.filter(F.char_length("line") >= least).select("id", "line"), edits, least), "keys")
 
     texts: dict[str, DataFrame] = {}
 

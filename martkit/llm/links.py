@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from martkit.llm.common import cut, small_enough
+from martkit.llm.common import cut, release, small_enough
 from martkit.operators.joins import spread_join
 from martkit.sources.tables import StageArea
 
@@ -62,10 +62,12 @@ def classes_by_keys(
     stage: StageArea,
     marks_among: Callable[[DataFrame], DataFrame] | None = None,
     mark_bits: int = 0,
+    once: bool = False,
 ) -> DataFrame:
     """Classes of items of which any two that are near share a key: ``(id, label)``, without the smallest id of each.
 
-    ``members`` has ``(key, id, own)`` rows, repeated or not; of two near items one has a shared key as its own.
+    ``members`` has ``(key, id, own)`` rows, repeated or not; of two near items one has a shared key as its own.  ``once`` says that
+    an item has a key once, which makes the first and widest shuffle narrower.
     ``confirm_among`` is given all items that share a key, as ``(id)``, and returns what keeps the truly near ones of pairs
     ``(a, b)`` of them.  ``marks_among`` is given the same items and returns ``(id, mark)``: a 64-bit mark in which near items
     differ in ``mark_bits`` bits at most, so that others need not meet.
@@ -76,16 +78,27 @@ def classes_by_keys(
     Only what then still is in different classes of a key meets pair by pair, so that no link is missed: links
     inside a class would change nothing.
     """
-    owner = F.when(F.col("own"), F.col("id"))
-    shared = members.groupBy("key").agg(F.min(owner).alias("first"), F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = stage(shared.filter("low < high AND first IS NOT NULL").select("key"), "shared")
+    spark = members.sparkSession
+    if once:
+        # One number tells how many items have the key and whether one owns it.
+        owners = 1 << 40
+        held_by = members.groupBy("key").agg(F.sum(F.when(F.col("own"), owners + 1).otherwise(1)).alias("n"))
+        shared = held_by.filter((F.col("n") > owners) & (F.col("n") % owners > 1))
+    else:
+        held_by = members.groupBy("key").agg(F.max("own").alias("own"), F.min("id").alias("low"), F.max("id").alias("high"))
+        shared = held_by.filter("own AND low < high")
+    shared = stage(shared.select("key"), "shared")
+    release(spark)
     held = _perhaps_shared(members, shared).join(shared, "key").groupBy("key", "id").agg(F.max("own").alias("own"))
     held = stage(held, "held")
+    stage.drop(shared, members)
+    release(spark)
     confirm = confirm_among(held.select("id").distinct())
     # How many items share the keys of an item: what copies were made of shares most.
     sizes = stage(held.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
     central = stage(held.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("central")), "central")
-    held = stage(held.join(small_enough(central, BROADCAST_ROWS), "id").select("key", "id", "own", "central"), "held")
+    held, old = stage(held.join(small_enough(central, BROADCAST_ROWS), "id").select("key", "id", "own", "central"), "held"), held
+    stage.drop(old, sizes, central)
     labels = held.select("id", F.col("id").alias("label")).limit(0)
     tried = held.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
 
@@ -96,7 +109,8 @@ def classes_by_keys(
         keys = named.groupBy("key").agg(pick, F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
         keys = stage(keys.select("key", F.col("pick.id").alias("to"), F.col("pick.label").alias("to_label")), "open")
         # Keys whose items have become one class have nothing more to say.
-        held = stage(held.join(small_enough(keys.select("key"), BROADCAST_ROWS), "key"), "held")
+        held, old = stage(held.join(small_enough(keys.select("key"), BROADCAST_ROWS), "key"), "held"), held
+        stage.drop(old)
         met = _in_classes(held, labels).join(small_enough(keys, BROADCAST_ROWS), "key").filter("label <> to_label")
         met = met.groupBy("id", "label", "to").agg(F.count(F.lit(1)).alias("n"))
         met = met.select("*", F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).join(tried, ["a", "b"], "left_anti")
@@ -104,6 +118,8 @@ def classes_by_keys(
         pairs = stage(best.select("best.a", "best.b").distinct(), "star")
         links = stage(confirm(pairs).select("a", "b"), "links")
         tried = tried.unionByName(pairs)
+        stage.drop(keys)
+        release(spark)
         if links.isEmpty():
             break
         labels = stage(connected(links.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))), "labels")
@@ -115,6 +131,8 @@ def classes_by_keys(
         marks = stage(marks_among(held.select("id").distinct()), "marks")
         named = named.join(small_enough(marks, BROADCAST_ROWS), "id")
     named = stage(named, "named")
+    stage.drop(held)
+    release(spark)
     left = named.select("key", F.col("id").alias("x"), F.col("label").alias("lx"), F.col("own").alias("ox"), F.col("mark").alias("mx"))
     right = named.filter("own").select("key", F.col("id").alias("y"), F.col("label").alias("ly"), F.col("mark").alias("my"))
     close = F.bit_count(F.col("mx").bitwiseXOR(F.col("my"))) <= mark_bits

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martkit.llm.common import Words, byte_texts, columns_of, cut, mixed, own_name, small_enough, steps
 from martkit.llm.links import classes_by_keys
@@ -22,7 +22,7 @@ from martkit.sources.tables import StageArea
 SHINGLE = 5
 # Ids of distinct sets that may be broadcast while texts are read again; more are shuffled.
 BROADCAST_IDS = 1_000_000
-# Words of the small sketch that every document keeps.
+# Words of the sketch that a document keeps, at least; a larger set has two bits a shingle, to the next power of two.
 SKETCH_WORDS = 16
 # Bits of the map of frequent parts, and from how many documents on a part is frequent: in the stretch of documents
 # that a task looks at together, and in all.
@@ -94,14 +94,27 @@ def _labels(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sketch(shingles: np.ndarray) -> np.ndarray:
-    bits = np.bincount((shingles & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    """Parity of the shingles at each bit.  A sketch of half the width is the XOR of this one's halves."""
+    words = max(SKETCH_WORDS, 1 << (2 * len(shingles) // 64).bit_length())
+    bits = np.bincount((shingles & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def _describe(texts: list[bytes]) -> list[tuple]:
+def _bits_apart(a: Column, b: Column) -> Column:
+    """Bits in which two sketches differ, once the wider one is folded to the width of the other."""
+    narrow, wide = F.when(F.size(a) <= F.size(b), a).otherwise(b), F.when(F.size(a) <= F.size(b), b).otherwise(a)
+    # Sizes differ by a third at most, so one width is at most twice the other.
+    half = F.size(narrow)
+    folded = F.zip_with(F.slice(wide, 1, half), F.slice(wide, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    same = F.when(F.size(wide) > half, folded).otherwise(wide)
+    apart = F.zip_with(narrow, same, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(apart, F.lit(0), lambda n, x: n + x)
+
+
+def _describe(sets: list[np.ndarray]) -> list[tuple]:
     """Size, two hashes of the whole set, and the small sketch."""
     out = []
-    for s in Sets(texts).sets:
+    for s in sets:
         if len(s):
             first = np.bitwise_xor.reduce(_labels(s)).astype(np.int64)
             second = np.sum(mixed(s + np.uint64(0x2545F4914F6CDD1D))).astype(np.int64)
@@ -111,17 +124,25 @@ def _describe(texts: list[bytes]) -> list[tuple]:
     return out
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(key, n)`` of parts that occur often among the documents of a stretch."""
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of two kinds, from one pass over the texts: a document's size, hashes and sketch; parts that occur often among the
+    documents of a stretch, as ``key`` and ``times``."""
     held: list[np.ndarray] = []
 
     def counted() -> pa.RecordBatch:
         keys, n = np.unique(np.concatenate(held or [np.zeros(0, np.uint64)]), return_counts=True)
         often = n >= OFTEN_HERE
-        return pa.RecordBatch.from_arrays([pa.array(keys[often].astype(np.int64)), pa.array(n[often])], names=["key", "n"])
+        none = [pa.nulls(int(often.sum()), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays([*none, pa.array(keys[often].astype(np.int64)), pa.array(n[often])], names=_DESCRIBED)
 
     for part in steps(batches):
-        for s in Sets(byte_texts(part.column(1))).sets:
+        sets = Sets(byte_texts(part.column(1))).sets
+        n, a, b, sketch = zip(*_describe(sets), strict=True)
+        longs = [pa.array(c, pa.int64()) for c in (n, a, b)]
+        lists = pa.array([s.tolist() for s in sketch], pa.list_(pa.int64()))
+        none = [pa.nulls(len(sets), pa.int64())] * 2
+        yield pa.RecordBatch.from_arrays([part.column(0), *longs, lists, *none], names=_DESCRIBED)
+        for s in sets:
             if len(s):
                 labels = _labels(s)
                 held += [_part_hashes(s, labels, band) for band, _ in _bands(len(s))]
@@ -131,13 +152,16 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield counted()
 
 
-def frequent_parts(docs: DataFrame) -> np.ndarray:
+_DESCRIBED = ["doc_id", "n", "h1", "h2", "sketch", "key", "times"]
+
+
+def frequent_parts(described: DataFrame) -> np.ndarray:
     """A bit map of fixed size, one bit a frequent part: only an order of parts follows from it, so it may be rough."""
-    counts = docs.mapInArrow(_frequent, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= OFTEN)
+    counts = described.filter("key IS NOT NULL").groupBy("key").agg(F.sum("times").alias("n")).filter(F.col("n") >= OFTEN)
     places = counts.select(F.expr(f"CAST(pmod(key, {MAP_BITS}) DIV 64 AS INT)").alias("word"), F.expr("shiftleft(1L, CAST(pmod(key, 64) AS INT))").alias("bit"))
+    found = places.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # MAP_BITS / 64 rows of 12 bytes at most
     words = np.zeros(MAP_BITS // 64, np.uint64)
-    for row in places.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():  # MAP_BITS / 64 rows at most
-        words[row.word] = row.bits & 0xFFFFFFFFFFFFFFFF
+    words[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype(np.uint64)
     return words
 
 
@@ -181,13 +205,6 @@ def _mapped(docs: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return docs.mapInArrow(run, schema)
 
 
-def _described(part: pa.RecordBatch) -> pa.RecordBatch:
-    n, a, b, sketch = zip(*_describe(byte_texts(part.column(1))), strict=True)
-    longs = [pa.array(c, pa.int64()) for c in (n, a, b)]
-    lists = pa.array([s.tolist() for s in sketch], pa.list_(pa.int64()))
-    return pa.RecordBatch.from_arrays([part.column(0), *longs, lists], names=["doc_id", "n", "h1", "h2", "sketch"])
-
-
 def _set_rows(part: pa.RecordBatch) -> pa.RecordBatch:
     sets = pa.array([s.astype(np.int64).tolist() for s in Sets(byte_texts(part.column(1))).sets], pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays([part.column(0), sets], names=["id", "shingles"])
@@ -207,13 +224,15 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def _classes(frame: DataFrame, stage: StageArea) -> DataFrame:
-    described = stage(_mapped(frame, _described, "doc_id long, n long, h1 long, h2 long, sketch array<long>"), "described")
+    schema = "doc_id long, n long, h1 long, h2 long, sketch array<long>, key long, times long"
+    read = stage(frame.mapInArrow(_described, schema), "read")
+    described = read.filter("n IS NOT NULL").drop("key", "times")
     same = ["n", "h1", "h2"]
     groups = described.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("first"))
     groups = stage(groups, "groups")
     firsts = groups.select(F.col("first").alias("doc_id")).dropna().distinct()
     chosen = frame.join(small_enough(firsts, BROADCAST_IDS), "doc_id").select("doc_id", "text")
-    often = frame.sparkSession.sparkContext.broadcast(frequent_parts(chosen))
+    often = frame.sparkSession.sparkContext.broadcast(frequent_parts(read))
     members = _mapped(chosen, lambda part: _keys(part.column(0), byte_texts(part.column(1)), often.value), "key long, id long, own boolean")
     known = described.join(groups.select(*same, F.col("first").alias("doc_id")), [*same, "doc_id"]).dropDuplicates(["doc_id"])
     known = stage(known.select(F.col("doc_id").alias("id"), "n", "sketch"), "known")
@@ -221,9 +240,12 @@ def _classes(frame: DataFrame, stage: StageArea) -> DataFrame:
     def likely(pairs: DataFrame) -> DataFrame:
         """Pairs of sizes and sketches that similar sets can have."""
         of = lambda s: known.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
-        bits = sum(F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_WORDS))
         sizes = 4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")
-        return pairs.join(of("a"), "a").join(of("b"), "b").filter(sizes & (7 * bits <= F.col("n_a") + F.col("n_b"))).select("a", "b")
+        sized = known.select("id", "n")
+        near = pairs.join(sized.toDF("a", "n_a"), "a").join(sized.toDF("b", "n_b"), "b").filter(sizes).select("a", "b")
+        both = near.join(of("a"), "a").join(of("b"), "b")
+        apart = _bits_apart(F.col("sketch_a"), F.col("sketch_b"))
+        return both.filter(7 * apart <= F.col("n_a") + F.col("n_b")).select("a", "b")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         pairs = stage(likely(pairs), "likely")
@@ -237,7 +259,8 @@ def _classes(frame: DataFrame, stage: StageArea) -> DataFrame:
         least, of = SIMILAR
         return joined.filter(of * F.col("both") >= least * (F.col("sum") - F.col("both"))).select("a", "b")
 
-    labels = classes_by_keys(members, lambda _: confirm, stage)
+    labels = classes_by_keys(members, lambda _: confirm, stage, once=True)
+    often.unpersist()
     named = groups.join(labels.withColumnRenamed("id", "first"), "first", "left")
     named = stage(named.select(*same, F.coalesce("label", "first").alias("label")), "named")
     out = spread_join(described.select("doc_id", *same), named, same, "left")

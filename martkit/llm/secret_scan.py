@@ -95,9 +95,14 @@ def spans_of(text: str, scan: EntropyScan) -> list[tuple[int, int, str]]:
     if "AKIA" in text:
         base += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LEAST]
     base += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    more, reach = [], 0
+    base.sort()
+    more, reach, covered, i = [], 0, 0, 0
     for a, b in sorted(scan.spans(text), key=lambda s: (s[0], -s[1])):
-        if b > reach and not any(s <= a and b <= e for s, e, _ in base):
+        # The farthest end of the base spans that begin no later: both lists are walked once.
+        while i < len(base) and base[i][0] <= a:
+            covered = max(covered, base[i][1])
+            i += 1
+        if b > reach and b > covered:
             more.append((a, b, "entropy"))
             reach = b
     order = {k: i for i, k in enumerate((*KINDS, "entropy"))}

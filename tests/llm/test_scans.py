@@ -221,3 +221,26 @@ def test_usual_licences_by_name(docs):
     rows = license_scan.license_report(docs([(i, t) for i, (t, _) in enumerate(NAMED)])).collect()
     found = {NAMED[r.doc_id]: {n.split(" ")[0] for n in r.licenses.split(",")} for r in rows}
     assert {k: v for k, v in found.items() if v != {k[1]}} == {}
+
+
+def test_spans_of_a_long_text_take_linear_time():
+    """Megabytes of hex words: base and entropy spans are merged in one walk."""
+    import random
+    import time
+
+    rng = random.Random(4)
+    words = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(25_000)]
+    scan = secret_scan.EntropyScan(secret_scan.EntropyRules())
+    took = []
+    for part in (words[:5_000], words):
+        text = " ".join(part)
+        start = time.process_time()
+        spans = secret_scan.spans_of(text, scan)
+        took.append(time.process_time() - start)
+        assert [s for s in spans if s[2] == "hex"] == [(41 * i, 41 * i + 40, "hex") for i in range(len(part))]
+        assert not [s for s in spans if s[2] == "entropy"]
+    assert took[1] < 12 * took[0] + 1
+
+
+def test_no_rows_give_no_rows(spark, docs):
+    assert secret_scan.secret_report(docs([])).count() == 0
