@@ -71,6 +71,40 @@ def _(t):
     return profile.column_profile(t["cmp"], ["component_id", "inactive_dt"])
 
 
+_PROFILED = ("component_id", "active_dt", "action")
+
+
+@check("slice_profile", "column_name row_count:i null_count:i min_value max_value distinct_near:i", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count, CAST(MIN({c}) AS VARCHAR) AS min_value,"
+    f" CAST(MAX({c}) AS VARCHAR) AS max_value, 1 AS distinct_near FROM cmp" for c in _PROFILED))
+def _(t):
+    # Statistics of each slice first, then the table's from them; the estimate is held against the exact count.
+    sketches = profile.slice_sketches(t["cmp"], _PROFILED, ["line_no"])
+    merged = profile.merged_profile(sketches, t["cmp"].schema)
+    exact = profile.column_profile(t["cmp"], _PROFILED).select("column_name", "distinct_count")
+    near = F.abs(F.col("about_distinct") - F.col("distinct_count")) <= 1 + 0.1 * F.col("distinct_count")
+    return merged.join(exact, "column_name").withColumn("distinct_near", near.cast("int"))
+
+
+# Five keys hold all rows of both sides.
+@check("temporal_join_crowded", "work_ord_no:i n:i last_line:i", """
+SELECT w.work_ord_no, COUNT(*) AS n, MAX(v.line) AS last_line
+FROM (SELECT o_orderkey AS work_ord_no, o_custkey % 5 AS k, CAST(o_orderdate AS DATE) AS day FROM orders) w
+JOIN (SELECT l_orderkey * 8 + l_linenumber AS line, l_suppkey % 5 AS k, CAST(l_shipdate AS DATE) AS a, CAST(l_shipdate AS DATE) + CAST(l_suppkey % 17 AS INT) AS b FROM lineitem
+      WHERE l_linenumber = 1) v
+  ON v.k = w.k AND w.day BETWEEN v.a - 2 AND v.b
+GROUP BY w.work_ord_no""")
+def _(t):
+    left = t["orders"].select(F.col("o_orderkey").alias("work_ord_no"), (F.col("o_custkey") % 5).alias("k"), F.col("o_orderdate").cast("date").alias("day"))
+    right = t["lineitem"].filter("l_linenumber = 1").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"), (F.col("l_suppkey") % 5).alias("k"),
+        F.col("l_shipdate").cast("date").alias("a"), F.date_add(F.col("l_shipdate").cast("date"), (F.col("l_suppkey") % 17).cast("int")).alias("b"),
+    )
+    heavy = joins.heavy_keys(left, right, ["k"])
+    joined = joins.temporal_join(left, right, ["k"], "day", "a", "b", grace=2, heavy=heavy)
+    return joined.groupBy("work_ord_no").agg(F.count(F.lit(1)).alias("n"), F.max("line").alias("last_line"))
+
+
 @check("duplicate_keys", "work_ord_no:i line_no:i row_count:i",
        "SELECT work_ord_no, line_no, COUNT(*) AS row_count FROM cmp GROUP BY 1, 2 HAVING COUNT(*) > 1")
 def _(t):

@@ -29,6 +29,14 @@ def in_interval(day: Column, start: Column, end: Column, end_grace: int = 0) ->
     return day.between(start, last)
 
 
+def open_on(day: date, start: Column, end: Column) -> Column:
+    """The interval of two moments holds some moment of a day; a missing end is open.
+
+    Bare columns against literals, so that the scan can skip row groups.
+    """
+    return (start < F.lit(day + timedelta(days=1))) & (end.isNull() | (end >= F.lit(day)))
+
+
 def on_days(moment: Column, start: date, end: date) -> Column:
     """A timestamp falls on one of the days ``start``..``end``, the last day whole.
 

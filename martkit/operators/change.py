@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -31,13 +32,15 @@ def write_slice(
     path: str,
     partition_by: Sequence[str],
     slice_values: Mapping[str, Sequence[object]],
-) -> None:
-    """Replace a slice of a partitioned parquet dataset.
-
-    ``slice_values`` names every partition of the slice (for a load window: one source and its days).
-    Partitions found in ``new`` are overwritten in one commit; the others of the slice are removed
-    afterwards, so an empty ``new`` also clears the slice, and a rerun after a failure ends in the same
-    state.  ``new`` is read twice and must not read from ``path``: hand in a staged table.
+) -> int:
+    """Replace a slice of a partitioned parquet dataset; returns how many partitions were written.
+
+    ``slice_values`` names every partition of the slice (for a load window: one source and its days).  A partition whose rows
+    are already there is left alone: a count and a sum of row hashes, which do not depend on the order of rows, tell it.  The
+    others found in ``new`` are overwritten in one commit; those of the slice that ``new`` does not fill are removed
+    afterwards, so an empty ``new`` also clears the slice, and a rerun after a failure ends in the same state.  A reader in
+    between may see a removed partition's old rows beside new ones of other partitions.  ``new`` is read twice and must not read
+    from ``path``: hand in a staged table.
     """
     names = list(partition_by)
     inside = F.lit(True)
@@ -45,17 +48,37 @@ def write_slice(
         inside = inside & F.col(name).isin(*slice_values[name])
     if not new.filter(~holds(inside)).isEmpty():
         raise ValueError("write_slice: rows outside the slice being replaced")
+    spark = new.sparkSession
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
     # At most one row per partition of the slice.
-    filled = {tuple(str(v) for v in row) for row in new.select(*names).distinct().collect()}
-    (
-        # Gathers the rows of a partition into few files and splits a large one by size.
-        new.hint("rebalance", *names)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*names)
-        .parquet(path)
-    )
-    _remove_partitions(new.sparkSession, path, names, slice_values, filled)
+    filled = partition_digests(new, names)
+    known = partition_digests(spark.read.schema(new.schema).parquet(path).filter(inside), names) if there else {}
+    changed = [values for values, digest in filled.items() if known.get(values) != digest]
+    if changed or not there:
+        # Partitions in which nothing changed are neither written nor removed.
+        wanted = reduce(Column.__or__, [reduce(Column.__and__, [F.col(n) == F.lit(v) for n, v in zip(names, c)]) for c in changed], F.lit(not changed))
+        (
+            # Gathers the rows of a partition into few files and splits a large one by size.
+            new.filter(wanted).hint("rebalance", *names)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*names)
+            .parquet(path)
+        )
+    keep = {tuple(str(v) for v in values) for values in filled}
+    _remove_partitions(spark, path, names, slice_values, keep)
+    return len(changed)
+
+
+def partition_digests(df: DataFrame, partition_by: Sequence[str]) -> dict[tuple, tuple]:
+    """Rows and sum of row hashes of each partition: equal for equal rows in any order."""
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    again = F.xxhash64(F.lit(1), *[F.col(f"`{c}`") for c in sorted(df.columns)])
+    sums = [F.sum(h.cast("decimal(38,0)")) for h in (hashed, again)]
+    rows = df.groupBy(*partition_by).agg(F.count(F.lit(1)), *sums).collect()
+    width = len(partition_by)
+    return {tuple(r)[:width]: tuple(r)[width:] for r in rows}
 
 
 def _remove_partitions(

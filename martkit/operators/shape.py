@@ -8,9 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def conform(df: DataFrame, schema: T.StructType, **constants: object) -> DataFrame:
-    """Exactly the columns of ``schema``: by name from ``df``, else a constant, else a typed NULL."""
+def conform(df: DataFrame, schema: T.StructType, /, only: bool = False, **constants: object) -> DataFrame:
+    """Exactly the columns of ``schema``: by name from ``df``, else a constant, else a typed NULL.
+
+    ``only=True`` is for a frame made for this schema: a column of ``df`` that the schema does not have (a misspelt one, say)
+    is an error instead of being left out.
+    """
     have = {c.lower(): c for c in df.columns}
+    if only and (strange := set(have) - {n.lower() for n in schema.names}):
+        raise ValueError(f"not in the target schema: {sorted(strange)}")
     unknown = set(constants) - set(schema.names)
     if unknown:
         raise ValueError(f"not in the target schema: {sorted(unknown)}")

@@ -8,9 +8,10 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from martkit.functions.dates import HIGH_DATE, LOW_DATE, or_high, same_month
-from martkit.functions.predicates import current_rows, folded, in_interval, text_in, valid_at
+from martkit.functions.predicates import current_rows, folded, in_interval, open_on, text_in, valid_at
 from martkit.functions.text import varchar
 from martkit.operators.change import drop_null_keys, replace_slice, update_from
+from martkit.operators.hot import touched_by
 from martkit.operators.joins import semi_join, spread_join
 from martkit.operators.pick import best_rows, earliest, latest
 from martkit.operators.profile import count_by_class
@@ -56,7 +57,7 @@ def _held_at(t: Tables, per_end_dt: date) -> DataFrame:
     """Subscriber components held at month end; all bounds are literals, so the scan filters."""
     day = F.lit(per_end_dt)
     return t["ar_p200"].filter(
-        in_interval(day, F.col("product_start").cast("date"), F.col("product_stop").cast("date"))
+        open_on(per_end_dt, F.col("product_start"), F.col("product_stop"))
         & (F.col("open_dt") <= F.lit(per_end_dt + timedelta(days=2)))
         & (F.col("close_dt") >= day)
     ).select(
@@ -78,7 +79,7 @@ def active_addons(t: Tables, per_end_dt: date, plans: DataFrame) -> DataFrame:
 
 def active_basic_plan(t: Tables, per_end_dt: date, addons: DataFrame, basics: DataFrame) -> DataFrame:
     """One basic plan per subscriber that holds an add-on."""
-    held = semi_join(_held_at(t, per_end_dt), addons, "subscr_no", "subscr_no")
+    held = semi_join(_held_at(t, per_end_dt), addons, "subscr_no", "subscr_no", early=True)
     held = semi_join(held, basics, "component_id", "component_id").distinct()
     order = [
         latest("cce_active_dt"), latest("cce_inactive_dt", HIGH_DATE),
@@ -99,13 +100,14 @@ def active_service(t: Tables, per_end_dt: date, addons: DataFrame) -> DataFrame:
     )
     ids = t["ar_s200"].filter(
         valid_at(day, F.col("open_dt"), F.col("close_dt"), 2)
-        & in_interval(day, F.col("active_date").cast("date"), F.col("inactive_date").cast("date"))
+        & open_on(per_end_dt, F.col("active_date"), F.col("inactive_date"))
         & (F.col("record_type").cast("string") != VOID_RECORD)
     ).select(
         "subscr_no", "external_id", F.col("external_id_type").cast("smallint").alias("external_id_type"),
         "active_date", "inactive_date", F.col("open_dt").alias("s200_open"),
     )
-    named = semi_join(subscribers, addons, "subscr_no", "subscr_no").join(ids, "subscr_no").filter(
+    ids = touched_by(ids, addons, [("subscr_no", "subscr_no")])
+    named = semi_join(subscribers, addons, "subscr_no", "subscr_no", early=True).join(ids, "subscr_no").filter(
         F.col("display_external_id_type").cast("smallint") == F.col("external_id_type")
     )
     picked = best_rows(
@@ -126,7 +128,7 @@ def active_service(t: Tables, per_end_dt: date, addons: DataFrame) -> DataFrame:
 def month_end_account(t: Tables, per_end_dt: date, addons: DataFrame) -> DataFrame:
     """Account attributes at month end, best per account number."""
     accounts = t["ar_a100"].filter(valid_at(F.lit(per_end_dt), F.col("open_dt"), F.col("close_dt"), 2))
-    accounts = semi_join(accounts, addons, "account_no", "account_no").select(
+    accounts = semi_join(accounts, addons, "account_no", "account_no", early=True).select(
         "account_no", F.col("bill_lname").alias("customer_name"), "bill_zip", "vip_code",
         "owning_cost_ctr", "owning_cost_ctr_dv", "close_dt",
     )
@@ -167,9 +169,9 @@ def assemble_base(
         ties=False,
     ).withColumnsRenamed({"subscr_no": "ar_subscr_no", "account_no": "ar_account_no"})
     base = conform(picked, MONTH_BASE, per_end_dt=per_end_dt, src_cd="ID", bcc_migrated_ind="N")
-    named_plans = plans.groupBy("rate_plan_cd").agg(F.max("rate_plan_ds").alias("rate_plan_ds"))
+    # A plan with two names is an error of the reference tables, and fails the job.
     base = update_from(
-        base, named_plans, [("bolton_rate_plan_cd", "rate_plan_cd")], {"bolton_rate_plan_ds": "rate_plan_ds"}
+        base, plans.distinct(), [("bolton_rate_plan_cd", "rate_plan_cd")], {"bolton_rate_plan_ds": "rate_plan_ds"}
     )
     named_basics = basics.select(
         F.col("component_id").cast("string").alias("component_id"), "basic_plan_ds"
@@ -186,7 +188,7 @@ def base_order(t: Tables, base: DataFrame, per_end_dt: date) -> DataFrame:
     ids = t["oo_svciex"].filter(or_high(F.col("end_dt")) >= day).select(
         "svc_inst_id", F.col("ext_id").alias("svc_no")
     )
-    ids = semi_join(ids, wanted, "svc_no", "svc_no").distinct()
+    ids = semi_join(ids, base, "svc_no", "svc_no", early=True).distinct()
     orders = t["oo_wrkord"].filter(
         F.col("work_ord_status").cast("string").isin(*PLACED_ORDERS)
         & F.col("work_ord_type").isin(*START_ACTIONS)
@@ -204,8 +206,10 @@ def base_order(t: Tables, base: DataFrame, per_end_dt: date) -> DataFrame:
     ).select(
         "int_pack_inst", F.col("component_id").cast("string").alias("component_id"), "active_dt", "inactive_dt"
     )
-    components = semi_join(components, wanted, "component_id", "component_id")
-    packages = t["oo_btxnpa"].select("work_ord_no", "int_pack_inst")
+    components = touched_by(components, base, [("component_id", "bolton_rate_plan_cd")])
+    # Orders of other services go first, then packages of other orders: neither is shuffled whole.
+    orders = touched_by(orders, ids, [("svc_inst_id", "svc_inst_id")])
+    packages = touched_by(t["oo_btxnpa"].select("work_ord_no", "int_pack_inst"), orders, [("work_ord_no", "work_ord_no")])
     found = (
         orders.join(ids, "svc_inst_id")
         .join(packages, "work_ord_no")
@@ -232,7 +236,7 @@ def base_order_attribution(base: DataFrame, orders: DataFrame) -> DataFrame:
 
 def first_order_rep(t: Tables, orders: DataFrame) -> DataFrame:
     """First history row of each attributed order."""
-    history = semi_join(t["oo_wrkojn"], orders, "work_ord_no", "work_ord_no").select(
+    history = semi_join(t["oo_wrkojn"], orders, "work_ord_no", "work_ord_no", early=True).select(
         "work_ord_no", "reps_id", "sales_chanl_id", "retl_store", "acq_partnr_cmpny", "open_dt"
     )
     return best_rows(history, ["work_ord_no"], [earliest("open_dt")], ties=False)
@@ -255,13 +259,13 @@ def base_service_counts(t: Tables, base: DataFrame, per_end_dt: date) -> DataFra
     day = F.lit(per_end_dt)
     live = t["ar_s100"].filter(
         (F.col("record_type").cast("string") != VOID_RECORD)
-        & in_interval(day, F.col("service_start").cast("date"), F.col("service_end").cast("date"))
+        & open_on(per_end_dt, F.col("service_start"), F.col("service_end"))
         & valid_at(day, F.col("open_dt"), F.col("close_dt"), 2)
     ).select(
         "subscr_no", "account_no", F.col("display_external_id_type").cast("smallint").alias("id_type"),
         "open_dt", "close_dt",
     )
-    live = semi_join(live, base, "account_no", "ar_account_no")
+    live = semi_join(live, base, "account_no", "ar_account_no", early=True)
     one = best_rows(live, ["subscr_no"], [latest("open_dt"), latest("close_dt")], ties=False)
     return count_by_class(one, ["account_no"], "id_type", MOBILE, "mobile_count", "fixed_count")
 

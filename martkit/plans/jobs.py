@@ -44,7 +44,8 @@ def first_source_events(
     t: Tables, window: tuple[date, date], as_of: date, keep: Keep = stage
 ) -> DataFrame:
     """Rows of all first-source slices of the window with service counts filled in."""
-    television = tv_events.attach_order_dealer(t, tv_events.tv_events(t, window))
+    # Stored, because the as-of join reads the events twice.
+    television = tv_events.attach_order_dealer(t, keep(tv_events.tv_events(t, window), "tv_events"))
     rows = keep(
         union_events(
             order_events.order_events(t, window, as_of, keep),
@@ -96,6 +97,30 @@ def run_month_end(
         write_slice(plans, account_plan_path, ["per_end_dt"], {"per_end_dt": [month]})
 
 
+def run_second_source_stage(
+    spark: SparkSession, t: Tables, event_stage_path: str, base_stage_path: str, as_of: date, back: int = 12, lag: int = 2
+) -> None:
+    """Write the staging facts of the second source: the window's events by day, and the month's base.
+
+    ``load_second_source_events`` and ``load_second_source_base`` load the facts from them.
+    """
+    window, month = rolling_window(as_of, back, lag), prev_month_end(as_of)
+    with StageArea(spark) as keep:
+        events = keep(second_source.map_second_source_events(t, window), "event_stage")
+        write_slice(events, event_stage_path, ["work_ord_completion_dt"], {"work_ord_completion_dt": days_in(window)})
+        rows = keep(second_source.map_second_source_base(t, month), "base_stage")
+        write_slice(rows, base_stage_path, ["per_end_dt"], {"per_end_dt": [month]})
+
+
+def run_television_load(spark: SparkSession, t: Tables, fact_path: str, as_of: date, back: int = 15, lag: int = 2) -> None:
+    """Reload the television slice with the older rule: four kinds of events, the first order counts, fifteen days."""
+    window = rolling_window(as_of, back, lag)
+    with StageArea(spark) as keep:
+        rows = keep(tv_events.tv_events_four_way(t, window, as_of).withColumn(SOURCE_PART, source_part()), "television")
+        days = {SOURCE_PART: [tv_events.TV_SOURCE], "work_ord_completion_dt": days_in(window)}
+        write_slice(rows, fact_path, EVENT_PARTITIONS, days)
+
+
 def run_commission_revenue(spark: SparkSession, t: Tables, fact_path: str, as_of: date) -> None:
     """Replace the month's billed revenue in the commission fact."""
     month = prev_month_end(as_of)

@@ -54,7 +54,7 @@ def map_second_source_events(t: Tables, window: Span) -> DataFrame:
         F.col("acct_mkt_sgmt_serv_cnt").alias("no_of_svc_x_acct"),
         F.to_date("run_ts").alias("load_date"),
     )
-    return conform(named, EVENT_STAGE, src_cd=SECOND)
+    return conform(named, EVENT_STAGE, only=True, src_cd=SECOND)
 
 
 def load_second_source_events(
@@ -103,7 +103,7 @@ def map_second_source_base(t: Tables, per_end_dt: date) -> DataFrame:
         F.col("prov_agnt_lgin_nm").alias("rep_id"),
         F.col("prov_sale_serv_chnl_nm").alias("sales_chanl_id"),
     )
-    return conform(named, BASE_STAGE, per_end_dt=per_end_dt, src_cd=SECOND)
+    return conform(named, BASE_STAGE, only=True, per_end_dt=per_end_dt, src_cd=SECOND)
 
 
 def load_second_source_base(

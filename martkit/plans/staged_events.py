@@ -40,7 +40,7 @@ def _staged(t: Tables, window: Span, *sources: str) -> DataFrame:
 
 def _fact(df: DataFrame, as_of: date, source: str) -> DataFrame:
     return conform(
-        df, EVENT_FACT, load_date=as_of, src_tbl=source, src_cd="ID", bcc_migrated_ind="N"
+        df, EVENT_FACT, only=True, load_date=as_of, src_tbl=source, src_cd="ID", bcc_migrated_ind="N"
     )
 
 
@@ -220,7 +220,7 @@ def services_per_account(t: Tables, events: DataFrame, window: Span) -> DataFram
     Services that end after the window do not count, those without an end or ended before do.  Picking
     one row per service first would not change a distinct count, so it is left out.
     """
-    touched = events.filter(_uncounted(window) & F.col("src_tbl").isin(*COUNTED_SOURCES))
+    touched = events.filter(_uncounted(window) & text_in(F.col("src_tbl"), *COUNTED_SOURCES))
     end = F.lit(window[1])
     ids = current_rows(t["oo_svciex"]).filter(
         (F.col("ext_id_type") == MOBILE) & (F.col("end_dt").isNull() | (F.col("end_dt") <= end))

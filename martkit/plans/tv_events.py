@@ -101,7 +101,7 @@ def tv_fact(events: DataFrame, as_of: date) -> DataFrame:
         F.when(churn, F.col("new_rep_id")).alias("original_rep_id"),
     )
     return conform(
-        named, EVENT_FACT, load_date=as_of, src_tbl=TV_SOURCE, src_cd="ID", bcc_migrated_ind="N"
+        named, EVENT_FACT, only=True, load_date=as_of, src_tbl=TV_SOURCE, src_cd="ID", bcc_migrated_ind="N"
     )
 
 

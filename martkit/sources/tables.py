@@ -7,8 +7,12 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyarrow import fs
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 # Fixed value: only these script files are rewritten; the first suffix matches in any letter case.
 SCRIPT_GLOB = "*.{[sS][qQ][lL],bteq}"
@@ -40,7 +44,10 @@ def trim_keys(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def read_scripts(spark: SparkSession, path: str, glob: str = SCRIPT_GLOB) -> DataFrame:
-    """Scripts below a folder as ``(path, text)``, one row per file; paths are relative to the folder."""
+    """Scripts below a folder as ``(path, text)``, one row per file; paths are relative to the folder.
+
+    An empty file has no row: Spark leaves files without bytes out.
+    """
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     whole = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toUri().getPath().rstrip("/")
     # Spark gives file names with %-escapes; a plus sign in them is just that.
@@ -51,14 +58,74 @@ def read_scripts(spark: SparkSession, path: str, glob: str = SCRIPT_GLOB) -> Dat
     return read.select(F.substring(below, len(whole) + 2, 1 << 30).alias("path"), F.col("value").alias("text"))
 
 
+class ScriptFiles(DataSource):
+    """A sink of ``(path, text)`` rows: each text becomes one file under its own name, byte for byte."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "script_files"
+
+    def schema(self) -> str:
+        return "path string, text string"
+
+    def writer(self, schema: StructType, overwrite: bool) -> ScriptWriter:
+        return ScriptWriter(self.options["path"], uuid.uuid4().hex)
+
+
+class _Written(WriterCommitMessage):
+    pass
+
+
+class ScriptWriter(DataSourceWriter):
+    """Tasks write below a folder of the job, which takes the output's place when all are done.
+
+    A repeated task writes the same files again, each first under a name of its own.  ``path`` is a folder that all executors share, or
+    a URI of a store that pyarrow opens.
+    """
+
+    def __init__(self, path: str, job: str):
+        self.path, self.job = path.rstrip("/"), job
+
+    def _store(self) -> tuple[fs.FileSystem, str, str]:
+        if "://" in self.path or self.path.startswith("file:"):
+            store, root = fs.FileSystem.from_uri(quote(self.path, safe=":/%"))
+        else:
+            store, root = fs.LocalFileSystem(), self.path
+        return store, root, f"{root}._writing-{self.job}"
+
+    def write(self, rows: Iterator[Row]) -> WriterCommitMessage:
+        store, _, held = self._store()
+        for row in rows:
+            parts = (row.path or "").split("/")
+            if not row.path or ".." in parts or "" in parts:
+                raise ValueError(f"not a path of a script: {row.path!r}")
+            target = f"{held}/{row.path}"
+            store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            own = f"{target}.{uuid.uuid4().hex}"
+            with store.open_output_stream(own, compression=None) as out:
+                out.write((row.text or "").encode())
+            store.move(own, target)
+        return _Written()
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        store, root, held = self._store()
+        store.create_dir(held, recursive=True)
+        if store.get_file_info(root).type != fs.FileType.NotFound:
+            store.delete_dir(root)
+        store.move(held, root)
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        store, _, held = self._store()
+        if store.get_file_info(held).type != fs.FileType.NotFound:
+            store.delete_dir(held)
+
+
 def write_scripts(docs: DataFrame, path: str, name: str = "path", text: str = "text") -> None:
-    """One folder per script holding its text; the writer ends every file with a line break."""
-    (
-        docs.select(F.col(name).alias("script"), F.regexp_replace(text, "\\n\\z", "").alias("value"))
-        .write.mode("overwrite")
-        .partitionBy("script")
-        .text(path)
-    )
+    """One file per script, under its own path below the folder, which it replaces; a null text is an empty file."""
+    spark = docs.sparkSession
+    spark.dataSource.register(ScriptFiles)
+    rows = docs.select(F.col(name).cast("string").alias("path"), F.col(text).cast("string").alias("text"))
+    rows.write.format(ScriptFiles.name()).mode("overwrite").option("path", path).save()
 
 
 def stage_root(spark: SparkSession) -> str:

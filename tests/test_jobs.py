@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from checks.harness import CheckTables
 from martkit.operators.change import days_in, write_slice
 from martkit.operators.shape import conform
-from martkit.plans import base, jobs, revenue, staged_events
+from martkit.plans import base, jobs, revenue, second_source, staged_events, tv_events
 from martkit.plans.second_source import load_second_source_events
-from martkit.sources.schemas import COMMISSION_FACT, EVENT_FACT, EVENT_STAGE, MONTH_BASE
-from martkit.sources.tables import ParquetTables, StageArea, read_scripts, stage, stage_root, trim_keys
+from martkit.sources.schemas import BASE_STAGE, COMMISSION_FACT, EVENT_FACT, EVENT_STAGE, MONTH_BASE
+from martkit.sources.tables import ParquetTables, StageArea, read_scripts, stage, stage_root, trim_keys, write_scripts
 
 FOLDER = "/root/testdata/sf0.001"
 D = date.fromisoformat
@@ -37,6 +37,15 @@ def test_slice_on_disk(spark, tmp_path):
     for _ in range(2):
         assert load([(3, "a", D("2000-01-03"))]) == [(3, "a", 3), (9, "b b", 1)]
     assert load([]) == [(9, "b b", 1)]
+    # What is there already is not written again, in whatever order its rows come.
+    rows = [(i, "a", D("2000-01-01") if i % 2 else D("2000-01-02")) for i in range(6)]
+    assert len(load(rows)) == 7
+    files = lambda: {str(f): os.stat(f).st_mtime_ns for f in (tmp_path / "fact").rglob("*.parquet")}
+    once = files()
+    assert len(load(rows[::-1])) == 7 and files() == once
+    load([*rows[1:], (7, "a", D("2000-01-02"))])
+    assert {f for f, at in once.items() if files().get(f) == at} == {f for f in once if "day=2000-01-02" not in f}
+    load([])
     with pytest.raises(ValueError, match="outside the slice"):
         load([(4, "a", D("2000-02-01"))])
 
@@ -56,10 +65,19 @@ def test_scripts(spark, tmp_path):
     listed = spark.createDataFrame([("XOT",), ("ABC",)], "name string")
     out = tmp_path / "out"
     jobs.run_retarget(spark, str(root), listed, "o", "p", str(out))
-    back = spark.read.text(str(out), wholetext=True).select("script", "value")
-    assert {r.script: r.value for r in back.collect()} == {
-        "a.sql": "select * from XPT.t;\n\n-- end\n", "sub/B.SQL": "xot_y.XPT\n", "sub/c.bteq": ".x XPT\n",
-    }
+    tree = lambda top: {str(p.relative_to(top)): p.read_bytes() for p in top.rglob("*") if p.is_file() and not p.name.startswith(".")}
+    want = {"a.sql": b"select * from XPT.t;\n\n-- end\n", "sub/B.SQL": b"xot_y.XPT\n", "sub/c.bteq": b".x XPT\n"}
+    assert tree(out) == want
+    # Once more over what is there: files of scripts that are gone go.
+    (root / "a.sql").write_text("no line break at the end XOT")
+    (root / "sub" / "c.bteq").write_text("\n")
+    (root / "sub" / "B.SQL").rename(root / "sub" / "new +(1) [x] 50%.sql")
+    jobs.run_retarget(spark, str(root), listed, "o", "p", str(out))
+    assert tree(out) == {"a.sql": b"no line break at the end XPT", "sub/c.bteq": b"\n", "sub/new +(1) [x] 50%.sql": b"xot_y.XPT\n"}
+    assert [p.name for p in tmp_path.iterdir() if "_writing" in p.name] == []
+    with pytest.raises(Exception, match="not a path of a script"):
+        write_scripts(spark.createDataFrame([("../x.sql", "a")], "path string, text string"), str(out))
+    assert len(tree(out)) == 3
 
 
 def test_script_paths_are_taken_as_they_are(spark, tmp_path):
@@ -170,6 +188,58 @@ def test_letter_case_and_blanks_do_not_count(tables):
     assert [job(odd).count() for job in jobs_] == counts
 
 
+def test_second_source_staging_feeds_both_loads(spark, tables, tmp_path):
+    events, month = str(tmp_path / "events"), str(tmp_path / "month")
+    for _ in range(2):
+        jobs.run_second_source_stage(spark, tables, events, month, D("1999-01-02"), back=62)
+    window = (D("1998-11-01"), D("1998-12-31"))
+    staged = jobs.read_fact(spark, events, EVENT_STAGE)
+    direct = second_source.map_second_source_events(tables, window)
+    assert _content(staged) == _content(direct.select(*staged.columns)) != []
+    fact = conform(spark.createDataFrame([("ID", D("1998-12-01"))], "src_cd string, work_ord_completion_dt date"), EVENT_FACT)
+    for faithful, first in ((False, 1), (True, 0)):
+        loaded = load_second_source_events(fact, staged, window, faithful=faithful)
+        assert loaded.filter("src_cd = 'ID'").count() == first and loaded.filter("src_cd = 'ED'").count() == staged.count()
+    rows = jobs.read_fact(spark, month, BASE_STAGE)
+    assert rows.count() == second_source.map_second_source_base(tables, D("1998-12-31")).count()
+    base_rows = conform(rows.limit(0), MONTH_BASE)
+    assert second_source.load_second_source_base(base_rows, rows, D("1998-12-31"), faithful=True).count() == rows.count()
+
+
+def test_television_load_of_the_older_kind(spark, tables, tmp_path):
+    path = str(tmp_path / "events")
+    day = tables["ott_at_transaction"].agg(F.max("transaction_date")).first()[0]
+    for _ in range(2):
+        jobs.run_television_load(spark, tables, path, day + timedelta(days=2))
+    loaded = jobs.read_fact(spark, path, EVENT_FACT)
+    days = loaded.agg(F.min("work_ord_completion_dt"), F.max("work_ord_completion_dt")).first()
+    assert day - timedelta(days=13) <= days[0] and days[1] == day
+    want = tv_events.tv_events_four_way(tables, (day - timedelta(days=13), day), day + timedelta(days=2))
+    assert _content(loaded) == _content(want.select(*loaded.columns))
+
+
+def test_interval_bounds_reach_the_scan(spark, tables):
+    """Bare moments against literals: the month-end reads of subscriptions and services can skip row groups."""
+    month = D("1998-08-31")
+    frames = {
+        "product_start": base._held_at(tables, month), "service_start": base.base_service_counts(tables, tables["ar_s100"].withColumnRenamed("account_no", "ar_account_no"), month),
+    }
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        for column, frame in frames.items():
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert [line for line in plan.splitlines() if "PushedFilters" in line and f"LessThan({column}" in line]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_misspelt_columns_are_refused(spark):
+    frame = spark.createDataFrame([("ID", 1)], "src_cd string, svc_nmbr int")
+    assert conform(frame, EVENT_FACT).count() == 1
+    with pytest.raises(ValueError, match="svc_nmbr"):
+        conform(frame, EVENT_FACT, only=True)
+
+
 def test_month_end_is_idempotent(spark, tables, tmp_path):
     base_path, plans = str(tmp_path / "base"), str(tmp_path / "plans")
     seen = []
