@@ -15,11 +15,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martkit.llm.common import cut, shared_folder, small_enough
+from martkit.operators.joins import spread_join
 
 # Digests of repeated texts that may be broadcast, to pick the hits while the texts are read; more are shuffled.
 BROADCAST_DIGESTS = 200_000
 
-# Session settings while the stream runs: state on disk, its memory bounded for all state of an executor.
+# Settings of the stream's own session: state on disk, its memory bounded for all state of an executor.
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -40,6 +41,15 @@ def _text(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session like the caller's with the stream's settings, so that streams side by side do not disturb each other."""
+    own = spark.newSession()
+    for k, v in {**spark.conf.getAll, **_SETTINGS}.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return own
+
+
 def remember(
     spark: SparkSession, path: str, state: str, key: str = "doc_id", text: str = "text",
     digest: Callable[[Column], Column] = sha256, files_per_batch: int = 200,
@@ -54,19 +64,12 @@ def remember(
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     if where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(where).isFile():
         path = f"{path[:-1]}[{path[-1]}]"  # a stream takes folders or patterns
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", _MAX_AGE).parquet(path)
+    stream = _own_session(spark).readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", _MAX_AGE).parquet(path)
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     rows = stream.select(digest(_text(text)).alias("digest"), F.struct(F.col(f"`{key}`").alias("doc_id"), place.alias("place")).alias("kept"))
     grouped = rows.groupBy("digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    before = {k: spark.conf.get(k, None) for k in _SETTINGS}
-    for k, v in _SETTINGS.items():
-        spark.conf.set(k, v)
-    try:
-        run = grouped.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
-        run.option("checkpointLocation", state).start().awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    run = grouped.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
+    run.option("checkpointLocation", state).start().awaitTermination()
     return spark.read.format("statestore").load(state).select(
         F.col("key.digest").alias("digest"),
         F.col("value.max.doc_id").alias("doc_id"),
@@ -115,15 +118,15 @@ def find_copies(
     hits = docs.join(small_enough(repeated, BROADCAST_DIGESTS), "digest").select("digest", "text", "place", "keep_place")
     kept_texts = cut(hits.filter(F.col("place") == F.col("keep_place")).select("digest", F.col("text").alias("kept_text")))
     others = hits.filter(F.col("place") != F.col("keep_place")).select("digest", "text")
-    differs = others.join(kept_texts, "digest").filter(F.col("text") != F.col("kept_text"))
+    differs = spread_join(others, kept_texts, ["digest"], "inner").filter(F.col("text") != F.col("kept_text"))
     mixed = cut(differs.select("digest").distinct())
 
     judged = rows.join(seen, "digest")
     if mixed.isEmpty():
         return judged.select(*answer)
+    mixed = small_enough(mixed, BROADCAST_DIGESTS)
     unequal = docs.join(mixed, "digest").withColumn("last", F.struct("doc_id", "place"))
     by_text = unequal.groupBy("text").agg(F.max("last").alias("last"), F.count(F.lit(1)).alias("n"))
-    regrouped = unequal.select("doc_id", "place", "text", "text_sha256").join(
-        by_text.select("text", F.col("last.doc_id").alias("keep_id"), F.col("last.place").alias("keep_place"), "n"), "text"
-    )
+    chosen = by_text.select("text", F.col("last.doc_id").alias("keep_id"), F.col("last.place").alias("keep_place"), "n")
+    regrouped = spread_join(unequal.select("doc_id", "place", "text", "text_sha256"), chosen, ["text"], "inner")
     return judged.join(mixed, "digest", "left_anti").select(*answer).unionByName(regrouped.select(*answer))

@@ -47,6 +47,14 @@ def test_state_goes_on_with_new_files(spark, tmp_path):
     assert (seen[5].n, seen[2].n) == (2, 1) and seen[5].place.file.endswith(".parquet")
 
 
+def test_stream_leaves_the_callers_session_alone(spark, tmp_path):
+    before = dict(spark.conf.getAll)
+    path = write(spark, tmp_path, [(i, "hot", None, None) for i in range(200)] + [(500, "cold", None, None)])
+    rows = exact_dedup.find_copies(spark, path).collect()
+    assert dict(spark.conf.getAll) == before
+    assert {(r.keep_id, r.group_size) for r in rows} == {(199, 200), (500, 1)} and sum(r.kept for r in rows) == 2
+
+
 def test_no_rows(spark, tmp_path):
     assert exact_dedup.find_copies(spark, write(spark, tmp_path, [], 1)).count() == 0
 
