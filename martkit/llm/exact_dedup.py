@@ -44,9 +44,12 @@ def _text(column: str) -> Column:
 def _own_session(spark: SparkSession) -> SparkSession:
     """A session like the caller's with the stream's settings, so that streams side by side do not disturb each other."""
     own = spark.newSession()
-    for k, v in {**spark.conf.getAll, **_SETTINGS}.items():
-        if own.conf.isModifiable(k):
+    inherited = own.conf.getAll
+    for k, v in spark.conf.getAll.items():
+        if inherited.get(k) != v:
             own.conf.set(k, v)
+    for k, v in _SETTINGS.items():
+        own.conf.set(k, v)
     return own
 
 

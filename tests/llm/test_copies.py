@@ -52,6 +52,8 @@ def test_stream_leaves_the_callers_session_alone(spark, tmp_path):
     path = write(spark, tmp_path, [(i, "hot", None, None) for i in range(200)] + [(500, "cold", None, None)])
     rows = exact_dedup.find_copies(spark, path).collect()
     assert dict(spark.conf.getAll) == before
+    own = exact_dedup._own_session(spark).conf
+    assert all(own.get(k) == v for k, v in {**before, **exact_dedup._SETTINGS}.items())
     assert {(r.keep_id, r.group_size) for r in rows} == {(199, 200), (500, 1)} and sum(r.kept for r in rows) == 2
 
 
