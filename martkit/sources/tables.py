@@ -12,24 +12,34 @@ from urllib.parse import quote
 from pyarrow import fs
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 # Fixed value: only these script files are rewritten; the first suffix matches in any letter case.
 SCRIPT_GLOB = "*.{[sS][qQ][lL],bteq}"
 
+# Text keys by which tables meet, under the names that the source tables give them.
+TEXT_KEYS = (
+    "acct_no", "basic_accs_rate_plan_cd", "bill_stmt_chrg_cd", "bolton_rate_plan_cd", "dlr_cd", "rate_plan_cd", "rep_cd",
+    "sap_gl", "sap_prod_cd", "service_no", "svc_no", "svc_stat_cd", "sys_rate_plan_cd",
+)
+
 _local_root: str | None = None
 
 
 class ParquetTables(Mapping[str, DataFrame]):
-    """Tables of one folder by name, opened on first use."""
+    """Tables of one folder by name, opened on first use.
+
+    The columns named in ``text_keys`` come folded, so that every join, grouping and update by them takes keys for equal that
+    differ in letter case or trailing blanks only.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, names: Sequence[str]):
-        self._spark, self._root, self._names = spark, root.rstrip("/"), list(names)
+    def __init__(self, spark: SparkSession, root: str, names: Sequence[str], text_keys: Sequence[str] = TEXT_KEYS):
+        self._spark, self._root, self._names, self._keys = spark, root.rstrip("/"), list(names), text_keys
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._names:
             raise KeyError(name)
-        return self._spark.read.parquet(f"{self._root}/{name}.parquet")
+        return fold_keys(self._spark.read.parquet(f"{self._root}/{name}.parquet"), *self._keys)
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._names)
@@ -43,6 +53,16 @@ def trim_keys(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.rtrim(F.col(c)) for c in columns})
 
 
+def fold_keys(df: DataFrame, *columns: str) -> DataFrame:
+    """Those of the named columns that ``df`` has as text in their one form: upper case, no trailing blanks.
+
+    Columns of other types, all other columns and the order of columns stay; a null key stays null.
+    """
+    wanted = {c.lower() for c in columns}
+    text = [f.name for f in df.schema if f.name.lower() in wanted and isinstance(f.dataType, StringType)]
+    return df.withColumns({c: F.upper(F.rtrim(F.col(f"`{c}`"))) for c in text})
+
+
 def read_scripts(spark: SparkSession, path: str, glob: str = SCRIPT_GLOB) -> DataFrame:
     """Scripts below a folder as ``(path, text)``, one row per file; paths are relative to the folder.
 

@@ -15,7 +15,7 @@ from martkit.operators.shape import conform
 from martkit.plans import base, jobs, revenue, second_source, staged_events, tv_events
 from martkit.plans.second_source import load_second_source_events
 from martkit.sources.schemas import BASE_STAGE, COMMISSION_FACT, EVENT_FACT, EVENT_STAGE, MONTH_BASE
-from martkit.sources.tables import ParquetTables, StageArea, read_scripts, stage, stage_root, trim_keys, write_scripts
+from martkit.sources.tables import TEXT_KEYS, ParquetTables, StageArea, fold_keys, read_scripts, stage, stage_root, trim_keys, write_scripts
 
 FOLDER = "/root/testdata/sf0.001"
 D = date.fromisoformat
@@ -97,6 +97,31 @@ def test_table_source(spark, tmp_path):
         tables["u"]
 
 
+def test_keys_meet_whatever_their_case_and_padding(spark, tables, tmp_path):
+    """Every other key in small letters, one to three blanks behind: the same revenue as with clean keys."""
+    names = ["f_mob_rev", "cfg_rev_ref", "f_mob_mobilebase", "zz_cfg_rate_plan_ref", "md_dlr_hier_ref"]
+    for k, name in enumerate(names):
+        clean = tables[name]
+        seen = [c for c, kind in clean.dtypes if c in TEXT_KEYS and kind == "string"]
+        assert seen
+        form = F.pmod(F.xxhash64(*clean.columns, F.lit(k)), F.lit(4)).cast("int")
+        spoilt = {c: F.concat(F.when(form < 2, F.lower(c)).otherwise(F.col(c)), F.repeat(F.lit(" "), form)) for c in seen}
+        clean.withColumns(spoilt).write.parquet(str(tmp_path / f"{name}.parquet"))
+    month = D("1998-08-31")
+    rows = lambda t: sorted(map(str, revenue.commission_revenue(t, month).collect()))
+    expected = rows(tables)
+    assert expected and rows(ParquetTables(spark, str(tmp_path), names)) == expected
+    assert rows(ParquetTables(spark, str(tmp_path), names, text_keys=())) != expected
+
+
+def test_folded_keys_keep_all_else(spark):
+    df = spark.createDataFrame([("a1 ", 7, " b ", None), (None, 8, "c ", "x")], "svc_no string, acct_no int, note string, DLR_CD string")
+    out = fold_keys(df, *TEXT_KEYS)
+    assert out.columns == df.columns and out.schema["acct_no"].dataType.simpleString() == "int"
+    assert [tuple(r) for r in out.collect()] == [("A1", 7, " b ", None), (None, 8, "c ", "X")]
+    assert fold_keys(df.limit(0), *TEXT_KEYS).isEmpty() and fold_keys(df).columns == df.columns
+
+
 def test_stage_area_cleans_up(spark):
     root = stage_root(spark)
     before = set(os.listdir(root))
