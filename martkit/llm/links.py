@@ -21,13 +21,12 @@ MAP_WORDS = 1 << 20
 def connected(links: DataFrame) -> DataFrame:
     """``(id, label)``: the smallest id that links ``(a, b)`` lead to, for every linked id but the smallest ones.
 
-    Alternates two steps until nothing changes: each id hands its larger neighbours to the smallest one, then its
+    Alternates two steps until all classes are stars: each id hands its larger neighbours to the smallest one, then its
     smaller ones.  A number of rounds that grows with the logarithm of the longest chain is enough.  Ids with very many
     links are joined salted.
     """
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    before = None
-    while True:
+    while not _is_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = spread_join(both.filter("v > u"), least, ["u"], "inner").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -36,11 +35,15 @@ def connected(links: DataFrame) -> DataFrame:
         small = spread_join(large, least, ["u"], "inner")
         pairs = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut(pairs.unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        # Sums of hashes tell whether the set of links has changed.
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
-        before = now
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
+
+
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every id has one smaller neighbour at most, and none that is one has any: nothing would change any more."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("smaller"), F.lit(0).alias("is_one"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("smaller"), F.lit(1).alias("is_one")))
+    ends = ends.groupBy("id").agg(F.sum("smaller").alias("smaller"), F.max("is_one").alias("is_one"))
+    return ends.filter(F.col("smaller") + F.col("is_one") > 1).limit(1).count() == 0
 
 
 def _perhaps_shared(members: DataFrame, shared: DataFrame) -> DataFrame:
