@@ -26,24 +26,43 @@ def connected(links: DataFrame) -> DataFrame:
     links are joined salted.
     """
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    # No step makes more links than there were, and a link has two ends.
+    near = F.broadcast if 2 * edges.count() <= BROADCAST_ROWS else None
+
+    def with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+        return rows.join(near(least), "u") if near else spread_join(rows, least, ["u"], "inner")
+
     while not _is_stars(edges):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = _two_rows(edges, ("u", "v"), ("v", "u")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = spread_join(both.filter("v > u"), least, ["u"], "inner").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut(large.distinct())
+        large = cut(with_least(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = spread_join(large, least, ["u"], "inner")
-        pairs = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(pairs.unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        small = with_least(large, least)
+        edges = cut(_two_rows(small, ("v", "m"), ("u", "m")).toDF("u", "v").filter("u <> v").distinct())
     return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
 
 
+def _two_rows(df: DataFrame, first: tuple[str, str], second: tuple[str, str]) -> DataFrame:
+    """Two columns of a row, then two again as a row of its own; ``df`` is read once."""
+    pair = lambda names: F.struct(F.col(names[0]).alias("x"), F.col(names[1]).alias("y"))
+    return df.select(F.explode(F.array(pair(first), pair(second))).alias("two")).select("two.x", "two.y")
+
+
 def _is_stars(edges: DataFrame) -> bool:
     """Whether every id has one smaller neighbour at most, and none that is one has any: nothing would change any more."""
-    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("smaller"), F.lit(0).alias("is_one"))
-    ends = ends.unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("smaller"), F.lit(1).alias("is_one")))
-    ends = ends.groupBy("id").agg(F.sum("smaller").alias("smaller"), F.max("is_one").alias("is_one"))
-    return ends.filter(F.col("smaller") + F.col("is_one") > 1).limit(1).count() == 0
+    ends = edges.select("*", F.lit(-1).alias("larger"), F.lit(1).alias("smaller"))
+    ends = _two_rows(ends, ("u", "smaller"), ("v", "larger")).toDF("id", "side")
+    has = F.sum(F.when(F.col("side") > 0, 1).otherwise(0)) + F.max(F.when(F.col("side") < 0, 1).otherwise(0))
+    return ends.groupBy("id").agg(has.alias("has")).filter("has > 1").limit(1).count() == 0
+
+
+def _with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels of ``(id, label)`` once links ``(a, b)`` are known too: only the classes they join are searched, not their items."""
+    of = small_enough(labels, BROADCAST_ROWS)
+    ends = links.join(of.toDF("a", "la"), "a", "left").join(of.toDF("b", "lb"), "b", "left")
+    joined = connected(ends.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    renamed = small_enough(joined.toDF("label", "now"), BROADCAST_ROWS)
+    return labels.join(renamed, "label", "left").select("id", F.coalesce("now", "label").alias("label")).unionByName(joined)
 
 
 def _perhaps_shared(members: DataFrame, shared: DataFrame) -> DataFrame:
@@ -125,7 +144,7 @@ def classes_by_keys(
         release(spark)
         if links.isEmpty():
             break
-        labels = stage(connected(links.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))), "labels")
+        labels = stage(_with_links(labels, links), "labels")
 
     named = _in_classes(held, labels)
     if marks_among is None:
@@ -145,7 +164,7 @@ def classes_by_keys(
     more = stage(confirm(stage(apart.join(tried, ["a", "b"], "left_anti"), "pairs")).select("a", "b"), "more")
     if more.isEmpty():
         return labels
-    return connected(more.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))))
+    return _with_links(labels, more)
 
 
 def _in_classes(held: DataFrame, labels: DataFrame) -> DataFrame:

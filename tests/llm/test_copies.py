@@ -84,6 +84,33 @@ def test_connected(spark):
     assert links.connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_join_classes(spark):
+    """Links added to known classes give what all links give at once: chains of classes, links inside one, new items."""
+    known = [(i, i - i % 10) for i in range(1, 200) if i % 10]
+    links_of = [[(k * 10 + 3, k * 10 + 17) for k in range(0, 12)], [(4, 9), (155, 151)], [(500, 501), (501, 77), (198, 500)], []]
+    labels = spark.createDataFrame(known, "id long, label long")
+    seen = list(known)
+    for more in links_of:
+        labels = links._with_links(labels, spark.createDataFrame(more, "a long, b long"))
+        seen += more
+        found = {r.id: r.label for r in labels.collect()}
+        assert len(found) == labels.count()
+        names = {i: i for pair in seen for i in pair}
+        for _ in names:
+            for a, b in seen:
+                names[a] = names[b] = min(names[a], names[b])
+        assert found == {i: n for i, n in names.items() if i != n}
+
+
+def test_connected_shuffled(spark, monkeypatch):
+    """Beyond the size for broadcasts the same classes come out of shuffled joins."""
+    pairs = [(i, i + 7) for i in range(60)] + [(1000, k) for k in range(1001, 1050)]
+    frame = spark.createDataFrame(pairs, "a long, b long")
+    near = {tuple(r) for r in links.connected(frame).collect()}
+    monkeypatch.setattr(links, "BROADCAST_ROWS", 10)
+    assert {tuple(r) for r in links.connected(frame).collect()} == near and len(near) == 60 + 49
+
+
 def shingles(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
