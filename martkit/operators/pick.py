@@ -7,10 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martkit.operators.joins import row_salt
-
-# Parts a frequent key is cut into where its rows are compared with the best order values.
-SALTS = 16
+from martkit.operators.joins import own_exchange
 
 
 class Order(NamedTuple):
@@ -52,7 +49,7 @@ def best_rows(
     shuffle: a task receives at most the tied rows of its keys.  Where those may themselves be too many for
     one task, ``spread_ties=True`` avoids gathering them: the best order values of each key
     are found first (one row per key and task reaches the shuffle), then the rows are compared with them
-    in a join that is salted and open to the adaptive skew split.  That reads the input twice, so hand
+    in a join that is open to the adaptive skew split.  No row is copied.  That reads the input twice, so hand
     it a scan or a stored table.
     """
     if not ties:
@@ -78,16 +75,10 @@ def _best_rows_spread(df: DataFrame, keys: Sequence[str], order: Sequence[Order]
     sort = _sort([Order(F.col(v), o.newest_first) for o, v in zip(order, values)])
     best = _ranked(keyed.select(*keys, *values), keys, sort, F.row_number())
     matched = [*keys, *values]
-    salted_best = best.select(
-        *[F.col(c).alias(f"_best_{c}") for c in matched],
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_best_salt"),
-    )
-    # Copies of one row share a salt; what they pile up is left to the adaptive skew split.
-    salted = keyed.withColumn("_salt", row_salt(df.columns, SALTS))
+    found = best.select(*[F.col(c).alias(f"_best_{c}") for c in matched], own_exchange(keys).alias("_best_side"))
     same = _all_same([F.col(c) for c in matched], [F.col(f"_best_{c}") for c in matched])
-    return salted.join(salted_best, (F.col("_salt") == F.col("_best_salt")) & same, "left_semi").select(
-        *df.columns
-    )
+    sided = keyed.withColumn("_side", own_exchange(keys))
+    return sided.join(found, (F.col("_side") == F.col("_best_side")) & same, "left_semi").select(*df.columns)
 
 
 def _all_same(left: Sequence[Column], right: Sequence[Column]) -> Column:

@@ -109,3 +109,9 @@ def test_pick_plan_cuts_before_the_shuffle(facts):
     spread = best_rows(facts[1], ["k"], [latest("v")], spread_ties=True)
     text = spread._jdf.queryExecution().executedPlan().toString()
     assert "row_number" in text and "rank(" not in text.replace("row_number", "")
+
+
+def test_spread_pick_copies_no_best_row(facts):
+    """A best row copied for every part of a key made broadcasts many times as large as their estimate."""
+    spread = best_rows(facts[1], ["k"], [latest("v")], spread_ties=True)
+    assert "Generate" not in spread._jdf.queryExecution().optimizedPlan().toString()
