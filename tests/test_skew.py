@@ -10,6 +10,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registry import CHECKS
 from martkit.operators import change, joins
 from martkit.operators.pick import best_rows, earliest, latest
 
@@ -115,3 +116,23 @@ def test_spread_pick_copies_no_best_row(facts):
     """A best row copied for every part of a key made broadcasts many times as large as their estimate."""
     spread = best_rows(facts[1], ["k"], [latest("v")], spread_ties=True)
     assert "Generate" not in spread._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_crowded_orders_of_a_day_meet_the_versions_once(spark, monkeypatch):
+    """Orders of one key and day share their versions: the pairs of all of them are never written out."""
+    placed = [(o, (o or 0) % 2, START + timedelta(days=(o or 0) % 7)) for o in [*range(60), 3, None]]
+    orders = spark.createDataFrame(placed, "o_orderkey long, o_custkey long, o_orderdate date")
+    lines = [(i, 1, i % 20, START + timedelta(days=i % 11)) for i in range(80)] + [(5, 2, 5, START)]
+    lineitem = spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_suppkey long, l_shipdate date")
+    seen = []
+    real = joins.temporal_join
+    monkeypatch.setattr(joins, "temporal_join", lambda left, *a, **k: seen.append(left) or real(left, *a, **k))
+    got = CHECKS["temporal_join_crowded"].build({"orders": orders, "lineitem": lineitem})
+    want: dict = {}
+    for o, c, d in placed:
+        for i, n, s, a in lines:
+            if n == 1 and s % 5 == c % 5 and a - timedelta(days=2) <= d <= a + timedelta(days=s % 17):
+                m, last = want.get(o, (0, -1))
+                want[o] = (m + 1, max(last, i * 8 + n))
+    assert {r.work_ord_no: (r.n, r.last_line) for r in got.collect()} == want
+    assert seen[0].count() == seen[0].distinct().count() < orders.count()
