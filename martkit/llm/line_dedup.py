@@ -205,7 +205,8 @@ def _classes(lines: DataFrame, edits: int, least: int, stage: StageArea) -> Data
         return texts["of"].join(ids, "id").select("id", letter_parity(F.col("line")).alias("mark"))
 
     # An edit changes how often two letters occur, at most.
-    labels = classes_by_keys(members, confirm_among, stage, marks_among, 2 * edits)
+    close = lambda x, y: F.bit_count(x("mark").bitwiseXOR(y("mark"))) <= 2 * edits
+    labels = classes_by_keys(members, confirm_among, stage, marks_among, close)
     named = distinct.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     firsts = named.groupBy("label").agg(F.min("place").alias("first"), F.sum("n").alias("size")).filter("size > 1")
     return named.select("label", "id").join(firsts, "label").select("id", "first")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martkit.llm.common import cut, release, small_enough
 from martkit.operators.joins import spread_join
@@ -12,6 +12,8 @@ from martkit.sources.tables import StageArea
 
 # Rows of labels or keys that may be broadcast (16 bytes each, and a hash table's overhead); more are shuffled.
 BROADCAST_ROWS = 1_000_000
+# Rows of marks that may be broadcast, of up to 200 bytes each.
+BROADCAST_MARKS = 200_000
 # Rounds in which a class tries one other item; what they do not join is compared pair by pair.
 ROUNDS = 5
 # Words of 64 bits in the map of shared keys: its size does not depend on the data.
@@ -83,7 +85,7 @@ def classes_by_keys(
     confirm_among: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
     stage: StageArea,
     marks_among: Callable[[DataFrame], DataFrame] | None = None,
-    mark_bits: int = 0,
+    close: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
     once: bool = False,
 ) -> DataFrame:
     """Classes of items of which any two that are near share a key: ``(id, label)``, without the smallest id of each.
@@ -91,8 +93,8 @@ def classes_by_keys(
     ``members`` has ``(key, id, own)`` rows, repeated or not; of two near items one has a shared key as its own.  ``once`` says that
     an item has a key once, which makes the first and widest shuffle narrower.
     ``confirm_among`` is given all items that share a key, as ``(id)``, and returns what keeps the truly near ones of pairs
-    ``(a, b)`` of them.  ``marks_among`` is given the same items and returns ``(id, mark)``: a 64-bit mark in which near items
-    differ in ``mark_bits`` bits at most, so that others need not meet.
+    ``(a, b)`` of them.  ``marks_among`` is given the same items and returns ``(id, ...)`` with columns of marks; ``close`` tells from the marks
+    of two items, each given as a function from a mark's name to its column, whether they can be near, so that others need not meet.
 
     The pairs of a key are never all written out.  In a few rounds every key names one of its owners, first the one
     whose keys most items share, and every class so far tries the named owner of another class with which it shares most
@@ -147,19 +149,21 @@ def classes_by_keys(
         labels = stage(_with_links(labels, links), "labels")
 
     named = _in_classes(held, labels)
-    if marks_among is None:
-        named = named.withColumn("mark", F.lit(0).cast("long"))
-    else:
+    names: list[str] = []
+    if marks_among is not None:
+        # They travel with every key of an item that is still open.
         marks = stage(marks_among(held.select("id").distinct()), "marks")
-        named = named.join(small_enough(marks, BROADCAST_ROWS), "id")
+        names = [c for c in marks.columns if c != "id"]
+        named = named.join(small_enough(marks, BROADCAST_MARKS), "id")
     named = stage(named, "named")
     stage.drop(held)
     release(spark)
-    left = named.select("key", F.col("id").alias("x"), F.col("label").alias("lx"), F.col("own").alias("ox"), F.col("mark").alias("mx"))
-    right = named.filter("own").select("key", F.col("id").alias("y"), F.col("label").alias("ly"), F.col("mark").alias("my"))
-    close = F.bit_count(F.col("mx").bitwiseXOR(F.col("my"))) <= mark_bits
+    left = named.select("key", F.col("id").alias("x"), F.col("label").alias("lx"), F.col("own").alias("ox"), *[F.col(m).alias(f"{m}_x") for m in names])
+    right = named.filter("own").select("key", F.col("id").alias("y"), F.col("label").alias("ly"), *[F.col(m).alias(f"{m}_y") for m in names])
     # Two owners would meet twice.
-    meets = close & (F.col("lx") != F.col("ly")) & (F.col("x") != F.col("y")) & (~F.col("ox") | (F.col("x") < F.col("y")))
+    meets = (F.col("lx") != F.col("ly")) & (F.col("x") != F.col("y")) & (~F.col("ox") | (F.col("x") < F.col("y")))
+    if close is not None:
+        meets = meets & close(lambda m: F.col(f"{m}_x"), lambda m: F.col(f"{m}_y"))
     apart = left.join(right, "key").filter(meets).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     more = stage(confirm(stage(apart.join(tried, ["a", "b"], "left_anti"), "pairs")).select("a", "b"), "more")
     if more.isEmpty():

@@ -9,6 +9,7 @@ pairs, and the rest are verified on the shingles themselves.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -111,6 +112,23 @@ def _bits_apart(a: Column, b: Column) -> Column:
     return F.aggregate(apart, F.lit(0), lambda n, x: n + x)
 
 
+def _folded(sketch: Column) -> list[Column]:
+    """A sketch as SKETCH_WORDS columns: the wider ones are folded, which never makes two sketches differ in more bits."""
+    word = lambda i: F.aggregate(
+        F.sequence(F.lit(0), (F.size(sketch) / SKETCH_WORDS).cast("int") - 1),
+        F.lit(0).cast("long"),
+        lambda x, k: x.bitwiseXOR(F.element_at(sketch, k * SKETCH_WORDS + i + 1)),
+    )
+    return [word(i).alias(f"w{i}") for i in range(SKETCH_WORDS)]
+
+
+def _can_link(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+    """Whether sizes and folded sketches are such as similar sets can have."""
+    sizes = 4 * F.least(x("n"), y("n")) >= 3 * F.greatest(x("n"), y("n"))
+    apart = reduce(Column.__add__, [F.bit_count(x(f"w{i}").bitwiseXOR(y(f"w{i}"))) for i in range(SKETCH_WORDS)])
+    return sizes & (7 * apart <= x("n") + y("n"))
+
+
 def _describe(sets: list[np.ndarray]) -> list[tuple]:
     """Size, two hashes of the whole set, and the small sketch."""
     out = []
@@ -259,7 +277,10 @@ def _classes(frame: DataFrame, stage: StageArea) -> DataFrame:
         least, of = SIMILAR
         return joined.filter(of * F.col("both") >= least * (F.col("sum") - F.col("both"))).select("a", "b")
 
-    labels = classes_by_keys(members, lambda _: confirm, stage, once=True)
+    def marks_among(ids: DataFrame) -> DataFrame:
+        return known.join(ids, "id").select("id", "n", *_folded(F.col("sketch")))
+
+    labels = classes_by_keys(members, lambda _: confirm, stage, marks_among, _can_link, once=True)
     often.unpersist()
     named = groups.join(labels.withColumnRenamed("id", "first"), "first", "left")
     named = stage(named.select(*same, F.coalesce("label", "first").alias("label")), "named")

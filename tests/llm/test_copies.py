@@ -260,3 +260,24 @@ def test_a_second_run_takes_old_files_and_no_changed_ones(spark, tmp_path):
     shutil.copy(changed.with_name(f".{changed.name}.crc"), added.with_name(f".{added.name}.crc"))
     with pytest.raises(ValueError, match="overwritten"):
         exact_dedup.find_copies(spark, path, state=state)
+
+
+def test_documents_of_one_origin_that_are_not_similar_do_not_meet(spark, monkeypatch):
+    """Every two share parts of their sketches, but differ in too many bits: the last step gives no pair of them on."""
+    shared = [f"w{i}" for i in range(120)]
+    rows = [(k, " ".join([*shared, *(f"own{k}x{i}" for i in range(70))])) for k in range(1, 41)]
+    rows += [(41, rows[0][1] + " more"), (42, rows[1][1])]
+    met = []
+    real = ngram_join.classes_by_keys
+
+    def watched(members, confirm_among, *args, **kwargs):
+        def among(ids):
+            confirm = confirm_among(ids)
+            return lambda pairs: met.append(pairs.count()) or confirm(pairs)
+
+        return real(members, among, *args, **kwargs)
+
+    monkeypatch.setattr(ngram_join, "classes_by_keys", watched)
+    got = ngram_join.similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {k: {41: 1, 42: 2}.get(k, k) for k in range(1, 43)}
+    assert met[-1] <= 5
