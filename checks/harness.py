@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks.views import BASE_TABLES, VIEWS, needed
+from checks.views import BASE_TABLES, GATHERED, NARROW, VIEWS, needed
 from martkit.sources.tables import stage
 
 
@@ -19,8 +19,9 @@ _STORED: dict[tuple[str, str, str], DataFrame] = {}
 class CheckTables(Mapping[str, DataFrame]):
     """Base tables and derived views of one test folder, by name.
 
-    With ``stored=True`` a derived view is written once per application and read back: the business jobs
-    expect source tables they can scan with pushed filters, not a derivation inside every plan.
+    With ``stored=True`` a derived view that groups, joins or orders whole tables is written once per application and read
+    back, so that no plan repeats its shuffle.  A view made row by row is derived where it is read, from the columns and rows
+    that a plan asks for: writing and reading the whole of it takes longer.
     """
 
     def __init__(self, spark: SparkSession, folder: str, stored: bool = False):
@@ -30,7 +31,7 @@ class CheckTables(Mapping[str, DataFrame]):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
             if name in VIEWS:
-                self._open[name] = self._store(name) if self._stored else self.sql(VIEWS[name])
+                self._open[name] = self._store(name) if self._stored and name in GATHERED else self._derived(name)
             elif name in BASE_TABLES:
                 self._open[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
             else:
@@ -40,9 +41,12 @@ class CheckTables(Mapping[str, DataFrame]):
     def _store(self, name: str) -> DataFrame:
         key = (self._spark.sparkContext.applicationId, self._folder, name)
         if key not in _STORED:
-            _STORED[key] = stage(self.sql(VIEWS[name]), name)
+            _STORED[key] = stage(self._derived(name), name)
         return _STORED[key]
 
+    def _derived(self, name: str) -> DataFrame:
+        return self.sql(NARROW.get(name, VIEWS[name]))
+
     def _run(self, sql: str, inputs: Mapping[str, DataFrame]) -> DataFrame:
         for name, frame in inputs.items():
             frame.createOrReplaceTempView(name)

@@ -332,6 +332,26 @@ FROM (SELECT o_custkey AS acct_id, CAST(o_orderdate AS DATE) AS open_dt, MIN(o_o
 ANSWERS: dict[str, str] = {}
 
 
+# Views that group, join or order whole tables; the others are made row by row, where they are read.
+GATHERED = (
+    "cust_hist", "oo_btxnpa", "ar_a100", "ar_a200", "ar_p200", "cfg_rev_ref", "f_mob_mobilebase", "acct_hist",
+)
+
+# The same rows for Spark with fewer columns in the shuffle: what depends on a distinct key is made of it afterwards.
+NARROW: dict[str, str] = {}
+
+NARROW["oo_btxnpa"] = """
+SELECT CAST(l_orderkey AS STRING) AS work_ord_no, 'P' || CAST(l_orderkey AS STRING) AS int_pack_inst,
+       1 + l_orderkey % 9 AS package_id
+FROM (SELECT DISTINCT l_orderkey FROM lineitem) k"""
+
+NARROW["f_mob_mobilebase"] = """
+SELECT per_end_dt, 'S' || CAST(l_partkey AS STRING) AS service_no,
+       'D' || CAST(l_partkey % 40 AS STRING) AS dlr_cd, CAST(l_partkey AS STRING) AS acct_no, '1' AS accs_meth_id,
+       CAST(l_partkey % 120 AS STRING) AS rate_plan_cd, 'Bill ' || CAST(l_partkey AS STRING) AS bill_to_nm, 'SMB' AS cfu
+FROM (SELECT DISTINCT last_day(CAST(l_shipdate AS DATE)) AS per_end_dt, l_partkey FROM lineitem) k"""
+
+
 def needed(sql: str) -> dict[str, str]:
     """Views and answers a statement uses, directly or through others, in defining order."""
     known = VIEWS | ANSWERS
