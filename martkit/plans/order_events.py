@@ -91,7 +91,7 @@ def _named_components(components: DataFrame) -> DataFrame:
     )
 
 
-def _kinds(kinds: str | Sequence[str]) -> tuple[str, ...]:
+def asked_kinds(kinds: str | Sequence[str]) -> tuple[str, ...]:
     """One kind of event or both, in one order."""
     asked = (kinds,) if isinstance(kinds, str) else tuple(kinds)
     return tuple(k for k in KINDS if k in asked)
@@ -125,7 +125,7 @@ def addon_orders(t: Tables, window: Span, kinds: str | Sequence[str], keep: Keep
     over orders times overlapping history rows, not times components as well.  Churns also keep the earliest end date per
     (order, component), again within one order.
     """
-    kinds = _kinds(kinds)
+    kinds = asked_kinds(kinds)
     orders = keep(completed_orders(t, window, kinds), "orders")
     of_service, of_order = key_map(orders, ["svc_inst_id"]), key_map(orders, ["work_ord_no"])
     at, add = "work_ord_completion_dt", F.col("kind") == "add"

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,8 +13,8 @@ from martkit.functions.text import STAGING_STATUS, decode_case, mid_token, varch
 from martkit.operators.change import update_from
 from martkit.operators.joins import semi_join, spread_join, temporal_join
 from martkit.operators.pick import best_rows, latest
-from martkit.operators.shape import conform, union_events
-from martkit.plans.order_events import COMPLETED, END_ACTIONS, START_ACTIONS, Keep
+from martkit.operators.shape import conform
+from martkit.plans.order_events import COMPLETED, END_ACTIONS, KINDS, START_ACTIONS, Keep, asked_kinds, by_kind
 from martkit.sources.schemas import EVENT_FACT
 from martkit.sources.tables import stage
 
@@ -132,9 +133,13 @@ def load_blackberry(t: Tables, window: Span, as_of: date) -> DataFrame:
     return _fact(dated, as_of, BLACKBERRY_SOURCE)
 
 
-def account_addons(t: Tables, window: Span, kind: str) -> DataFrame:
-    """Completed account-level orders of one plan family, added or cancelled."""
-    add = kind == "add"
+def account_addons(t: Tables, window: Span, kinds: str | Sequence[str]) -> DataFrame:
+    """Completed account-level orders of one plan family, added or cancelled; ``kind`` tells which.
+
+    Both kinds read the tables once.  Components meet their packages first, so that the join with the orders is the last one that
+    shuffles and copies collapse where it left them.
+    """
+    kinds = asked_kinds(kinds)
     family = t["cfg_rate_plan_ref"]
     for column, value in ACCOUNT_PLAN_FAMILY.items():
         family = family.filter(same_text(F.col(column), value))
@@ -155,12 +160,13 @@ def account_addons(t: Tables, window: Span, kind: str) -> DataFrame:
             "work_ord_completion_dt", "work_ord_completion_tm", "work_ord_type",
         )
     )
+    action = F.col("bill_product_action")
+    started = action.isin(*START_ACTIONS) & F.col("active_dt").isNotNull()
+    ended = action.isin(*END_ACTIONS) & F.col("inactive_dt").isNotNull()
+    wanted = {"add": started, "churn": ended}
     components = (
         t["oo_btxncm"]
-        .filter(
-            F.col("bill_product_action").isin(*(START_ACTIONS if add else END_ACTIONS))
-            & F.col("active_dt" if add else "inactive_dt").isNotNull()
-        )
+        .filter(reduce(Column.__or__, [wanted[k] for k in kinds]))
         .select(
             "int_pack_inst", F.col("component_id").cast("string").alias("component_id"),
             "active_dt", "inactive_dt", "bill_product_action",
@@ -168,17 +174,13 @@ def account_addons(t: Tables, window: Span, kind: str) -> DataFrame:
         .join(family, "component_id")
     )
     packages = t["oo_btxnpa"].select("work_ord_no", "int_pack_inst", "package_id")
-    return (
-        orders.join(packages, "work_ord_no")
-        .join(components, "int_pack_inst")
-        .join(names, "component_id", "left")
-        .drop("int_pack_inst")
-        .distinct()
-    )
+    found = packages.join(components, "int_pack_inst").drop("int_pack_inst")
+    found = found.withColumn("kind", F.when(action.isin(*START_ACTIONS), "add").otherwise("churn"))
+    return orders.join(found, "work_ord_no").join(names, "component_id", "left").distinct()
 
 
-def account_addon_fact(t: Tables, addons: DataFrame, as_of: date, status: str) -> DataFrame:
-    """Account add-ons with the voice plan valid on the active date; the plan ending last wins.
+def account_addon_fact(t: Tables, addons: DataFrame, as_of: date) -> DataFrame:
+    """Account add-ons with the voice plan valid on the active date; the plan ending last wins, for each kind by itself.
 
     The plan depends on (account, active date) only, so each distinct pair looks it up once.
     """
@@ -196,7 +198,7 @@ def account_addon_fact(t: Tables, addons: DataFrame, as_of: date, status: str) -
     )
     found = best_rows(found, ["acct_no", "active_dt"], [latest("plan_inactive_dt")]).drop("plan_active_dt")
     joined = spread_join(addons.drop("plan_type"), found, ["acct_no", "active_dt"], "left")
-    picked = best_rows(joined, ["acct_no", "component_id", "work_ord_no"], [latest("plan_inactive_dt")])
+    picked = best_rows(joined, ["acct_no", "component_id", "work_ord_no", "kind"], [latest("plan_inactive_dt")])
     named = picked.withColumn("component_id", varchar(F.col("component_id"), 15)).withColumnsRenamed(
         {
             "component_id": "bolton_rate_plan_cd",
@@ -205,7 +207,7 @@ def account_addon_fact(t: Tables, addons: DataFrame, as_of: date, status: str) -
         }
     )
     return conform(
-        named, EVENT_FACT, status_cd=status, cfu="SMB", load_date=as_of, src_tbl=ACCOUNT_SOURCE,
+        named, EVENT_FACT, status_cd=by_kind(F.lit("Gross Adds"), F.lit("Churns")), cfu="SMB", load_date=as_of, src_tbl=ACCOUNT_SOURCE,
         src_cd="ID", bcc_migrated_ind="N",
     )
 
@@ -246,9 +248,6 @@ def apply_services_per_account(events: DataFrame, counts: DataFrame, window: Spa
 
 
 def account_addon_events(t: Tables, window: Span, as_of: date, keep: Keep = stage) -> DataFrame:
-    """Adds and cancels of account-level add-ons.  Stored once each: the plan lookup reads them twice."""
-    parts = []
-    for kind, status in (("add", "Gross Adds"), ("churn", "Churns")):
-        addons = keep(account_addons(t, window, kind), f"account_{kind}")
-        parts.append(account_addon_fact(t, addons, as_of, status))
-    return union_events(*parts)
+    """Adds and cancels of account-level add-ons.  Stored once: the plan lookup reads them three times."""
+    addons = keep(account_addons(t, window, KINDS), "account_addons")
+    return account_addon_fact(t, addons, as_of)
