@@ -6,7 +6,7 @@ import atexit
 import gc
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +66,26 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+# What a worker process keeps from task to task for the operator that ran last in it.
+_kept: dict[object, object] = {}
+
+
+def kept[T](key: object, make: Callable[[], T]) -> T:
+    """One value per worker process, made on first use; that of another operator goes."""
+    if key not in _kept:
+        forget()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget() -> None:
+    """Free what operators before this one keep in the worker process: a worker is used again for other stages."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def small_enough(df: DataFrame, rows: int) -> DataFrame:
     """The table marked for broadcast if it has at most ``rows`` rows, which is counted; else as it is, to be shuffled."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -19,7 +19,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from martkit.llm.common import columns_of
+from martkit.llm.common import columns_of, kept
 
 SPACE = "▁"
 # Distinct words whose ids or texts a worker remembers before it starts afresh.
@@ -246,15 +246,9 @@ class PieceCodec:
         return self.surfaces([",".join(map(str, ids))]) if ids else ""
 
 
-_codecs: dict[PieceModel, PieceCodec] = {}
-
-
 def codec_of(model: PieceModel) -> PieceCodec:
-    """One codec per worker process and model."""
-    if model not in _codecs:
-        _codecs.clear()
-        _codecs[model] = PieceCodec(model)
-    return _codecs[model]
+    """One codec per worker process and model, until another operator runs there."""
+    return kept(model, lambda: PieceCodec(model))
 
 
 def _on_batches(shared, schema: pa.Schema, row: Callable) -> Callable:

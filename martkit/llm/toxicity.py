@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from martkit.llm.common import Words, byte_texts, columns_of, cut, steps
+from martkit.llm.common import byte_texts, columns_of, cut, forget, steps
 from martkit.llm.quality import labelled_sample
 
 # Rows that train the model, at most: labelled ones, from which the lexicon is learned too, and others.
@@ -25,6 +25,8 @@ TRAINING_ROWS, UNLABELLED_ROWS = 20_000, 10_000
 ENTRIES = 48
 # Bytes of word beginnings that may become entries.
 BEGINNINGS = range(4, 11)
+# Words that a task counts before it passes them on, and words whose beginnings it makes at a time.
+COUNTED_WORDS, STEM_WORDS = 300_000, 10_000
 # Toxic texts that an entry must be in, and how much likelier it must be in them.
 LEAST_TEXTS, LEAST_RATIO = 3, 3.0
 # How far a given label is trusted beside the votes.
@@ -54,12 +56,12 @@ def count_stems(sample: DataFrame) -> DataFrame:
     """``(stem, whole, y, n)``: occurrences of words and word beginnings in the texts of each label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for part in steps(batches):
             for y, text in zip(part.column(2).to_pylist(), byte_texts(part.column(1)), strict=True):
-                words = Words([text.lower()], _IS_WORD)
-                counts[y].update(words.word(0, len(words.hash)))
-            if sum(map(len, counts.values())) > 300_000:
+                counts[y].update(text.lower().translate(_APART).split())
+            if sum(map(len, counts.values())) > COUNTED_WORDS:
                 yield from _stem_rows(counts)
                 counts = {0: Counter(), 1: Counter()}
         yield from _stem_rows(counts)
@@ -69,17 +71,17 @@ def count_stems(sample: DataFrame) -> DataFrame:
 
 
 def _stem_rows(counts: dict[int, Counter]) -> Iterator[pa.RecordBatch]:
+    """Counts of stems, a few words in order at a time, so that words of one beginning mostly come together."""
     for y, words in counts.items():
-        stems: Counter = Counter()
-        for word, n in words.items():
-            for stem in _stems(word):
-                stems[stem] += n
-        listed = list(stems.items())
-        for start in range(0, len(listed), 50_000):
-            some = listed[start : start + 50_000]
-            (names, whole), n = zip(*[s for s, _ in some], strict=True), [k for _, k in some]
+        ordered = sorted(words)
+        for start in range(0, len(ordered), STEM_WORDS):
+            stems: Counter = Counter()
+            for word in ordered[start : start + STEM_WORDS]:
+                for stem in _stems(word):
+                    stems[stem] += words[word]
+            names, whole = zip(*stems, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), pa.array(whole), pa.array([y] * len(some), pa.int32()), pa.array(n, pa.int64())],
+                [pa.array(names, pa.binary()), pa.array(whole), pa.array([y] * len(stems), pa.int32()), pa.array(stems.values(), pa.int64())],
                 names=["stem", "whole", "y", "n"],
             )
 
@@ -351,6 +353,7 @@ def _counted(texts: DataFrame, entries: list[tuple[bytes, bool]]) -> tuple[np.nd
     """Labels (-1 for none), words, entries and patterns of the texts of a bounded sample, in the order of their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         matcher = Matcher(entries)
         for part in steps(batches):
             n, found, fits = matcher.counts(byte_texts(part.column(1)))
@@ -415,6 +418,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", t
     shared = frame.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorer = shared.value.scorer()
         for part in steps(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scorer.scores(byte_texts(part.column(1))))], names=["doc_id", "score"])
@@ -428,6 +432,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text", thresh
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorer = shared.value.scorer()
         for part in steps(batches, at):
             yield part.filter(pa.array(scorer.scores(byte_texts(part.column(at))) < threshold))

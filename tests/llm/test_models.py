@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import tracemalloc
+import weakref
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from martkit.llm import language_id, quality, toxicity
+from martkit.llm import common, language_id, quality, sentencepiece_bpe, toxicity
 from martkit.llm.common import in_fold
+from martkit.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.01"
 
@@ -140,3 +145,35 @@ def test_evidence_against_plain_counting():
     assert (told[found == 0] == 0).all() and told[0, 0] > toxicity.VOTING
     total = told.sum(axis=1) + np.where(found > 0, 0, evidence.lacks).sum(axis=1)
     assert np.allclose(evidence.features(n, found, fits)[:, len(entries)], np.clip(total, -12, 12) / 4)
+
+
+def test_counting_stems_takes_little_memory_however_many_words_there_are():
+    counts = {y: Counter({b"%05dword%06d" % (i % 99_991, i): 1 + i % 3 for i in range(y, 100_000, 2)}) for y in (0, 1)}
+    plain: Counter = Counter()
+    for y, words in counts.items():
+        for word, n in words.items():
+            for stem, whole in toxicity._stems(word):
+                plain[stem, whole, y] += n
+    found: Counter = Counter()
+    for batch in toxicity._stem_rows(counts):
+        for stem, whole, y, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            found[stem, whole, y] += n
+    assert found == plain
+    tracemalloc.start()
+    try:
+        for batch in toxicity._stem_rows(counts):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 20e6
+
+
+def test_a_worker_keeps_one_operators_memory_at_a_time():
+    model = sentencepiece_bpe.read_model(tokenizer_path("piece_bpe_32k.model"))
+    codec = sentencepiece_bpe.codec_of(model)
+    assert sentencepiece_bpe.codec_of(model) is codec
+    gone = weakref.ref(codec)
+    del codec
+    common.forget()
+    assert gone() is None
