@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 MOST_KEYS, COUNTERS, FREQUENT_ROWS = 200, 4_000, 256
 # Words of 64 bits in the map of touched keys: what is broadcast has so many rows at most, however many keys there are.
 MAP_WORDS = 1 << 20
+# Rows up to which a list of codes goes to the rows of a table, instead of the table being shuffled to meet it.
+LISTED_ROWS = 400_000
 
 
 def key_hash(columns: Sequence[str]) -> Column:
@@ -63,6 +65,16 @@ def perhaps_touched(rows: DataFrame, marks: DataFrame, on: Sequence[str]) -> Dat
     return rows.join(F.broadcast(wanted), held, "left_semi")
 
 
+def is_short(codes: DataFrame) -> bool:
+    """Whether a list of codes has at most ``LISTED_ROWS`` rows, which is counted: what is broadcast is bounded."""
+    return codes.limit(LISTED_ROWS + 1).count() <= LISTED_ROWS
+
+
+def listed(codes: DataFrame) -> DataFrame:
+    """A short list of codes marked for broadcast; a longer one as it is."""
+    return F.broadcast(codes) if is_short(codes) else codes
+
+
 def touched_by(rows: DataFrame, keys: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``perhaps_touched`` for keys under other names: pairs of a column of ``rows`` and one of ``keys``."""
     renamed = keys.select(*[F.col(k).cast(rows.schema[r].dataType).alias(r) for r, k in pairs])

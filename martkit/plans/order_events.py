@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from martkit.functions.dates import HIGH_DATE, or_high
 from martkit.functions.predicates import current_rows, in_interval, valid_at
 from martkit.functions.text import PRODUCT_ACTIONS, decode_case, varchar
-from martkit.operators.hot import key_map, perhaps_touched, touched_by
+from martkit.operators.hot import key_map, listed, perhaps_touched, touched_by
 from martkit.operators.joins import alive_in, decode, segment_of, semi_join, spread_join, temporal_join
 from martkit.operators.pick import best_rows, earliest, latest
 from martkit.operators.shape import conform, union_events
@@ -190,7 +190,7 @@ def _plan_components(t: Tables, of_order: DataFrame, kinds: Sequence[str]) -> Da
         F.col("rate_plan_cd").cast("string").alias("component_id"), "rate_plan_ds"
     )
     packages = perhaps_touched(t["oo_btxnpa"].select("work_ord_no", "int_pack_inst"), of_order, ["work_ord_no"])
-    found = packages.join(components.join(plans, "component_id"), "int_pack_inst").drop("int_pack_inst")
+    found = packages.join(components.join(listed(plans), "component_id"), "int_pack_inst").drop("int_pack_inst")
     found = found.withColumn("kind", F.when(action.isin(*START_ACTIONS), "add").otherwise("churn"))
     if "churn" in kinds:
         # All rows of an add tie and stay.
@@ -290,7 +290,7 @@ def lookup_basic_plan(t: Tables, subscribers: DataFrame, window: Span) -> DataFr
         & (F.col("product_stop").isNull() | (F.col("product_stop") >= F.lit(window[0])))
     ).select(
         "subscr_no",
-        F.col("component_id").cast("string").alias("basic_rate_plan_cd"),
+        "component_id",
         "package_id",
         "product_start",
         "product_stop",
@@ -299,18 +299,22 @@ def lookup_basic_plan(t: Tables, subscribers: DataFrame, window: Span) -> DataFr
         or_high(F.col("product_stop").cast("date")).alias("stop_day"),
     )
     held = touched_by(held, subscribers, [("subscr_no", "subscr_no")])
-    held = held.join(basic_packages(t).select("package_id"), "package_id").join(basic_components(t), "basic_rate_plan_cd")
+    # Codes cut the rows where they are read; names come after the pick, which does not depend on them.
+    held = held.join(listed(basic_packages(t).select("package_id").distinct()), "package_id", "left_semi").drop("package_id")
+    names, code = basic_components(t).distinct(), F.col("component_id").cast("string")
+    codes = names.select(F.col("basic_rate_plan_cd").alias("_code")).distinct()
+    held = held.join(listed(codes), code == F.col("_code"), "left_semi")
     found = temporal_join(
         subscribers, held, ["subscr_no"], at, "start_day", "stop_day",
         extra=(F.col("kind") != "add") | (F.col("plan_close") == F.lit(HIGH_DATE)),
     )
     # Open records share their last day, so it changes nothing for adds.
     order = [latest("product_start"), latest("product_stop", HIGH_DATE), latest("plan_close")]
-    columns = [
-        "svc_no", "work_ord_no", "subscr_no", "basic_rate_plan_cd", "component_id_dv", "short_display", at, "kind",
-    ]
-    found = found.select(*columns, "product_start", "product_stop", "plan_close").distinct()
-    return best_rows(found, ["svc_no", at, "work_ord_no", "kind"], order).select(*columns).distinct()
+    columns = ["svc_no", "work_ord_no", "subscr_no", "component_id", at, "kind"]
+    # The pick cuts every group where its subscriber is joined, before the one shuffle; copies collapse after it.
+    found = found.select(*columns, "product_start", "product_stop", "plan_close")
+    picked = best_rows(found, ["svc_no", at, "work_ord_no", "kind"], order).select(*columns).distinct()
+    return picked.withColumn("basic_rate_plan_cd", code).join(listed(names), "basic_rate_plan_cd").drop("component_id")
 
 
 def consolidate(events: DataFrame, basic: DataFrame) -> DataFrame:
