@@ -10,6 +10,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martkit.functions.predicates import holds
+from martkit.operators.hot import is_short
 from martkit.operators.joins import cross_source_match, spread_join
 
 
@@ -112,12 +113,14 @@ def update_from(
     on: Sequence[tuple[str, str]],
     set_columns: Mapping[str, str],
     when: Column | None = None,
+    codes: bool = False,
 ) -> DataFrame:
     """Set target columns from the source row with the same key; other rows stay as they are.
 
     ``on`` pairs target and source columns; a NULL key matches nothing.  ``set_columns`` maps target to
     source columns.  ``when`` limits the update to some target rows.  A matched NULL overwrites.  Two
-    source rows for one updated target row raise when the job runs.
+    source rows for one updated target row raise when the job runs.  ``codes=True`` says that the source is a list of codes,
+    cheap to read: a short one is broadcast, so that the target stays where it is.
     """
     keys = [f"_k{i}" for i in range(len(on))]
     values = [f"_v{i}" for i in range(len(set_columns))]
@@ -130,7 +133,10 @@ def update_from(
         F.count(F.lit(1)).alias("_hits"), *[F.first(v).alias(v) for v in values]
     )
     keyed = target.select("*", *[F.col(t).alias(k) for (t, _), k in zip(on, keys)])
-    joined = spread_join(keyed, lookup, keys, "left")
+    if codes and is_short(renamed):
+        joined = keyed.join(F.broadcast(lookup), keys, "left")
+    else:
+        joined = spread_join(keyed, lookup, keys, "left")
     matched = F.col("_hits").isNotNull()
     if when is not None:
         matched = matched & holds(when)

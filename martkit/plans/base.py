@@ -11,7 +11,7 @@ from martkit.functions.dates import HIGH_DATE, LOW_DATE, or_high, same_month
 from martkit.functions.predicates import current_rows, folded, in_interval, open_on, text_in, valid_at
 from martkit.functions.text import varchar
 from martkit.operators.change import drop_null_keys, replace_slice, update_from
-from martkit.operators.hot import touched_by
+from martkit.operators.hot import listed, touched_by
 from martkit.operators.joins import semi_join, spread_join
 from martkit.operators.pick import best_rows, earliest, latest
 from martkit.operators.profile import count_by_class
@@ -68,7 +68,7 @@ def _held_at(t: Tables, per_end_dt: date) -> DataFrame:
 
 def active_addons(t: Tables, per_end_dt: date, plans: DataFrame) -> DataFrame:
     """Add-on components held at month end, best per (subscriber, component)."""
-    codes = plans.select(F.col("rate_plan_cd").alias("_code"))
+    codes = listed(plans.select(F.col("rate_plan_cd").alias("_code")).distinct())
     held = _held_at(t, per_end_dt)
     held = held.join(codes, varchar(F.col("component_id"), 6) == F.col("_code"), "left_semi")
     order = [latest("cce_active_dt"), latest("cce_inactive_dt", HIGH_DATE)]
@@ -79,8 +79,10 @@ def active_addons(t: Tables, per_end_dt: date, plans: DataFrame) -> DataFrame:
 
 def active_basic_plan(t: Tables, per_end_dt: date, addons: DataFrame, basics: DataFrame) -> DataFrame:
     """One basic plan per subscriber that holds an add-on."""
-    held = semi_join(_held_at(t, per_end_dt), addons, "subscr_no", "subscr_no", early=True)
-    held = semi_join(held, basics, "component_id", "component_id").distinct()
+    # The codes go to the rows before anything is shuffled.  Copies need not collapse: the pick takes one row of each group.
+    codes = listed(basics.select("component_id").distinct())
+    held = _held_at(t, per_end_dt).join(codes, "component_id", "left_semi")
+    held = semi_join(held, addons, "subscr_no", "subscr_no", early=True)
     order = [
         latest("cce_active_dt"), latest("cce_inactive_dt", HIGH_DATE),
         latest("product_start"), latest("product_stop", HIGH_DATE),
@@ -122,7 +124,7 @@ def active_service(t: Tables, per_end_dt: date, addons: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("product"),
     )
     names = current_rows(t["ar_emf_config_id_values"])
-    return update_from(picked, names, [("emf_config_id", "emf_config_id")], {"product": "display_value"})
+    return update_from(picked, names, [("emf_config_id", "emf_config_id")], {"product": "display_value"}, codes=True)
 
 
 def month_end_account(t: Tables, per_end_dt: date, addons: DataFrame) -> DataFrame:
@@ -171,13 +173,13 @@ def assemble_base(
     base = conform(picked, MONTH_BASE, per_end_dt=per_end_dt, src_cd="ID", bcc_migrated_ind="N")
     # A plan with two names is an error of the reference tables, and fails the job.
     base = update_from(
-        base, plans.distinct(), [("bolton_rate_plan_cd", "rate_plan_cd")], {"bolton_rate_plan_ds": "rate_plan_ds"}
+        base, plans.distinct(), [("bolton_rate_plan_cd", "rate_plan_cd")], {"bolton_rate_plan_ds": "rate_plan_ds"}, codes=True
     )
     named_basics = basics.select(
         F.col("component_id").cast("string").alias("component_id"), "basic_plan_ds"
     ).distinct()
     return update_from(
-        base, named_basics, [("basic_rate_plan_cd", "component_id")], {"basic_plan_ds": "basic_plan_ds"}
+        base, named_basics, [("basic_rate_plan_cd", "component_id")], {"basic_plan_ds": "basic_plan_ds"}, codes=True
     )
 
 
@@ -294,7 +296,7 @@ def base_segment(t: Tables, base: DataFrame) -> DataFrame:
         folded(F.col("sales_class_ref_cd").cast("string")).alias("class_cd"), "cfu"
     )
     keyed = base.withColumn("_vip", folded(F.col("vip_code").cast("string")))
-    return update_from(keyed, classes, [("_vip", "class_cd")], {"cfu": "cfu"}).drop("_vip")
+    return update_from(keyed, classes, [("_vip", "class_cd")], {"cfu": "cfu"}, codes=True).drop("_vip")
 
 
 def load_base(fact: DataFrame, base: DataFrame, per_end_dt: date) -> DataFrame:
