@@ -79,7 +79,7 @@ def active_addons(t: Tables, per_end_dt: date, plans: DataFrame) -> DataFrame:
 
 def active_basic_plan(t: Tables, per_end_dt: date, addons: DataFrame, basics: DataFrame) -> DataFrame:
     """One basic plan per subscriber that holds an add-on."""
-    # The codes go to the rows before anything is shuffled.  Copies need not collapse: the pick takes one row of each group.
+    # The codes go to the rows before anything is shuffled; copies collapse where the pick has gathered them, without a shuffle.
     codes = listed(basics.select("component_id").distinct())
     held = _held_at(t, per_end_dt).join(codes, "component_id", "left_semi")
     held = semi_join(held, addons, "subscr_no", "subscr_no", early=True)
@@ -88,7 +88,7 @@ def active_basic_plan(t: Tables, per_end_dt: date, addons: DataFrame, basics: Da
         latest("product_start"), latest("product_stop", HIGH_DATE),
         latest("open_dt"), latest("close_dt"), latest("component_id"),
     ]
-    return best_rows(held, ["subscr_no"], order)
+    return best_rows(held, ["subscr_no"], order).distinct()
 
 
 def active_service(t: Tables, per_end_dt: date, addons: DataFrame) -> DataFrame:

@@ -81,3 +81,14 @@ def test_basic_plans_are_told_once_however_often_rows_and_names_repeat(spark):
     found = oe.lookup_basic_plan(t, asked, (date(1998, 1, 1), date(1998, 12, 31)))
     rows = sorted((r.basic_rate_plan_cd, r.component_id_dv) for r in found.collect())
     assert rows == [("7", "seven"), ("8", "VIII"), ("8", "eight")]
+
+
+def test_copies_of_a_held_component_are_one_basic_plan(spark):
+    held = """SELECT 1 AS subscr_no, 2 AS account_no, c AS component_id, 3 AS package_id, TIMESTAMP '1998-01-01' AS product_start,
+              CAST(NULL AS TIMESTAMP) AS product_stop, TIMESTAMP '1998-01-01' AS cce_active_dt,
+              CAST(NULL AS TIMESTAMP) AS cce_inactive_dt, DATE '1998-01-01' AS open_dt, DATE '2899-12-31' AS close_dt
+              FROM VALUES (7), (8), (8), (9) v(c)"""
+    addons = spark.createDataFrame([(1,)], "subscr_no int")
+    basics = spark.createDataFrame([(7, "seven", 3), (8, "eight", 3), (8, "VIII", 4)], "component_id int, basic_plan_ds string, package_group int")
+    found = base.active_basic_plan({"ar_p200": spark.sql(held)}, DAY, addons, basics).collect()
+    assert [(r.subscr_no, r.component_id) for r in found] == [(1, 8)]
