@@ -14,6 +14,8 @@ from martkit.sources.tables import StageArea
 BROADCAST_ROWS = 1_000_000
 # Rows of marks that may be broadcast, of up to 200 bytes each.
 BROADCAST_MARKS = 200_000
+# Pairs of ids that may be broadcast, so that what they are joined to is not shuffled.
+BROADCAST_PAIRS = 200_000
 # Rounds in which a class tries one other item; what they do not join is compared pair by pair.
 ROUNDS = 5
 # Words of 64 bits in the map of shared keys: its size does not depend on the data.
@@ -25,23 +27,35 @@ def connected(links: DataFrame) -> DataFrame:
 
     Alternates two steps until all classes are stars: each id hands its larger neighbours to the smallest one, then its
     smaller ones.  A number of rounds that grows with the logarithm of the longest chain is enough.  Ids with very many
-    links are joined salted.
+    links are joined salted.  Repeated links change nothing.
     """
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    with StageArea(links.sparkSession) as stage:
+        return cut(_stars(links, stage))
+
+
+def _stars(links: DataFrame, stage: StageArea) -> DataFrame:
+    """The labels of ``connected``, staged: small tables are read back by few tasks, however many wrote them."""
+    edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v"), "edges")
     # No step makes more links than there were, and a link has two ends.
     near = F.broadcast if 2 * edges.count() <= BROADCAST_ROWS else None
 
     def with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
         return rows.join(near(least), "u") if near else spread_join(rows, least, ["u"], "inner")
 
-    while not _is_stars(edges):
+    # Stars: every id has one smaller neighbour at most, and none that is one has any; nothing would change any more.
+    smaller = F.when(F.col("v") < F.col("u"), F.col("v"))
+    joins_two = (F.min(smaller) < F.max(smaller)) | ((F.min("v") < F.col("u")) & (F.max("v") > F.col("u")))
+    while True:
         both = _two_rows(edges, ("u", "v"), ("v", "u")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = cut(with_least(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        around = stage(both.groupBy("u").agg(F.min("v").alias("m"), F.coalesce(joins_two, F.lit(False)).alias("open")), "around")
+        if around.filter("open").isEmpty():
+            return around.filter("m < u").select(F.col("u").alias("id"), F.col("m").alias("label"))
+        least = around.select("u", F.least("u", "m").alias("m"))
+        large = stage(with_least(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = with_least(large, least)
-        edges = cut(_two_rows(small, ("v", "m"), ("u", "m")).toDF("u", "v").filter("u <> v").distinct())
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
+        edges, old = stage(_two_rows(small, ("v", "m"), ("u", "m")).toDF("u", "v").filter("u <> v").distinct(), "edges"), edges
+        stage.drop(old, around, large)
 
 
 def _two_rows(df: DataFrame, first: tuple[str, str], second: tuple[str, str]) -> DataFrame:
@@ -50,14 +64,6 @@ def _two_rows(df: DataFrame, first: tuple[str, str], second: tuple[str, str]) ->
     return df.select(F.explode(F.array(pair(first), pair(second))).alias("two")).select("two.x", "two.y")
 
 
-def _is_stars(edges: DataFrame) -> bool:
-    """Whether every id has one smaller neighbour at most, and none that is one has any: nothing would change any more."""
-    ends = edges.select("*", F.lit(-1).alias("larger"), F.lit(1).alias("smaller"))
-    ends = _two_rows(ends, ("u", "smaller"), ("v", "larger")).toDF("id", "side")
-    has = F.sum(F.when(F.col("side") > 0, 1).otherwise(0)) + F.max(F.when(F.col("side") < 0, 1).otherwise(0))
-    return ends.groupBy("id").agg(has.alias("has")).filter("has > 1").limit(1).count() == 0
-
-
 def _with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels of ``(id, label)`` once links ``(a, b)`` are known too: only the classes they join are searched, not their items."""
     of = small_enough(labels, BROADCAST_ROWS)
@@ -137,7 +143,7 @@ def classes_by_keys(
         stage.drop(old)
         met = _in_classes(held, labels).join(small_enough(keys, BROADCAST_ROWS), "key").filter("label <> to_label")
         met = met.groupBy("id", "label", "to").agg(F.count(F.lit(1)).alias("n"))
-        met = met.select("*", F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).join(tried, ["a", "b"], "left_anti")
+        met = met.select("*", F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).join(small_enough(tried, BROADCAST_PAIRS), ["a", "b"], "left_anti")
         best = met.groupBy("label").agg(F.max(F.struct("n", "a", "b")).alias("best"))
         pairs = stage(best.select("best.a", "best.b").distinct(), "star")
         links = stage(confirm(pairs).select("a", "b"), "links")
@@ -165,7 +171,7 @@ def classes_by_keys(
     if close is not None:
         meets = meets & close(lambda m: F.col(f"{m}_x"), lambda m: F.col(f"{m}_y"))
     apart = left.join(right, "key").filter(meets).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = stage(confirm(stage(apart.join(tried, ["a", "b"], "left_anti"), "pairs")).select("a", "b"), "more")
+    more = stage(confirm(stage(apart.join(small_enough(tried, BROADCAST_PAIRS), ["a", "b"], "left_anti"), "pairs")).select("a", "b"), "more")
     if more.isEmpty():
         return labels
     return _with_links(labels, more)

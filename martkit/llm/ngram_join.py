@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martkit.llm.common import Words, byte_texts, columns_of, cut, mixed, own_name, small_enough, steps
-from martkit.llm.links import classes_by_keys
+from martkit.llm.links import BROADCAST_PAIRS, classes_by_keys
 from martkit.operators.joins import spread_join
 from martkit.sources.tables import StageArea
 
@@ -260,7 +260,9 @@ def _classes(frame: DataFrame, stage: StageArea) -> DataFrame:
         of = lambda s: known.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
         sizes = 4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")
         sized = known.select("id", "n")
-        near = pairs.join(sized.toDF("a", "n_a"), "a").join(sized.toDF("b", "n_b"), "b").filter(sizes).select("a", "b")
+        # Ids are known once, so that no join makes more rows than there are pairs.
+        few = F.broadcast if pairs.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS else lambda df: df
+        near = few(few(pairs).join(sized.toDF("a", "n_a"), "a")).join(sized.toDF("b", "n_b"), "b").filter(sizes).select("a", "b")
         both = near.join(of("a"), "a").join(of("b"), "b")
         apart = _bits_apart(F.col("sketch_a"), F.col("sketch_b"))
         return both.filter(7 * apart <= F.col("n_a") + F.col("n_b")).select("a", "b")

@@ -84,6 +84,39 @@ def test_connected(spark):
     assert links.connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_connected_takes_repeated_links(spark):
+    """Each link is there several times, in both directions; an id has one label all the same."""
+    rng = random.Random(2)
+    once = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(200, i) for i in range(190, 215)]
+    pairs = [p for a, b in once for p in ((a, b), (b, a), (a, b))] + [(None, 3), (4, None)]
+    rows = links.connected(spark.createDataFrame(pairs, "a long, b long")).collect()
+    wanted = classes_of({i for p in once for i in p}, once)
+    assert sorted((r.id, r.label) for r in rows) == sorted((i, c) for i, c in wanted.items() if i != c)
+
+
+def test_connected_starts_few_tasks(spark):
+    """Links in a star take three shuffles a turn, and what is stored between them is not read by one task a file."""
+    frame = spark.createDataFrame([(50, i) for i in range(100) if i != 50], "a long, b long")
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {key: spark.conf.get(key) for key in held}
+    context = spark.sparkContext
+    group = "test_connected_starts_few_tasks"
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        context.setJobGroup(group, group)
+        rows = {tuple(r) for r in links.connected(frame).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert rows == {(i, 0) for i in range(1, 100)}
+    status = context.statusTracker()
+    stages = {s for job in status.getJobIdsForGroup(group) for s in status.getJobInfo(job).stageIds}
+    # Skipped stages have no tasks that were completed.
+    assert sum(info.numCompletedTasks for s in stages if (info := status.getStageInfo(s))) <= 500
+
+
 def test_links_join_classes(spark):
     """Links added to known classes give what all links give at once: chains of classes, links inside one, new items."""
     known = [(i, i - i % 10) for i in range(1, 200) if i % 10]
